@@ -52,7 +52,7 @@ def union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _order_changes(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+def _order_parts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     lines = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders")
     line_ts, order_ts = _seconds("l_shipdate"), _seconds("o_orderdate")
@@ -141,7 +141,7 @@ def _order_changes(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     ]
 
 
-def _event_changes(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+def _event_parts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     events = table(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
     ts = _seconds("ts")
     cart = {"id": "event_id", "user_id": "user_id", "sku_id": "k", "sku_num": "cast(floor(value) as bigint)"}
@@ -165,7 +165,7 @@ def _event_changes(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     ]
 
 
-def _comment_changes(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+def _comment_parts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     return [
         change(
             table(spark, sf_dir, "customer"), "comment_info", "insert",
@@ -179,9 +179,24 @@ def _comment_changes(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     ]
 
 
+def order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes of orders, their details and refunds, with event time."""
+    return with_event_time(union(_order_parts(spark, sf_dir)))
+
+
+def event_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes of carts and payments, with event time."""
+    return with_event_time(union(_event_parts(spark, sf_dir)))
+
+
+def comment_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes of comments, with event time."""
+    return with_event_time(union(_comment_parts(spark, sf_dir)))
+
+
 def shop_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The shop's change log, with event time."""
-    parts = _order_changes(spark, sf_dir) + _event_changes(spark, sf_dir) + _comment_changes(spark, sf_dir)
+    """The shop's whole change log, with event time."""
+    parts = _order_parts(spark, sf_dir) + _event_parts(spark, sf_dir) + _comment_parts(spark, sf_dir)
     return with_event_time(union(parts))
 
 
@@ -334,7 +349,7 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def change_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cart changes as JSON lines, with broken lines among them."""
-    carts = union(_event_changes(spark, sf_dir)[:3])
+    carts = union(_event_parts(spark, sf_dir)[:3])
     lines = carts.select(
         F.to_json(F.struct("database", "table", "type", "data", "old", "ts", "seq")).alias("value"),
         F.lit(None).cast("bigint").alias("position"),

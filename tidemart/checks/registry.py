@@ -40,18 +40,18 @@ def queries() -> dict[str, Query]:
 
 @query
 def order_detail(spark, sf_dir):
-    return facts.order_detail(star.shop_changes(spark, sf_dir))
+    return facts.order_detail(star.order_changes(spark, sf_dir))
 
 
 @query
 def order_detail_salted(spark, sf_dir):
-    return facts.order_detail(star.shop_changes(spark, sf_dir), salts=4)
+    return facts.order_detail(star.order_changes(spark, sf_dir), salts=4)
 
 
 @query
 def order_detail_newest(spark, sf_dir):
     """The upsert sink's content after writing details and their later corrections."""
-    details = facts.order_detail(star.shop_changes(spark, sf_dir))
+    details = facts.order_detail(star.order_changes(spark, sf_dir))
     later = details.where("coupon_id is not null").withColumn("ts", F.col("ts") + 60).withColumn(
         "coupon_id", F.concat("coupon_id", F.lit("-corrected"))
     )
@@ -61,43 +61,43 @@ def order_detail_newest(spark, sf_dir):
 
 @query
 def order_cancel(spark, sf_dir):
-    changes = star.shop_changes(spark, sf_dir)
+    changes = star.order_changes(spark, sf_dir)
     return facts.order_cancel(with_event_time(facts.order_detail(changes)), changes)
 
 
 @query
 def payment_success(spark, sf_dir):
     return facts.payment_success(
-        star.click_details(spark, sf_dir), star.shop_changes(spark, sf_dir), star.dictionary(spark, sf_dir)
+        star.click_details(spark, sf_dir), star.event_changes(spark, sf_dir), star.dictionary(spark, sf_dir)
     )
 
 
 @query
 def payment_success_6h(spark, sf_dir):
     return facts.payment_success(
-        star.click_details(spark, sf_dir), star.shop_changes(spark, sf_dir), star.dictionary(spark, sf_dir),
+        star.click_details(spark, sf_dir), star.event_changes(spark, sf_dir), star.dictionary(spark, sf_dir),
         before=6 * 3600, after=5, salts=3,
     )
 
 
 @query
 def order_refund(spark, sf_dir):
-    return facts.order_refund(star.shop_changes(spark, sf_dir), star.dictionary(spark, sf_dir))
+    return facts.order_refund(star.order_changes(spark, sf_dir), star.dictionary(spark, sf_dir))
 
 
 @query
 def refund_payment(spark, sf_dir):
-    return facts.refund_payment(star.shop_changes(spark, sf_dir), star.dictionary(spark, sf_dir))
+    return facts.refund_payment(star.order_changes(spark, sf_dir), star.dictionary(spark, sf_dir))
 
 
 @query
 def comment_lookup(spark, sf_dir):
-    return facts.comment_info(star.shop_changes(spark, sf_dir), star.dictionary(spark, sf_dir))
+    return facts.comment_info(star.comment_changes(spark, sf_dir), star.dictionary(spark, sf_dir))
 
 
 @query
 def cart_add(spark, sf_dir):
-    return facts.cart_add(star.shop_changes(spark, sf_dir))
+    return facts.cart_add(star.event_changes(spark, sf_dir))
 
 
 @query
@@ -111,7 +111,7 @@ def cart_add_from_json(spark, sf_dir):
 @query
 def cart_add_messages(spark, sf_dir):
     """The JSON text of cart facts, nulls included."""
-    return fact_values(facts.cart_add(star.shop_changes(spark, sf_dir)))
+    return fact_values(facts.cart_add(star.event_changes(spark, sf_dir)))
 
 
 @query

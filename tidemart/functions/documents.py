@@ -1,42 +1,32 @@
-"""Open JSON objects held as ``map<string,variant>``."""
+"""JSON objects held as variants, and as ``map<string,variant>`` while they are edited."""
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemart.schemas import LOG_DDL
+OBJECT = "map<string,variant>"
 
 
-def parse_object(text: Column) -> Column:
-    """JSON object text as a map; anything else gives null."""
-    return F.from_json(text, LOG_DDL)
+def as_map(doc: Column) -> Column:
+    """The members of an object; null when the variant is no object."""
+    return doc.try_cast(OBJECT)
 
 
-def present(doc: Column, key: str) -> Column:
-    """Whether a key holds something other than JSON null."""
-    member = doc[key]
-    return member.isNotNull() & ~F.coalesce(F.is_variant_null(member), F.lit(False))
-
-
-def member_map(doc: Column, key: str) -> Column:
-    """A member object as a map; null when it is not an object."""
-    return doc[key].try_cast("map<string,variant>")
+def member(doc: Column, path: str, ddl: str = "variant") -> Column:
+    """A member by path in the given type; null when absent or of another type."""
+    return F.try_variant_get(doc, path, ddl)
 
 
-def member_maps(doc: Column, key: str) -> Column:
-    """A member array of objects as an array of maps."""
-    return doc[key].try_cast("array<map<string,variant>>")
+def present(doc: Column, key: str) -> Column:
+    """Whether a key holds something other than JSON null."""
+    value = member(doc, f"$.{key}")
+    return value.isNotNull() & ~F.is_variant_null(value)
 
 
-def scalar(doc: Column, key: str, ddl: str) -> Column:
-    """A member scalar in the given type; null when it does not fit."""
-    return F.try_variant_get(doc[key], "$", ddl)
+def put(doc: Column, key: str, value: Column) -> Column:
+    """The map with one key set; ``value`` is a variant."""
+    return F.map_concat(doc, F.create_map(F.lit(key), value))
 
 
 def without(doc: Column, *keys: str) -> Column:
+    """The map with some keys removed."""
     return F.map_filter(doc, lambda key, _: ~key.isin(*keys)) if keys else doc
-
-
-
-def put(doc: Column, key: str, value: Column) -> Column:
-    """The map with one key set; ``value`` is a variant."""
-    return F.map_concat(doc, F.create_map(F.lit(key), value))

@@ -1,15 +1,32 @@
 """Joins of facts: bounded inner and left joins, interval join, lookup.
 
-Batch joins carry no hints: Spark broadcasts a side only when its size is known
-to be under ``spark.sql.autoBroadcastJoinThreshold`` and adaptive execution
-splits the partitions of hot keys. A stream has no adaptive re-planning, so the
-inner joins can spread a key over ``salts`` state partitions.
+Fact joins carry no hints: Spark broadcasts a side only when its size is known to
+be under ``spark.sql.autoBroadcastJoinThreshold``, and adaptive execution splits
+the partitions of hot keys. A stream has no adaptive re-planning, so the inner
+joins can spread a key over ``salts`` state partitions. Dictionaries and routes
+may come from sources Spark has no size for, so those are measured.
 """
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+# A side is broadcast when it holds no more than this.
+BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 32 * 1024 * 1024
+
+
+def small_side(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """``df``, marked for broadcast if it is measured to be small enough.
+
+    The measuring reads at most ``rows`` + 1 rows. A larger side is left to an
+    ordinary shuffled join.
+    """
+    width = F.octet_length(F.to_json(F.struct("*")))
+    seen = df.limit(rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("size")).first()
+    return F.broadcast(df) if seen["n"] <= rows and (seen["size"] or 0) <= size else df
+
+
 def near(left: str, right: str, bound: str | None) -> Column:
     """Event times at most ``bound`` apart; always true without a bound."""
     if bound is None:
@@ -111,6 +128,9 @@ def interval_join(
 
 
 def lookup(fact: DataFrame, dictionary: DataFrame, code: str, name: str) -> DataFrame:
-    """Add the dictionary name of a code; rows whose code is unknown are dropped."""
+    """Add the dictionary name of a code; rows whose code is unknown are dropped.
+
+    Pass a dictionary that went through :func:`small_side`.
+    """
     names = dictionary.select(F.col("dic_code").alias("_code"), F.col("dic_name").alias(name))
     return fact.join(names, F.col(code) == F.col("_code"), "inner").drop("_code")

@@ -1,14 +1,14 @@
 """Typed outputs of the behaviour log.
 
-Input records carry the whole object in ``doc``, its ``common`` part as a map, and
-``is_new`` as corrected. Outputs are (``mid``, ``ts``, ``doc``), where ``doc`` is what
-gets written; a record may show up in several outputs.
+Input records carry the whole object as the variant ``doc`` and ``is_new`` as
+corrected. Outputs are (``mid``, ``ts``, ``doc``), where ``doc`` is a map holding
+what gets written; a record may show up in several outputs.
 """
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.functions.documents import member_maps, present, put, without
+from tidemart.functions.documents import as_map, member, present, put, without
 
 START = "start"
 DISPLAY = "display"
@@ -23,23 +23,24 @@ def _variant(value: Column) -> Column:
     return value.cast("variant")
 
 
-def with_corrected_common(records: DataFrame) -> DataFrame:
-    """Write a corrected ``is_new`` back into ``common``."""
-    changed = ~F.coalesce(
-        F.try_variant_get(F.col("common")["is_new"], "$", "string").eqNullSafe(F.col("is_new")), F.lit(False)
-    )
-    common = F.when(changed, put(F.col("common"), "is_new", _variant(F.col("is_new")))).otherwise(F.col("common"))
-    return records.withColumn("common", common)
+def _common() -> Column:
+    """The common part, with ``is_new`` as corrected."""
+    common = as_map(member(F.col("doc"), "$.common"))
+    logged = member(F.col("doc"), "$.common.is_new", "string")
+    corrected = put(common, "is_new", _variant(F.col("is_new")))
+    return F.when(logged.eqNullSafe(F.col("is_new")), common).otherwise(corrected)
 
 
 def _whole(records: DataFrame, key: str, *dropped: str) -> DataFrame:
-    doc = put(without(F.col("doc"), *dropped), "common", F.to_variant_object("common"))
+    doc = put(without(as_map(F.col("doc")), *dropped), "common", F.to_variant_object(_common()))
     return records.where(present(F.col("doc"), key)).select("mid", "ts", doc.alias("doc"))
 
 
 def _elements(records: DataFrame, key: str) -> DataFrame:
-    items = member_maps(F.col("doc"), key)
-    return records.select("mid", "ts", "common", F.explode(items).alias("item")).where("item is not null")
+    items = member(F.col("doc"), f"$.{key}", "array<map<string,variant>>")
+    return records.select("mid", "ts", _common().alias("common"), F.explode(items).alias("item")).where(
+        "item is not null"
+    )
 
 
 def start_records(records: DataFrame, drop_displays: bool = False) -> DataFrame:
@@ -67,7 +68,6 @@ def page_records(records: DataFrame, drop_displays: bool = False, action_key: st
 
 def split_records(records: DataFrame, drop_displays: bool = False, action_key: str = ACTION_KEY) -> dict[str, DataFrame]:
     """All five outputs of one set of records."""
-    records = with_corrected_common(records)
     return {
         START: start_records(records, drop_displays),
         DISPLAY: display_records(records),

@@ -3,6 +3,9 @@
 ``changes`` is the parsed change log with event time ``et``. ``bound`` is the
 event-time distance up to which changes still join; a stream needs one to let
 go of its state, a batch run joins everything and leaves it out.
+
+Facts with dictionary names come in two steps, the join and the naming. A stream
+names each micro-batch with the dictionary as it stands then.
 """
 
 from pyspark.sql import DataFrame
@@ -24,8 +27,8 @@ from tidemart.constants import (
 from tidemart.functions.numbers import product_text
 from tidemart.functions.times import day_of_text
 from tidemart.operators.changes import Slice, added, added_amount
-from tidemart.operators.joins import inner_join, interval_join, left_join, lookup, spread_key
-from tidemart.schemas import FACT_COLUMNS
+from tidemart.operators.joins import inner_join, interval_join, left_join, lookup, small_side, spread_key
+from tidemart.schemas import DICTIONARY_COLUMNS, FACT_COLUMNS
 
 COMMENT = Slice(
     "ci", "comment_info", (INSERT,), ("id", "user_id", "sku_id", "appraise", "comment_txt"),
@@ -77,21 +80,36 @@ REFUNDED_ORDER = Slice(
 
 
 def _fact(df: DataFrame, fact: str, **columns) -> DataFrame:
-    """Select the sink columns of a fact in order, each from its source column."""
-    exprs = [columns[name] for name in FACT_COLUMNS[fact]]
-    exprs = [F.col(e) if isinstance(e, str) else e for e in exprs]
-    return df.select(*[e.alias(name) for e, name in zip(exprs, FACT_COLUMNS[fact], strict=True)])
+    """Select sink columns of a fact in order, each from its source; names to look up are left out."""
+    picked = [(columns[name], name) for name in FACT_COLUMNS[fact] if name in columns]
+    return df.select(*[(F.col(e) if isinstance(e, str) else e).alias(name) for e, name in picked])
 
 
-def comment_info(changes: DataFrame, dictionary: DataFrame, database: str = DATABASE) -> DataFrame:
-    """Comments with the name of their rating."""
-    rated = lookup(COMMENT.read(changes, database), dictionary, "ci_appraise", "appraise_name")
+def _named(df: DataFrame, dictionary: DataFrame, fact: str, **codes: str) -> DataFrame:
+    """Look up the names of codes; ``codes`` maps name columns to code columns."""
+    dictionary = small_side(dictionary.select(*DICTIONARY_COLUMNS))
+    for name, code in codes.items():
+        df = lookup(df, dictionary, code, name)
+    return df.select(*FACT_COLUMNS[fact])
+
+
+def rated_comments(changes: DataFrame, database: str = DATABASE) -> DataFrame:
+    """Comments before their rating is named."""
     return _fact(
-        rated, "comment", id="ci_id", user_id="ci_user_id", sku_id="ci_sku_id", appraise="ci_appraise",
-        appraise_name="appraise_name", comment_txt="ci_comment_txt", ts="ci_ts",
+        COMMENT.read(changes, database), "comment", id="ci_id", user_id="ci_user_id", sku_id="ci_sku_id",
+        appraise="ci_appraise", comment_txt="ci_comment_txt", ts="ci_ts",
     )
 
 
+def name_comments(comments: DataFrame, dictionary: DataFrame) -> DataFrame:
+    return _named(comments, dictionary, "comment", appraise_name="appraise")
+
+
+def comment_info(changes: DataFrame, dictionary: DataFrame, database: str = DATABASE) -> DataFrame:
+    """Comments with the name of their rating."""
+    return name_comments(rated_comments(changes, database), dictionary)
+
+
 def cart_add(changes: DataFrame, database: str = DATABASE) -> DataFrame:
     """Items put into a cart; a raised quantity counts with its increase."""
     kept = changes.where(
@@ -160,22 +178,23 @@ def order_cancel(
     )
 
 
-def payment_success(
+def paid_details(
     details: DataFrame,
     changes: DataFrame,
-    dictionary: DataFrame,
     database: str = DATABASE,
     before: int = PAYMENT_WINDOW_BEFORE,
     after: int = PAYMENT_WINDOW_AFTER,
     salts: int = 1,
 ) -> DataFrame:
-    """Ordered items paid within the payment window (J6). ``details`` carries ``et``."""
-    paid = lookup(PAYMENT.read(changes, database), dictionary, "pi_payment_type", "payment_type_name")
+    """Ordered items paid within the payment window, before the payment type is named.
+
+    ``details`` carries ``et``.
+    """
     joined = interval_join(
-        details, paid, ("order_id", "pi_order_id"), times=("et", "pi_et"), before=before, after=after,
-        salts=salts,
+        details, PAYMENT.read(changes, database), ("order_id", "pi_order_id"), times=("et", "pi_et"),
+        before=before, after=after, salts=salts,
     )
-    same = {c: c for c in FACT_COLUMNS["payment_success"]}
+    same = {c: c for c in FACT_COLUMNS["payment_success"] if c != "payment_type_name"}
     return _fact(
         joined, "payment_success",
         **{
@@ -189,34 +208,61 @@ def payment_success(
     )
 
 
-def order_refund(
-    changes: DataFrame, dictionary: DataFrame, database: str = DATABASE, bound: str | None = None, salts: int = 1
+def name_payments(paid: DataFrame, dictionary: DataFrame) -> DataFrame:
+    return _named(paid, dictionary, "payment_success", payment_type_name="payment_type_code")
+
+
+def payment_success(
+    details: DataFrame,
+    changes: DataFrame,
+    dictionary: DataFrame,
+    database: str = DATABASE,
+    before: int = PAYMENT_WINDOW_BEFORE,
+    after: int = PAYMENT_WINDOW_AFTER,
+    salts: int = 1,
 ) -> DataFrame:
-    """Requested refunds with their order and the names of kind and reason."""
-    named = lookup(REFUND_REQUEST.read(changes, database), dictionary, "ri_refund_type", "type_name")
-    named = lookup(named, dictionary, "ri_refund_reason_type", "reason_name")
+    """Ordered items paid within the payment window."""
+    return name_payments(paid_details(details, changes, database, before, after, salts), dictionary)
+
+
+def requested_refunds(
+    changes: DataFrame, database: str = DATABASE, bound: str | None = None, salts: int = 1
+) -> DataFrame:
+    """Requested refunds with their order, before kind and reason are named."""
     joined = inner_join(
-        named, REFUND_ORDER.read(changes, database), [("ri_order_id", "oi_id")],
-        times=("ri_et", "oi_et"), bound=bound, salts=salts,
+        REFUND_REQUEST.read(changes, database), REFUND_ORDER.read(changes, database).drop("oi_ts"),
+        [("ri_order_id", "oi_id")], times=("ri_et", "oi_et"), bound=bound, salts=salts,
     )
     return _fact(
         joined, "order_refund", id="ri_id", user_id="ri_user_id", order_id="ri_order_id",
         sku_id="ri_sku_id", province_id="oi_province_id",
         date_id=day_of_text(F.col("ri_create_time")), create_time="ri_create_time",
-        refund_type_code="ri_refund_type", refund_type_name="type_name",
-        refund_reason_type_code="ri_refund_reason_type", refund_reason_type_name="reason_name",
+        refund_type_code="ri_refund_type", refund_reason_type_code="ri_refund_reason_type",
         refund_reason_txt="ri_refund_reason_txt", refund_num="ri_refund_num",
         refund_amount="ri_refund_amount", ts="ri_ts",
     )
 
 
-def refund_payment(
+def name_refunds(refunds: DataFrame, dictionary: DataFrame) -> DataFrame:
+    return _named(
+        refunds, dictionary, "order_refund",
+        refund_type_name="refund_type_code", refund_reason_type_name="refund_reason_type_code",
+    )
+
+
+def order_refund(
     changes: DataFrame, dictionary: DataFrame, database: str = DATABASE, bound: str | None = None, salts: int = 1
 ) -> DataFrame:
-    """Paid-out refunds with their request and order."""
-    named = lookup(REFUND_PAYMENT.read(changes, database), dictionary, "rp_payment_type", "payment_type_name")
+    """Requested refunds with their order and the names of kind and reason."""
+    return name_refunds(requested_refunds(changes, database, bound, salts), dictionary)
+
+
+def paid_refunds(
+    changes: DataFrame, database: str = DATABASE, bound: str | None = None, salts: int = 1
+) -> DataFrame:
+    """Paid-out refunds with their request and order, before the payment type is named."""
     with_request = inner_join(
-        named, REFUND_CLOSED.read(changes, database).drop("ori_ts"),
+        REFUND_PAYMENT.read(changes, database), REFUND_CLOSED.read(changes, database).drop("ori_ts"),
         [("rp_order_id", "ori_order_id"), ("rp_sku_id", "ori_sku_id")],
         times=("rp_et", "ori_et"), bound=bound, salts=salts,
     )
@@ -227,7 +273,17 @@ def refund_payment(
     return _fact(
         joined, "refund_payment", id="rp_id", user_id="oi_user_id", order_id="rp_order_id",
         sku_id="rp_sku_id", province_id="oi_province_id", payment_type_code="rp_payment_type",
-        payment_type_name="payment_type_name", date_id=day_of_text(F.col("rp_callback_time")),
-        callback_time="rp_callback_time", refund_num="ori_refund_num",
-        refund_amount="rp_total_amount", ts="rp_ts",
+        date_id=day_of_text(F.col("rp_callback_time")), callback_time="rp_callback_time",
+        refund_num="ori_refund_num", refund_amount="rp_total_amount", ts="rp_ts",
     )
+
+
+def name_paid_refunds(refunds: DataFrame, dictionary: DataFrame) -> DataFrame:
+    return _named(refunds, dictionary, "refund_payment", payment_type_name="payment_type_code")
+
+
+def refund_payment(
+    changes: DataFrame, dictionary: DataFrame, database: str = DATABASE, bound: str | None = None, salts: int = 1
+) -> DataFrame:
+    """Paid-out refunds with their request, order and payment type."""
+    return name_paid_refunds(paid_refunds(changes, database, bound, salts), dictionary)

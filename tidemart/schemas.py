@@ -7,8 +7,6 @@ CHANGE_DDL = (
     "data map<string,string>, old map<string,string>, ts bigint, seq bigint"
 )
 
-LOG_DDL = "map<string,variant>"
-
 CONFIG_COLUMNS = [
     "source_table",
     "source_type",

@@ -1,10 +1,10 @@
 """Raw lines from a topic or from text files, and the logs parsed from them."""
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.constants import WATERMARK
-from tidemart.functions.documents import member_map, parse_object, scalar
+from tidemart.functions.documents import as_map
 from tidemart.functions.times import event_time
 from tidemart.schemas import CHANGE_DDL, fact_schema
 
@@ -39,12 +39,9 @@ def parse_changes(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     The order key of a change is ``(ts, seq)``; ``seq`` is the line's own
     ``seq`` field or else its position in the topic.
     """
-    parsed = lines.withColumn(
-        "c",
-        F.from_json(
-            "value", CHANGE_DDL + ", _bad string", {"columnNameOfCorruptRecord": "_bad"}
-        ),
-    )
+    document = F.from_json("value", CHANGE_DDL + ", _bad string", {"columnNameOfCorruptRecord": "_bad"})
+    # The explode keeps filters from being pushed under the parser, see below.
+    parsed = lines.select("*", F.explode(F.array(document)).alias("c"))
     # A line of plain JSON null, or no line at all, has no table to read from.
     readable = F.col("c._bad").isNull() & F.col("c.table").isNotNull()
     changes = parsed.where(readable).select(
@@ -68,32 +65,29 @@ def read_changes(lines: DataFrame, delay: str = WATERMARK) -> DataFrame:
 def parse_behaviour(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split behaviour-log lines into records and rejected lines with a reason.
 
-    Records keep the whole object in ``doc`` and carry what later steps key and
-    order on. ``seq`` is the position in the topic; lines without one are told
-    apart by a hash of their text, so ties in ``ts`` resolve the same way in
-    every run.
+    Records keep the whole object as the variant ``doc`` and carry what later
+    steps key and order on. ``seq`` is the position in the topic; lines without
+    one are told apart by a hash of their text, so ties in ``ts`` resolve the
+    same way in every run.
     """
-    doc = lines.withColumn("doc", parse_object(F.col("value")))
-    doc = doc.withColumn("common", member_map(F.col("doc"), "common"))
-    read = doc.select(
+    # Exploding a one-element array keeps the filters below from being pushed
+    # under the parser, which would then run once per mention.
+    parsed = lines.select("*", F.explode(F.array(F.try_parse_json("value"))).alias("doc"))
+    read = parsed.select(
         "value",
         "doc",
-        "common",
-        scalar(F.col("common"), "mid", "string").alias("mid"),
-        scalar(F.col("common"), "is_new", "string").alias("is_new"),
-        scalar(F.col("doc"), "ts", "bigint").alias("ts"),
+        F.try_variant_get("doc", "$.common.mid", "string").alias("mid"),
+        F.try_variant_get("doc", "$.common.is_new", "string").alias("is_new"),
+        F.try_variant_get("doc", "$.ts", "bigint").alias("ts"),
         F.coalesce("position", F.xxhash64("value")).alias("seq"),
     )
-    reason: Column = (
-        F.when(F.col("doc").isNull(), "not a JSON object")
+    usable = F.col("mid").isNotNull() & F.col("ts").isNotNull()
+    reason = (
+        F.when(as_map(F.col("doc")).isNull(), "not a JSON object")
         .when(F.col("mid").isNull(), "no device id")
-        .when(F.col("ts").isNull(), "no time")
-    )
-    judged = read.withColumn("reason", reason)
-    return (
-        judged.where("reason is null").drop("reason", "value"),
-        judged.where("reason is not null").select("value", "reason"),
+        .otherwise("no time")
     )
+    return read.where(usable).drop("value"), read.where(~usable).select("value", reason.alias("reason"))
 
 
 def parse_facts(lines: DataFrame, fact: str) -> DataFrame:
