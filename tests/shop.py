@@ -1,0 +1,109 @@
+"""One small shop history with the edge cases of every fact."""
+
+from logs import change
+
+DICTIONARY = [("1201", "good"), ("1101", "card"), ("1301", "return"), ("1401", "broken")]
+T0 = 1_700_000_000
+
+
+def detail(key, order, sku, ts, num="3", price="19.90", created="2023-11-14 22:13:20"):
+    return change(
+        "order_detail", "insert",
+        {
+            "id": key, "order_id": order, "sku_id": sku, "sku_name": f"sku {sku}", "create_time": created,
+            "source_id": "1", "source_type": "2", "sku_num": num, "order_price": price,
+            "split_total_amount": "50.00", "split_activity_amount": "9.70", "split_coupon_amount": None,
+        },
+        ts=ts,
+    )
+
+
+def order(key, ts, kind="insert", status="1001", old=None, province="7", operate="2023-11-15 01:00:00"):
+    data = {"id": key, "user_id": f"u{key}", "province_id": province, "order_status": status, "operate_time": operate}
+    return change("order_info", kind, data, old, ts)
+
+
+def payment(order_id, ts, code="1101", status="1602", old="1601"):
+    data = {
+        "user_id": "u", "order_id": order_id, "payment_type": code, "callback_time": "2023-11-14 22:20:00",
+        "payment_status": status,
+    }
+    return change("payment_info", "update", data, {"payment_status": old} if old else {"x": "y"}, ts)
+
+
+def refund_request(key, order_id, sku, ts, kind="insert", refund="1301", reason="1401", status="0701", old=None):
+    data = {
+        "id": key, "user_id": "ru", "order_id": order_id, "sku_id": sku, "refund_type": refund, "refund_num": "2",
+        "refund_amount": "39.80", "refund_reason_type": reason, "refund_reason_txt": "cracked",
+        "create_time": "2023-11-15 10:00:00", "refund_status": status,
+    }
+    return change("order_refund_info", kind, data, old, ts)
+
+
+def refund_paid(key, order_id, sku, ts, code="1101", status="1602", old="1601"):
+    data = {
+        "id": key, "order_id": order_id, "sku_id": sku, "payment_type": code, "callback_time": "junk",
+        "total_amount": "39.80", "refund_status": status,
+    }
+    return change("refund_payment", "update", data, {"refund_status": old} if old else {"x": "y"}, ts)
+
+
+def comment(key, code, ts, kind="insert"):
+    data = {"id": key, "user_id": "cu", "sku_id": "s1", "appraise": code, "comment_txt": f"text {key}",
+            "create_time": "2023-11-14 00:00:00"}
+    return change("comment_info", kind, data, ts=ts)
+
+
+def cart(key, kind, new, old=None, ts=T0):
+    return change("cart_info", kind, {"id": key, "user_id": "cu", "sku_id": "s1", "sku_num": new}, old, ts)
+
+
+def activity(detail_id, ts):
+    data = {"order_detail_id": detail_id, "activity_id": f"a-{detail_id}", "activity_rule_id": "r1"}
+    return change("order_detail_activity", "insert", data, ts=ts)
+
+
+def coupon(detail_id, ts):
+    return change("order_detail_coupon", "insert", {"order_detail_id": detail_id, "coupon_id": f"c-{detail_id}"}, ts=ts)
+
+
+HISTORY = [
+    # o1: three details, with neither, one and both of activity and coupon; o2: cancelled; o9: no order row
+    order("o1", T0), detail("d1", "o1", "s1", T0), detail("d2", "o1", "s2", T0 + 1), activity("d2", T0 + 2),
+    detail("d3", "o1", "s3", T0), activity("d3", T0), coupon("d3", T0 + 1),
+    order("o2", T0 + 10), detail("d4", "o2", "s1", T0 + 10, created="junk"), detail("d9", "o9", "s1", T0 + 10),
+    detail(None, "o2", "s7", T0 + 10, num="abc"),
+    # cancels: right transition, wrong former status, former status missing
+    order("o2", T0 + 900, "update", "1003", {"order_status": "1001"}),
+    order("o1", T0 + 900, "update", "1003", {"order_status": "1002"}),
+    order("o1", T0 + 901, "update", "1003", {"province_id": "6"}),
+    # comments: known, unknown and no code, not an insert
+    comment("k1", "1201", T0), comment("k2", "9999", T0), comment("k3", None, T0), comment("k4", "1201", T0, "update"),
+    # carts: insert, higher, equal, lower, old missing, unreadable
+    cart("b1", "insert", "2"), cart("b1", "update", "5", {"sku_num": "2"}), cart("b1", "update", "5", {"sku_num": "5"}),
+    cart("b1", "update", "4", {"sku_num": "5"}), cart("b1", "update", "9", {"is_checked": "1"}),
+    cart("b2", "update", "abc", {"sku_num": "1"}), cart("b3", "insert", "abc"), cart("b4", "delete", "3"),
+    # payment of o2: unknown code, wrong status, former status missing, then right
+    payment("o2", T0 + 100, code="9999"), payment("o2", T0 + 100, status="1603"), payment("o2", T0 + 100, old=None),
+    payment("o2", T0 + 101),
+    # refunds of o1
+    refund_request("r1", "o1", "s1", T0 + 1000), refund_request("r2", "o1", "s2", T0 + 1000, reason="0"),
+    refund_request("r3", "o8", "s2", T0 + 1000),
+    order("o1", T0 + 1001, "update", "1005", {"order_status": "1002"}),
+    order("o8", T0 + 1001, "update", "1005", {"province_id": "1"}),
+    # refunds paid: two skus of one order, a wrong sku, a former status missing
+    refund_paid("p1", "o1", "s1", T0 + 2000), refund_paid("p2", "o1", "s2", T0 + 2000),
+    refund_paid("p3", "o1", "s9", T0 + 2000), refund_paid("p4", "o1", "s1", T0 + 2000, old=None),
+    refund_request("r1", "o1", "s1", T0 + 2001, "update", status="0705", old={"refund_status": "0702"}),
+    refund_request("r2", "o1", "s2", T0 + 2001, "update", status="0705", old={"refund_status": "0702"}),
+    order("o1", T0 + 2002, "update", "1006", {"order_status": "1005"}),
+    # other database, and one delete
+    change("order_info", "insert", {"id": "o9"}, ts=T0, database="other"),
+    change("comment_info", "delete", {"id": "k1", "appraise": "1201"}, ts=T0),
+]
+# Rows far in the future, one per table of the joins, to move the watermark on.
+FLUSH = [
+    order("flush", T0 + 10**7), detail("flush", "none", "s", T0 + 10**7), activity("flush-a", T0 + 10**7),
+    coupon("flush-c", T0 + 10**7), payment("flush", T0 + 10**7), refund_request("flush", "none", "s", T0 + 10**7),
+    refund_paid("flush", "none", "s", T0 + 10**7),
+]

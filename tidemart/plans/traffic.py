@@ -10,4 +10,4 @@ from tidemart.sources.topics import parse_behaviour
 def split_log(lines: DataFrame, mode: str = ARRIVAL, **options) -> dict[str, DataFrame]:
     """The five typed outputs of a batch of log lines."""
     records, _ = parse_behaviour(lines)
-    return split_records(correct_visitors(records, mode), **options)
+    return split_records(correct_visitors(records.drop("value"), mode), **options)

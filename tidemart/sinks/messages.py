@@ -1,4 +1,9 @@
-"""Rows as messages, and append-only sinks for them (K1, K3, K4)."""
+"""Rows as messages, and append-only sinks for them (K1, K3, K4).
+
+A sink writes the messages of one run: a micro-batch of one query, or a batch job.
+"""
+
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,31 +22,42 @@ def keyed_fact_values(fact: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def to_kafka(messages: DataFrame, topic: str | None = None, **options: str) -> None:
-    """Append messages to Kafka; without ``topic`` each row names its own."""
-    if topic is not None:
-        messages = messages.withColumn("topic", F.lit(topic))
-    columns = [c for c in ("key", "value", "topic") if c in messages.columns]
-    messages.select(*columns).write.format("kafka").options(**options).save()
+@dataclass(frozen=True)
+class FileSink:
+    """Messages as text files in ``<root>/<topic>/run=<run>``.
 
+    A run that is written again replaces its folder, so each of its messages is
+    stored once.
+    """
 
-def to_text(messages: DataFrame, path: str, batch_id: int) -> None:
-    """Write a micro-batch's message texts to a folder of its own.
+    root: str
 
-    Replaying the batch replaces that folder, so each message is stored once.
-    """
-    messages.select("value").write.mode("overwrite").text(f"{path}/batch_id={batch_id}")
+    def write(self, messages: DataFrame, topic: str, run: str) -> None:
+        messages.select("value").write.mode("overwrite").text(f"{self.root}/{topic}/run={run}")
 
+    def write_by_topic(self, messages: DataFrame, run: str) -> None:
+        """As ``write``, each row to its own topic, in ``<root>/run=<run>/topic=<topic>``.
 
-def to_text_by_topic(messages: DataFrame, path: str, batch_id: int) -> None:
-    """As :func:`to_text`, with a subfolder per row's topic.
+        The rebalance hint keeps files few and splits a busy topic over tasks.
+        """
+        (
+            messages.select("value", "topic")
+            .hint("rebalance", "topic")
+            .write.mode("overwrite")
+            .partitionBy("topic")
+            .text(f"{self.root}/run={run}")
+        )
 
-    The rebalance hint keeps files few and splits a busy topic over tasks.
-    """
-    (
-        messages.select("topic", "value")
-        .hint("rebalance", "topic")
-        .write.mode("overwrite")
-        .partitionBy("topic")
-        .text(f"{path}/batch_id={batch_id}")
-    )
+
+@dataclass(frozen=True)
+class KafkaSink:
+    """Messages to Kafka topics, each delivered at least once."""
+
+    options: dict[str, str] = field(default_factory=dict)
+
+    def write(self, messages: DataFrame, topic: str, run: str) -> None:
+        self.write_by_topic(messages.withColumn("topic", F.lit(topic)), run)
+
+    def write_by_topic(self, messages: DataFrame, run: str) -> None:
+        columns = [c for c in ("key", "value", "topic") if c in messages.columns]
+        messages.select(*columns).write.format("kafka").options(**self.options).save()

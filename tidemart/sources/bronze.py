@@ -29,4 +29,4 @@ def read_bronze(
 ) -> DataFrame:
     """Stored changes; a filter on ``table`` or ``day`` prunes partitions."""
     reader = spark.readStream if streaming else spark.read
-    return with_event_time(reader.schema(CHANGE_DDL + ", day date").parquet(path), delay)
+    return with_event_time(reader.schema(CHANGE_DDL + ", day date, run string").parquet(path), delay)

@@ -40,7 +40,7 @@ def parse_changes(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     ``seq`` field or else its position in the topic.
     """
     document = F.from_json("value", CHANGE_DDL + ", _bad string", {"columnNameOfCorruptRecord": "_bad"})
-    # The explode keeps filters from being pushed under the parser, see below.
+    # The explode keeps filters from being pushed under the parser, as below.
     parsed = lines.select("*", F.explode(F.array(document)).alias("c"))
     # A line of plain JSON null, or no line at all, has no table to read from.
     readable = F.col("c._bad").isNull() & F.col("c.table").isNotNull()
@@ -62,18 +62,24 @@ def read_changes(lines: DataFrame, delay: str = WATERMARK) -> DataFrame:
     return with_event_time(parse_changes(lines)[0], delay)
 
 
+def with_document(lines: DataFrame) -> DataFrame:
+    """Add the variant ``doc`` parsed from ``value``; null when that is no JSON.
+
+    Exploding a one-element array keeps later filters from being pushed under
+    the parser, which would then run once per mention.
+    """
+    return lines.select("*", F.explode(F.array(F.try_parse_json("value"))).alias("doc"))
+
+
 def parse_behaviour(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split behaviour-log lines into records and rejected lines with a reason.
 
-    Records keep the whole object as the variant ``doc`` and carry what later
-    steps key and order on. ``seq`` is the position in the topic; lines without
+    Records keep the whole object as text ``value`` and as variant ``doc``, and
+    carry what later steps key and order on. ``seq`` is the position in the topic; lines without
     one are told apart by a hash of their text, so ties in ``ts`` resolve the
     same way in every run.
     """
-    # Exploding a one-element array keeps the filters below from being pushed
-    # under the parser, which would then run once per mention.
-    parsed = lines.select("*", F.explode(F.array(F.try_parse_json("value"))).alias("doc"))
-    read = parsed.select(
+    read = with_document(lines).select(
         "value",
         "doc",
         F.try_variant_get("doc", "$.common.mid", "string").alias("mid"),
@@ -87,7 +93,7 @@ def parse_behaviour(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
         .when(F.col("mid").isNull(), "no device id")
         .otherwise("no time")
     )
-    return read.where(usable).drop("value"), read.where(~usable).select("value", reason.alias("reason"))
+    return read.where(usable), read.where(~usable).select("value", reason.alias("reason"))
 
 
 def parse_facts(lines: DataFrame, fact: str) -> DataFrame:
