@@ -5,6 +5,8 @@ of the change log reads only the columns it needs of the one table behind it.
 Amounts become text by way of decimals.
 """
 
+from collections.abc import Callable, Iterable
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,8 +20,30 @@ LINE_ID = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)"
 TEXT_TIME = "date_format({}, 'yyyy-MM-dd HH:mm:ss')"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+@dataclass(frozen=True)
+class Tables:
+    """The parquet tables of a folder, read as batch or as stream."""
+
+    spark: SparkSession
+    folder: str
+    streaming: bool = False
+
+    def __call__(self, name: str) -> DataFrame:
+        path = f"{self.folder}/{name}.parquet"
+        batch = self.spark.read.parquet(path)
+        if self.streaming:
+            files = self.spark.readStream.schema(batch.schema).option("pathGlobFilter", f"{name}.parquet")
+            return files.parquet(self.folder)
+        return batch
+
+    def spread(self, name: str) -> DataFrame:
+        """A table spread over all cores if its scan has fewer partitions than that.
+
+        One small file is one partition; scans of larger inputs are left as they are.
+        """
+        df = self(name)
+        cores = self.spark.sparkContext.defaultParallelism
+        return df if df.isStreaming or df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
 def _seconds(col: str) -> str:
@@ -48,13 +72,26 @@ def change(
     )
 
 
-def union(parts: list[DataFrame]) -> DataFrame:
+def union(parts: Iterable[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _order_parts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    lines = table(spark, sf_dir, "lineitem")
-    orders = table(spark, sf_dir, "orders")
+Part = tuple[str, Callable[[], DataFrame]]
+
+
+def part(df: DataFrame, source: str, *args: object, **kwargs: str) -> Part:
+    """Changes of one kind, named by their table and made when asked for."""
+    return source, lambda: change(df, source, *args, **kwargs)
+
+
+def _log(parts: list[Part], only: Iterable[str] | None) -> DataFrame:
+    """The change log of some tables (all by default), with event time."""
+    return with_event_time(union(make() for source, make in parts if only is None or source in only))
+
+
+def _order_parts(tables: Tables) -> list[Part]:
+    lines = tables.spread("lineitem")
+    orders = tables.spread("orders")
     line_ts, order_ts = _seconds("l_shipdate"), _seconds("o_orderdate")
     price = "cast(l_extendedprice as decimal(16,2))"
     discount = f"({price} * cast(l_discount as decimal(4,2)))"
@@ -62,7 +99,7 @@ def _order_parts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     next_day = TEXT_TIME.format("o_orderdate + interval 1 day")
 
     def moved(letter: str, old: str, new: str, later: int) -> DataFrame:
-        return change(
+        return part(
             orders.where(F.col("o_orderstatus") == letter), "order_info", "update",
             {
                 "id": "o_orderkey", "user_id": "o_custkey", "province_id": "left(o_orderpriority, 1)",
@@ -72,7 +109,7 @@ def _order_parts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
         )
 
     return [
-        change(
+        part(
             lines, "order_detail", "insert",
             {
                 "id": LINE_ID, "order_id": "l_orderkey", "sku_id": "l_partkey",
@@ -84,7 +121,7 @@ def _order_parts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
             },
             ts=line_ts, seq="l_linenumber",
         ),
-        change(
+        part(
             orders, "order_info", "insert",
             {
                 "id": "o_orderkey", "user_id": "o_custkey", "province_id": "left(o_orderpriority, 1)",
@@ -92,7 +129,7 @@ def _order_parts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
             },
             ts=order_ts, seq="o_orderkey",
         ),
-        change(
+        part(
             lines.where("l_discount >= 0.05"), "order_detail_activity", "insert",
             {
                 "order_detail_id": LINE_ID, "activity_id": "cast(l_discount as decimal(4,2))",
@@ -100,7 +137,7 @@ def _order_parts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
             },
             ts=line_ts, seq="l_linenumber",
         ),
-        change(
+        part(
             lines.where("l_returnflag = 'R'"), "order_detail_coupon", "insert",
             {"order_detail_id": LINE_ID, "coupon_id": "concat('C', l_suppkey)"},
             ts=line_ts, seq="l_linenumber",
@@ -109,7 +146,7 @@ def _order_parts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
         moved("P", "1002", "1005", 86400),
         moved("P", "1005", "1006", 172800),
         moved("O", "1001", "1002", 3600),
-        change(
+        part(
             lines.where("l_returnflag = 'R'"), "order_refund_info", "insert",
             {
                 "id": LINE_ID, "user_id": "l_suppkey", "order_id": "l_orderkey", "sku_id": "l_partkey",
@@ -120,7 +157,7 @@ def _order_parts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
             },
             ts=line_ts, seq="l_linenumber",
         ),
-        change(
+        part(
             lines.where("l_returnflag = 'R' and l_linestatus = 'F'"), "order_refund_info", "update",
             {
                 "order_id": "l_orderkey", "sku_id": "l_partkey", "refund_num": "cast(l_quantity as int)",
@@ -128,7 +165,7 @@ def _order_parts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
             },
             {"refund_status": "'0702'"}, line_ts, "l_linenumber",
         ),
-        change(
+        part(
             lines.where("l_returnflag = 'R'"), "refund_payment", "update",
             {
                 "id": LINE_ID, "order_id": "l_orderkey", "sku_id": "l_partkey",
@@ -141,20 +178,20 @@ def _order_parts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     ]
 
 
-def _event_parts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    events = table(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+def _event_parts(tables: Tables) -> list[Part]:
+    events = tables.spread("events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
     ts = _seconds("ts")
     cart = {"id": "event_id", "user_id": "user_id", "sku_id": "k", "sku_num": "cast(floor(value) as bigint)"}
     return [
-        change(events.where("event_type in ('click', 'purchase')"), "cart_info", "insert", cart, ts=ts, seq="event_id"),
-        change(
+        part(events.where("event_type in ('click', 'purchase')"), "cart_info", "insert", cart, ts=ts, seq="event_id"),
+        part(
             events.where("event_type in ('view', 'signup')"), "cart_info", "update", cart,
             {"sku_num": "k"}, ts, "event_id",
         ),
-        change(
+        part(
             events.where("event_type = 'error'"), "cart_info", "update", cart, {"is_checked": "'0'"}, ts, "event_id"
         ),
-        change(
+        part(
             events.where("event_type = 'purchase'"), "payment_info", "update",
             {
                 "user_id": "user_id", "order_id": "user_id", "payment_type": "concat('N', k % 30)",
@@ -165,10 +202,10 @@ def _event_parts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     ]
 
 
-def _comment_parts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+def _comment_parts(tables: Tables) -> list[Part]:
     return [
-        change(
-            table(spark, sf_dir, "customer"), "comment_info", "insert",
+        part(
+            tables("customer"), "comment_info", "insert",
             {
                 "id": "c_custkey", "user_id": "c_custkey", "sku_id": "c_nationkey * 7",
                 "appraise": "concat('N', c_nationkey + c_custkey % 10)", "comment_txt": "c_name",
@@ -179,30 +216,29 @@ def _comment_parts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     ]
 
 
-def order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Changes of orders, their details and refunds, with event time."""
-    return with_event_time(union(_order_parts(spark, sf_dir)))
+def order_changes(tables: Tables, *only: str) -> DataFrame:
+    """Changes of orders, their details and refunds; of all those tables unless some are named."""
+    return _log(_order_parts(tables), only or None)
 
 
-def event_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Changes of carts and payments, with event time."""
-    return with_event_time(union(_event_parts(spark, sf_dir)))
+def event_changes(tables: Tables, *only: str) -> DataFrame:
+    """Changes of carts and payments."""
+    return _log(_event_parts(tables), only or None)
 
 
-def comment_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Changes of comments, with event time."""
-    return with_event_time(union(_comment_parts(spark, sf_dir)))
+def comment_changes(tables: Tables) -> DataFrame:
+    """Changes of comments."""
+    return _log(_comment_parts(tables), None)
 
 
-def shop_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The shop's whole change log, with event time."""
-    parts = _order_parts(spark, sf_dir) + _event_parts(spark, sf_dir) + _comment_parts(spark, sf_dir)
-    return with_event_time(union(parts))
+def shop_changes(tables: Tables) -> DataFrame:
+    """The shop's whole change log."""
+    return _log(_order_parts(tables) + _event_parts(tables) + _comment_parts(tables), None)
 
 
-def click_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+def click_details(tables: Tables) -> DataFrame:
     """Clicks as order details keyed by user, to be matched with purchases in time."""
-    clicks = table(spark, sf_dir, "events").where("event_type = 'click'")
+    clicks = tables("events").where("event_type = 'click'")
     none = "cast(null as string)"
     rows = clicks.selectExpr(
         "cast(event_id as string) id", "cast(user_id as string) order_id", "cast(user_id as string) user_id",
@@ -216,16 +252,16 @@ def click_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_event_time(rows)
 
 
-def dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+def dictionary(tables: Tables) -> DataFrame:
     """Nations and regions as dictionary entries."""
-    nations = table(spark, sf_dir, "nation").selectExpr("concat('N', n_nationkey) dic_code", "n_name dic_name")
-    regions = table(spark, sf_dir, "region").selectExpr("concat('R', r_regionkey) dic_code", "r_name dic_name")
+    nations = tables("nation").selectExpr("concat('N', n_nationkey) dic_code", "n_name dic_name")
+    regions = tables("region").selectExpr("concat('R', r_regionkey) dic_code", "r_name dic_name")
     return nations.unionByName(regions)
 
 
-def dimension_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def dimension_log(tables: Tables) -> DataFrame:
     """Changes of customers, suppliers and parts: loads, updates, deletes, re-inserts."""
-    customer = table(spark, sf_dir, "customer")
+    customer = tables("customer")
     acct = "cast(c_acctbal as decimal(16,2))"
     whole = {"id": "c_custkey", "name": "c_name", "nation": "c_nationkey", "acctbal": acct, "segment": "c_mktsegment"}
     parts = [
@@ -244,11 +280,11 @@ def dimension_log(spark: SparkSession, sf_dir: str) -> DataFrame:
             {"id": "c_custkey", "name": "concat(c_name, ' (back)')", "acctbal": "null"}, ts="300", seq="4",
         ),
         change(
-            table(spark, sf_dir, "supplier"), "supplier", "insert",
+            tables("supplier"), "supplier", "insert",
             {"id": "s_suppkey", "name": "s_name", "acctbal": "cast(s_acctbal as decimal(16,2))"}, ts="100", seq="1",
         ),
         change(
-            table(spark, sf_dir, "part"), "part", "update",
+            tables("part"), "part", "update",
             {"id": "p_partkey", "name": "p_name", "brand": "p_brand", "size": "p_size"},
             {"size": "'0'"}, "100", "1",
         ),
@@ -269,12 +305,12 @@ def routing_config(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, CONFIG_DDL)
 
 
-def config_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def config_envelopes(tables: Tables) -> DataFrame:
     """Nations as config changes, in JSON envelopes.
 
     Every nation is loaded; some are updated, deleted, or deleted and made again.
     """
-    nation = table(spark, sf_dir, "nation")
+    nation = tables("nation")
     sink = "case when n_nationkey >= 20 then 'dwd' else 'dim' end"
 
     def row(label: str) -> str:
@@ -301,7 +337,7 @@ def config_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def config_start(spark: SparkSession, sf_dir: str) -> DataFrame:
+def config_start(tables: Tables) -> DataFrame:
     """Regions and half of the nations as start-up config rows."""
     def rows(df: DataFrame, name: str, key: str) -> DataFrame:
         return df.selectExpr(
@@ -309,15 +345,15 @@ def config_start(spark: SparkSession, sf_dir: str) -> DataFrame:
             "'info' sink_family", "'id,name' sink_columns", "'id' sink_row_key", "cast(null as string) sink_extend",
         )
 
-    nation = table(spark, sf_dir, "nation").where("n_nationkey < 12")
-    return rows(table(spark, sf_dir, "region"), "r_name", "r_regionkey").unionByName(
+    nation = tables("nation").where("n_nationkey < 12")
+    return rows(tables("region"), "r_name", "r_regionkey").unionByName(
         rows(nation, "n_name", "n_nationkey")
     )
 
 
-def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def log_lines(tables: Tables) -> DataFrame:
     """Events as behaviour-log lines, with broken and keyless lines among them."""
-    events = table(spark, sf_dir, "events").selectExpr(
+    events = tables.spread("events").selectExpr(
         "*", "cast(get_json_object(props, '$.k') as int) k", "unix_millis(cast(ts as timestamp)) ms"
     )
 
@@ -347,14 +383,14 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union([good, broken, keyless])
 
 
-def change_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def change_lines(tables: Tables) -> DataFrame:
     """Cart changes as JSON lines, with broken lines among them."""
-    carts = union(_event_parts(spark, sf_dir)[:3])
+    carts = event_changes(tables, "cart_info").drop("et")
     lines = carts.select(
         F.to_json(F.struct("database", "table", "type", "data", "old", "ts", "seq")).alias("value"),
         F.lit(None).cast("bigint").alias("position"),
     )
-    broken = table(spark, sf_dir, "events").where("event_type = 'error'").selectExpr(
+    broken = tables("events").where("event_type = 'error'").selectExpr(
         "concat('{\"table\":\"cart_info\",\"ts\":', event_id) value", "cast(null as bigint) position"
     )
     return lines.unionByName(broken)

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.adapters import star_schema as star
+from tidemart.adapters.star_schema import Tables
 from tidemart.functions import times
 from tidemart.operators import changes as ops
 from tidemart.operators.merge import dimension_table, live_rows, merge_changes, newest_rows
@@ -24,11 +25,13 @@ from tidemart.sources.topics import parse_behaviour, parse_changes, parse_facts,
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 
+_DETAIL_TABLES = ("order_detail", "order_info", "order_detail_activity", "order_detail_coupon")
 
-def query(fn: Query) -> Query:
+
+def query(fn: Callable[[Tables], DataFrame]) -> Query:
     @wraps(fn)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(configure(spark), sf_dir)
+        return fn(Tables(configure(spark), sf_dir))
 
     _QUERIES[fn.__name__] = run
     return run
@@ -39,19 +42,19 @@ def queries() -> dict[str, Query]:
 
 
 @query
-def order_detail(spark, sf_dir):
-    return facts.order_detail(star.order_changes(spark, sf_dir))
+def order_detail(tables):
+    return facts.order_detail(star.order_changes(tables, *_DETAIL_TABLES))
 
 
 @query
-def order_detail_salted(spark, sf_dir):
-    return facts.order_detail(star.order_changes(spark, sf_dir), salts=4)
+def order_detail_salted(tables):
+    return facts.order_detail(star.order_changes(tables, *_DETAIL_TABLES), salts=4)
 
 
 @query
-def order_detail_newest(spark, sf_dir):
+def order_detail_newest(tables):
     """The upsert sink's content after writing details and their later corrections."""
-    details = facts.order_detail(star.order_changes(spark, sf_dir))
+    details = facts.order_detail(star.order_changes(tables, *_DETAIL_TABLES))
     later = details.where("coupon_id is not null").withColumn("ts", F.col("ts") + 60).withColumn(
         "coupon_id", F.concat("coupon_id", F.lit("-corrected"))
     )
@@ -60,70 +63,70 @@ def order_detail_newest(spark, sf_dir):
 
 
 @query
-def order_cancel(spark, sf_dir):
-    changes = star.order_changes(spark, sf_dir)
+def order_cancel(tables):
+    changes = star.order_changes(tables, *_DETAIL_TABLES)
     return facts.order_cancel(with_event_time(facts.order_detail(changes)), changes)
 
 
 @query
-def payment_success(spark, sf_dir):
+def payment_success(tables):
     return facts.payment_success(
-        star.click_details(spark, sf_dir), star.event_changes(spark, sf_dir), star.dictionary(spark, sf_dir)
+        star.click_details(tables), star.event_changes(tables, "payment_info"), star.dictionary(tables)
     )
 
 
 @query
-def payment_success_6h(spark, sf_dir):
+def payment_success_6h(tables):
     return facts.payment_success(
-        star.click_details(spark, sf_dir), star.event_changes(spark, sf_dir), star.dictionary(spark, sf_dir),
+        star.click_details(tables), star.event_changes(tables, "payment_info"), star.dictionary(tables),
         before=6 * 3600, after=5, salts=3,
     )
 
 
 @query
-def order_refund(spark, sf_dir):
-    return facts.order_refund(star.order_changes(spark, sf_dir), star.dictionary(spark, sf_dir))
+def order_refund(tables):
+    return facts.order_refund(star.order_changes(tables, "order_refund_info", "order_info"), star.dictionary(tables))
 
 
 @query
-def refund_payment(spark, sf_dir):
-    return facts.refund_payment(star.order_changes(spark, sf_dir), star.dictionary(spark, sf_dir))
+def refund_payment(tables):
+    return facts.refund_payment(star.order_changes(tables, "refund_payment", "order_refund_info", "order_info"), star.dictionary(tables))
 
 
 @query
-def comment_lookup(spark, sf_dir):
-    return facts.comment_info(star.comment_changes(spark, sf_dir), star.dictionary(spark, sf_dir))
+def comment_lookup(tables):
+    return facts.comment_info(star.comment_changes(tables), star.dictionary(tables))
 
 
 @query
-def cart_add(spark, sf_dir):
-    return facts.cart_add(star.event_changes(spark, sf_dir))
+def cart_add(tables):
+    return facts.cart_add(star.event_changes(tables, "cart_info"))
 
 
 @query
-def cart_add_from_json(spark, sf_dir):
+def cart_add_from_json(tables):
     """Cart changes parsed from JSON lines, written as JSON facts and read back."""
-    changes, _ = parse_changes(star.change_lines(spark, sf_dir))
+    changes, _ = parse_changes(star.change_lines(tables))
     lines = fact_values(facts.cart_add(with_event_time(changes)))
     return parse_facts(lines, "cart_add")
 
 
 @query
-def cart_add_messages(spark, sf_dir):
+def cart_add_messages(tables):
     """The JSON text of cart facts, nulls included."""
-    return fact_values(facts.cart_add(star.event_changes(spark, sf_dir)))
+    return fact_values(facts.cart_add(star.event_changes(tables, "cart_info")))
 
 
 @query
-def change_quarantine(spark, sf_dir):
-    _, rejected = parse_changes(star.change_lines(spark, sf_dir))
+def change_quarantine(tables):
+    _, rejected = parse_changes(star.change_lines(tables))
     return rejected
 
 
 @query
-def change_validity(spark, sf_dir):
+def change_validity(tables):
     """How many changes of each table and kind dimensions and routed facts accept."""
-    changes = star.shop_changes(spark, sf_dir).drop("et").unionByName(star.dimension_log(spark, sf_dir))
+    changes = star.shop_changes(tables).drop("et").unionByName(star.dimension_log(tables))
 
     def tally(df: DataFrame, what: str) -> DataFrame:
         return df.groupBy("table", "type").agg(F.count(F.lit(1)).alias("n")).withColumn("accepted_by", F.lit(what))
@@ -132,34 +135,34 @@ def change_validity(spark, sf_dir):
 
 
 @query
-def dim_merge(spark, sf_dir):
+def dim_merge(tables):
     """Every live cell of every dimension."""
-    rows = routing.dimension_rows(star.dimension_log(spark, sf_dir), star.routing_config(spark))
+    rows = routing.dimension_rows(star.dimension_log(tables), star.routing_config(tables.spark))
     return rows.select("sink_table", "row_key", F.explode("data").alias("name", "value"))
 
 
 @query
-def dim_customer(spark, sf_dir):
+def dim_customer(tables):
     """The customer dimension as a table."""
-    config = star.routing_config(spark)
-    routed = route_dimensions(star.dimension_log(spark, sf_dir), config)
+    config = star.routing_config(tables.spark)
+    routed = route_dimensions(star.dimension_log(tables), config)
     rows = live_rows(merge_changes(routed))
     return dimension_table(rows, "dim_customer", ["id", "name", "acctbal", "segment"])
 
 
 @query
-def fact_route(spark, sf_dir):
-    return routing.routed_facts(star.dimension_log(spark, sf_dir), star.routing_config(spark))
+def fact_route(tables):
+    return routing.routed_facts(star.dimension_log(tables), star.routing_config(tables.spark))
 
 
 @query
-def config_state(spark, sf_dir):
-    changes = config_changes(star.config_envelopes(spark, sf_dir))
-    return current_config(changes, "dim", star.config_start(spark, sf_dir))
+def config_state(tables):
+    changes = config_changes(star.config_envelopes(tables))
+    return current_config(changes, "dim", star.config_start(tables))
 
 
-def _visits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star.table(spark, sf_dir, "events").selectExpr(
+def _visits(tables: Tables) -> DataFrame:
+    return tables("events").selectExpr(
         "concat('m', user_id) mid",
         "case when event_type = 'error' then null when event_type = 'click' then '0' else '1' end is_new",
         "unix_millis(cast(ts as timestamp)) ts",
@@ -168,18 +171,18 @@ def _visits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def new_visitor(spark, sf_dir):
-    return correct_visitors(_visits(spark, sf_dir), ARRIVAL)
+def new_visitor(tables):
+    return correct_visitors(_visits(tables), ARRIVAL)
 
 
 @query
-def new_visitor_same_day(spark, sf_dir):
-    return correct_visitors(_visits(spark, sf_dir), SAME_DAY)
+def new_visitor_same_day(tables):
+    return correct_visitors(_visits(tables), SAME_DAY)
 
 
-def _log_output(spark: SparkSession, sf_dir: str, output: str, paths: dict[str, str], absent: list[str] = ()) -> DataFrame:
+def _log_output(tables: Tables, output: str, paths: dict[str, str], absent: list[str] = ()) -> DataFrame:
     """Fields of one output, read from the JSON text that is written."""
-    written = log_messages(traffic.split_log(star.log_lines(spark, sf_dir))[output])
+    written = log_messages(traffic.split_log(star.log_lines(tables))[output])
     return written.select(
         *[F.get_json_object("value", path).alias(name) for name, path in paths.items()],
         *[F.get_json_object("value", f"$.{key}").isNotNull().cast("int").alias(f"has_{key}") for key in absent],
@@ -191,45 +194,45 @@ _FLAT = {"mid": "$.mid", "is_new": "$.is_new", "ch": "$.ch", "item": "$.item", "
 
 
 @query
-def log_start(spark, sf_dir):
+def log_start(tables):
     paths = {**_COMMON, "entry": "$.start.entry", "loading": "$.start.loading"}
-    return _log_output(spark, sf_dir, START, paths, ["displays", "action", "err"])
+    return _log_output(tables, START, paths, ["displays", "action", "err"])
 
 
 @query
-def log_display(spark, sf_dir):
-    return _log_output(spark, sf_dir, DISPLAY, {**_FLAT, "pos": "$.pos"})
+def log_display(tables):
+    return _log_output(tables, DISPLAY, {**_FLAT, "pos": "$.pos"})
 
 
 @query
-def log_action(spark, sf_dir):
-    return _log_output(spark, sf_dir, ACTION, {**_FLAT, "action_id": "$.action_id"})
+def log_action(tables):
+    return _log_output(tables, ACTION, {**_FLAT, "action_id": "$.action_id"})
 
 
 @query
-def log_err(spark, sf_dir):
+def log_err(tables):
     paths = {**_COMMON, "code": "$.err.code"}
-    return _log_output(spark, sf_dir, ERR, paths, ["displays", "action", "page"])
+    return _log_output(tables, ERR, paths, ["displays", "action", "page"])
 
 
 @query
-def log_page(spark, sf_dir):
+def log_page(tables):
     paths = {**_COMMON, "page_id": "$.page.page_id"}
-    return _log_output(spark, sf_dir, PAGE, paths, ["displays", "action", "err"])
+    return _log_output(tables, PAGE, paths, ["displays", "action", "err"])
 
 
 @query
-def log_quarantine(spark, sf_dir):
-    _, rejected = parse_behaviour(star.log_lines(spark, sf_dir))
+def log_quarantine(tables):
+    _, rejected = parse_behaviour(star.log_lines(tables))
     return rejected
 
 
 @query
-def date_ids(spark, sf_dir):
+def date_ids(tables):
     """Event times as day and text, and the text read back at a fixed offset."""
     ms = F.unix_millis(F.col("ts").cast("timestamp"))
     text = times.datetime_of_millis(ms)
-    return star.table(spark, sf_dir, "events").select(
+    return tables("events").select(
         "event_id",
         times.day_of_millis(ms).alias("day"),
         text.alias("text"),
