@@ -394,3 +394,13 @@ def change_lines(tables: Tables) -> DataFrame:
         "concat('{\"table\":\"cart_info\",\"ts\":', event_id) value", "cast(null as bigint) position"
     )
     return lines.unionByName(broken)
+
+
+def visits(tables: Tables) -> DataFrame:
+    """Events as visits of devices, for the new-visitor correction alone."""
+    return tables("events").selectExpr(
+        "concat('m', user_id) mid",
+        "case when event_type = 'error' then null when event_type = 'click' then '0' else '1' end is_new",
+        "unix_millis(cast(ts as timestamp)) ts",
+        "event_id seq",
+    )

@@ -226,7 +226,7 @@ SELECT event_id, {_DAY.format('ts')} AS "day", {_TEXT_TIME.format('ts')} AS "tex
     {_SECONDS.format('ts')} * 1000 - 28800000 AS millis, {_TEXT_TIME.format('ts')} AS event_time,
     CASE WHEN event_type <> 'error' THEN {_DAY.format('ts')} END AS day_of_text
 FROM events"""
-    return {
+    sql = {
         "order_detail": _ORDER_DETAIL,
         "order_detail_salted": _ORDER_DETAIL,
         "order_detail_newest": newest,
@@ -275,3 +275,8 @@ FROM events"""
         "log_quarantine": log_quarantine,
         "date_ids": date_ids,
     }
+    streamed = (
+        "payment_success order_refund refund_payment comment_lookup cart_add log_page log_display log_action "
+        "new_visitor new_visitor_same_day dim_customer fact_route"
+    )
+    return {**sql, **{f"stream_{name}": sql[name] for name in streamed.split()}}

@@ -28,16 +28,20 @@ _QUERIES: dict[str, Query] = {}
 _DETAIL_TABLES = ("order_detail", "order_info", "order_detail_activity", "order_detail_coupon")
 
 
-def query(fn: Callable[[Tables], DataFrame]) -> Query:
+def query(fn: Callable[[Tables], DataFrame], streaming: bool = False) -> Query:
+    """Register a query under its function's name."""
+
     @wraps(fn)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(Tables(configure(spark), sf_dir))
+        return fn(Tables(configure(spark), sf_dir, streaming))
 
     _QUERIES[fn.__name__] = run
     return run
 
 
 def queries() -> dict[str, Query]:
+    from tidemart.checks import streams  # noqa: F401  (registers the streaming queries)
+
     return dict(_QUERIES)
 
 
@@ -161,64 +165,59 @@ def config_state(tables):
     return current_config(changes, "dim", star.config_start(tables))
 
 
-def _visits(tables: Tables) -> DataFrame:
-    return tables("events").selectExpr(
-        "concat('m', user_id) mid",
-        "case when event_type = 'error' then null when event_type = 'click' then '0' else '1' end is_new",
-        "unix_millis(cast(ts as timestamp)) ts",
-        "event_id seq",
-    )
-
-
 @query
 def new_visitor(tables):
-    return correct_visitors(_visits(tables), ARRIVAL)
+    return correct_visitors(star.visits(tables), ARRIVAL)
 
 
 @query
 def new_visitor_same_day(tables):
-    return correct_visitors(_visits(tables), SAME_DAY)
+    return correct_visitors(star.visits(tables), SAME_DAY)
 
 
-def _log_output(tables: Tables, output: str, paths: dict[str, str], absent: list[str] = ()) -> DataFrame:
+def log_output(tables: Tables, output: str, paths: dict[str, str], absent: list[str] = ()) -> DataFrame:
     """Fields of one output, read from the JSON text that is written."""
     written = log_messages(traffic.split_log(star.log_lines(tables))[output])
+    return log_fields(written, paths, absent)
+
+
+def log_fields(written: DataFrame, paths: dict[str, str], absent: list[str] = ()) -> DataFrame:
     return written.select(
         *[F.get_json_object("value", path).alias(name) for name, path in paths.items()],
         *[F.get_json_object("value", f"$.{key}").isNotNull().cast("int").alias(f"has_{key}") for key in absent],
     )
 
 
-_COMMON = {"mid": "$.common.mid", "is_new": "$.common.is_new", "ch": "$.common.ch", "event": "$.event", "ts": "$.ts"}
-_FLAT = {"mid": "$.mid", "is_new": "$.is_new", "ch": "$.ch", "item": "$.item", "ts": "$.ts"}
+COMMON_PATHS = {"mid": "$.common.mid", "is_new": "$.common.is_new", "ch": "$.common.ch", "event": "$.event", "ts": "$.ts"}
+FLAT_PATHS = {"mid": "$.mid", "is_new": "$.is_new", "ch": "$.ch", "item": "$.item", "ts": "$.ts"}
 
 
 @query
 def log_start(tables):
-    paths = {**_COMMON, "entry": "$.start.entry", "loading": "$.start.loading"}
-    return _log_output(tables, START, paths, ["displays", "action", "err"])
+    paths = {**COMMON_PATHS, "entry": "$.start.entry", "loading": "$.start.loading"}
+    return log_output(tables, START, paths, ["displays", "action", "err"])
 
 
 @query
 def log_display(tables):
-    return _log_output(tables, DISPLAY, {**_FLAT, "pos": "$.pos"})
+    return log_output(tables, DISPLAY, {**FLAT_PATHS, "pos": "$.pos"})
 
 
 @query
 def log_action(tables):
-    return _log_output(tables, ACTION, {**_FLAT, "action_id": "$.action_id"})
+    return log_output(tables, ACTION, {**FLAT_PATHS, "action_id": "$.action_id"})
 
 
 @query
 def log_err(tables):
-    paths = {**_COMMON, "code": "$.err.code"}
-    return _log_output(tables, ERR, paths, ["displays", "action", "page"])
+    paths = {**COMMON_PATHS, "code": "$.err.code"}
+    return log_output(tables, ERR, paths, ["displays", "action", "page"])
 
 
 @query
 def log_page(tables):
-    paths = {**_COMMON, "page_id": "$.page.page_id"}
-    return _log_output(tables, PAGE, paths, ["displays", "action", "err"])
+    paths = {**COMMON_PATHS, "page_id": "$.page.page_id"}
+    return log_output(tables, PAGE, paths, ["displays", "action", "err"])
 
 
 @query
