@@ -19,27 +19,24 @@ def correct_visitors(records: DataFrame, mode: str = ARRIVAL) -> DataFrame:
 
     The first record per device comes from an aggregate, which reduces a busy
     device before the shuffle, rather than from a window that would sort all its
-    records in one task. Only records that claim to be new need the join; the
-    others pass by it. The two parts come out as one union.
+    records in one task. Records that stay new are then found by a join on the
+    device and that record, or that day, so a busy device's records spread over
+    the partitions. Records that do not claim to be new pass by the join.
     """
     claims = F.col("is_new") == "1"
     firsts = records.groupBy("mid").agg(F.min(F.struct("ts", "seq", "is_new")).alias("first"))
-    first = firsts.select(
-        F.col("mid").alias("_mid"),
-        F.col("first.ts").alias("_ts"),
-        F.col("first.seq").alias("_seq"),
-        F.when(F.col("first.is_new") == "1", F.col("first.ts"))
-        .otherwise(F.col("first.ts") - DAY_MILLIS)
-        .alias("_visit"),
-    )
+    # Where the first record claims nothing, the visit lies before all records.
+    news = firsts.where(F.col("first.is_new") == "1")
     if mode == ARRIVAL:
-        still_new = F.col("ts").eqNullSafe(F.col("_ts")) & F.col("seq").eqNullSafe(F.col("_seq"))
+        news = news.select(F.col("mid").alias("_mid"), F.col("first.ts").alias("_ts"), F.col("first.seq").alias("_seq"))
+        same = F.col("ts").eqNullSafe(F.col("_ts")) & F.col("seq").eqNullSafe(F.col("_seq"))
     elif mode == SAME_DAY:
-        still_new = day_of_millis(F.col("ts")) == day_of_millis(F.col("_visit"))
+        news = news.select(F.col("mid").alias("_mid"), day_of_millis(F.col("first.ts")).alias("_day"))
+        same = day_of_millis(F.col("ts")) == F.col("_day")
     else:
         raise ValueError(f"unknown mode {mode!r}")
-    # A device whose first record claims nothing is never new on that record.
-    claimed = records.where(claims).join(first, F.col("mid") == F.col("_mid"), "inner")
-    corrected = claimed.withColumn("is_new", F.when(still_new, "1").otherwise("0")).select(*records.columns)
+    claimed = records.where(claims).join(news, (F.col("mid") == F.col("_mid")) & same, "left")
+    flag = F.when(F.col("_mid").isNotNull(), "1").otherwise("0")
+    corrected = claimed.withColumn("is_new", flag).select(*records.columns)
     unclaimed = records.where(~F.coalesce(claims, F.lit(False)))
     return corrected.unionByName(unclaimed)
