@@ -1,6 +1,7 @@
 """Streams give the rows batch runs give, however the log is cut into files."""
 
 import json
+import re
 from collections import Counter
 
 import pytest
@@ -13,7 +14,7 @@ from tidemart.plans import facts
 from tidemart.schemas import FACT_COLUMNS
 from tidemart.sinks.keyed import DimensionStore, newest_fact_table
 from tidemart.sinks.messages import FileSink
-from tidemart.sources.bronze import read_bronze
+from tidemart.sources.bronze import read_bronze, write_bronze
 from tidemart.sources.topics import parse_facts, read_changes, read_facts, read_lines, with_event_time
 from tidemart.streaming import jobs
 from tidemart.streaming.jobs import Run
@@ -121,18 +122,23 @@ def test_changes_beyond_the_bound_do_not_join(spark, tmp_path):
 
 
 def test_bronze(spark, tmp_path, batch):
-    rows = dumps(HISTORY + FLUSH)
-    folder = write_files(tmp_path / "log", rows + ["{bad", "[1]", "", "null"], 3)
-    out, rejects = str(tmp_path / "bronze"), FileSink(str(tmp_path / "rejects"))
-    lines = read_lines(spark, folder, "text", maxFilesPerTrigger="1")
-    jobs.start_bronze(lines, out, rejects, Run(str(tmp_path / "c"), None)).awaitTermination()
-    stored = read_bronze(spark, out)
-    assert bag(facts.order_detail(stored)) == batch["order_detail"]
-    assert sorted(r.value for r in spark.read.text(f"{rejects.root}/{jobs.REJECTED}").collect()) == sorted(
-        ["{bad", "[1]", "", "null"]
-    )
-    plan = stored.where("table = 'cart_info'")._jdf.queryExecution().toString()
-    assert "PartitionFilters: [isnotnull(table" in plan
+    bad = ["{bad", "[1]", "", "null"]
+    folder = write_files(tmp_path / "log", dumps(HISTORY + FLUSH) + bad, 3)
+    out, sink = str(tmp_path / "bronze"), FileSink(str(tmp_path / "rejects"))
+
+    def lines():
+        return read_lines(spark, folder, "text", maxFilesPerTrigger="1")
+
+    jobs.start_bronze(lines(), out, Run(str(tmp_path / "c1"), None)).awaitTermination()
+    jobs.start_change_rejects(lines(), sink, Run(str(tmp_path / "c2"), None)).awaitTermination()
+    assert sorted(r.value for r in spark.read.text(f"{sink.root}/{jobs.REJECTED}").collect()) == sorted(bad)
+
+    write_bronze(read_bronze(spark, out), str(tmp_path / "again"))
+    for path in (out, str(tmp_path / "again")):
+        stored = read_bronze(spark, path)
+        assert bag(facts.order_detail(stored)) == batch["order_detail"]
+        plan = facts.CANCEL.read(stored)._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"PartitionFilters: \[isnotnull\(table#\d+\), \(table#\d+ = order_info\)\]", plan)
 
 
 def visit_line(mid, is_new, ts, **more):

@@ -8,20 +8,30 @@ from tidemart.schemas import CHANGE_DDL
 from tidemart.sources.topics import with_event_time
 
 
+PARTITIONS = ("table", "day")
+STREAM_SALTS = 8
+
+
+def bronze_rows(changes: DataFrame) -> DataFrame:
+    """Changes with the day they belong to."""
+    day = F.date_format(F.timestamp_seconds("ts"), "yyyy-MM-dd")
+    return changes.select("database", "type", "data", "old", "ts", "seq", "table", day.alias("day"))
+
+
 def write_bronze(changes: DataFrame, path: str, mode: str = "append") -> None:
-    """Store changes by (table, day).
+    """Store a batch of changes by (table, day).
 
     The rebalance hint gathers each partition into few files and splits the
     partitions of a busy table over many tasks.
     """
-    day = F.date_format(F.timestamp_seconds("ts"), "yyyy-MM-dd")
-    (
-        changes.select("database", "table", "type", "data", "old", "ts", "seq", day.alias("day"))
-        .hint("rebalance", "table", "day")
-        .write.mode(mode)
-        .partitionBy("table", "day")
-        .parquet(path)
-    )
+    rows = bronze_rows(changes).hint("rebalance", *PARTITIONS)
+    rows.write.mode(mode).partitionBy(*PARTITIONS).parquet(path)
+
+
+def gathered(changes: DataFrame, salts: int = STREAM_SALTS) -> DataFrame:
+    """Bronze rows of a stream, gathered by partition into at most ``salts`` tasks each."""
+    rows = bronze_rows(changes)
+    return rows.repartition(*PARTITIONS, F.pmod(F.xxhash64("ts", "seq", F.map_values("data")), F.lit(salts)))
 
 
 def read_bronze(
@@ -29,4 +39,4 @@ def read_bronze(
 ) -> DataFrame:
     """Stored changes; a filter on ``table`` or ``day`` prunes partitions."""
     reader = spark.readStream if streaming else spark.read
-    return with_event_time(reader.schema(CHANGE_DDL + ", day date, run string").parquet(path), delay)
+    return with_event_time(reader.schema(CHANGE_DDL + ", day date").parquet(path), delay)

@@ -20,7 +20,7 @@ from tidemart.operators.visitors import ARRIVAL
 from tidemart.plans import facts
 from tidemart.sinks.keyed import DimensionStore, MergedTable
 from tidemart.sinks.messages import FileSink, KafkaSink, fact_values, keyed_fact_values
-from tidemart.sources.bronze import write_bronze
+from tidemart.sources.bronze import PARTITIONS, gathered
 from tidemart.sources.config import config_changes
 from tidemart.sources.topics import parse_behaviour, parse_changes, with_document
 from tidemart.streaming.visitors import correct_visitors_stream
@@ -62,9 +62,13 @@ class Run:
         writer = df.writeStream.foreachBatch(each).option("checkpointLocation", self.checkpoint)
         return self._triggered(writer).start()
 
-    def start_files(self, df: DataFrame, path: str, fmt: str = "parquet") -> StreamingQuery:
+    def start_files(
+        self, df: DataFrame, path: str, fmt: str = "parquet", partition_by: tuple[str, ...] = ()
+    ) -> StreamingQuery:
         """Append rows to a folder, each exactly once."""
         writer = df.writeStream.format(fmt).option("checkpointLocation", self.checkpoint).option("path", path)
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
         return self._triggered(writer.outputMode("append")).start()
 
     def _triggered(self, writer):
@@ -73,19 +77,16 @@ class Run:
         return writer.trigger(processingTime=self.every)
 
 
-def start_bronze(lines: DataFrame, path: str, rejects: Sink, run: Run) -> StreamingQuery:
-    """Parse the change log into bronze and put aside lines that do not parse."""
+def start_bronze(lines: DataFrame, path: str, run: Run) -> StreamingQuery:
+    """Parse the change log into bronze."""
+    changes, _ = parse_changes(lines)
+    return run.start_files(gathered(changes), path, partition_by=PARTITIONS)
 
-    def handle(batch: DataFrame, name: str) -> None:
-        batch = batch.persist()
-        try:
-            changes, rejected = parse_changes(batch)
-            write_bronze(changes, f"{path}/run={name}", mode="overwrite")
-            rejects.write(rejected, REJECTED, name)
-        finally:
-            batch.unpersist()
 
-    return run.start(lines, handle)
+def start_change_rejects(lines: DataFrame, sink: Sink, run: Run) -> StreamingQuery:
+    """Put aside change-log lines that do not parse."""
+    _, rejected = parse_changes(lines)
+    return run.start(rejected, lambda batch, name: sink.write(batch, REJECTED, name))
 
 
 def start_log_split(lines: DataFrame, sink: Sink, run: Run, mode: str = ARRIVAL, **options) -> StreamingQuery:
