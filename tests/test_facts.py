@@ -132,6 +132,6 @@ def test_lookup_beyond_the_broadcast_bound(spark, changes, dictionary, monkeypat
     from tidemart.operators import joins
 
     expected = bag(facts.order_refund(changes, dictionary))
-    monkeypatch.setattr(joins.small_side, "__defaults__", (2, 10))
+    monkeypatch.setattr(joins.is_small, "__defaults__", (2, 10))
     df = facts.order_refund(changes, dictionary)
     assert bag(df) == expected

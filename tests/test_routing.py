@@ -61,7 +61,7 @@ def test_config_too_large_to_broadcast_routes_the_same(spark, monkeypatch):
     routes = config(spark, *[(f"t{i}", "ALL", f"d{i}", "dim", "id", "id") for i in range(9)])
     changes = changes_df(spark, [change(f"t{i % 12}", "insert", {"id": str(i)}) for i in range(50)])
     small = bag(route_dimensions(changes, routes).selectExpr("sink_table", "row_key"))
-    monkeypatch.setattr(joins.small_side, "__defaults__", (2, 10))
+    monkeypatch.setattr(joins.is_small, "__defaults__", (2, 10))
     assert bag(route_dimensions(changes, routes).selectExpr("sink_table", "row_key")) == small
 
 

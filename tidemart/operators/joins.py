@@ -14,17 +14,27 @@ from pyspark.sql import functions as F
 # A side is broadcast when it holds no more than this.
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 32 * 1024 * 1024
+# Partitions over which a key is spread when its other side is too large for that.
+LOOKUP_SALTS = 16
 
 
-def small_side(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
-    """``df``, marked for broadcast if it is measured to be small enough.
-
-    The measuring reads at most ``rows`` + 1 rows. A larger side is left to an
-    ordinary shuffled join.
-    """
+def is_small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """Whether ``df`` is measured to fit the broadcast bounds; reads at most ``rows`` + 1 rows."""
     width = F.octet_length(F.to_json(F.struct("*")))
     seen = df.limit(rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("size")).first()
-    return F.broadcast(df) if seen["n"] <= rows and (seen["size"] or 0) <= size else df
+    return seen["n"] <= rows and (seen["size"] or 0) <= size
+
+
+def measured_join(many: DataFrame, few: DataFrame, on: Column, spread: Column, small: bool | None = None) -> DataFrame:
+    """Inner join with a side that is usually small, such as a dictionary.
+
+    The side is broadcast if measured to be small. If not, it is repeated once
+    per salt and the rows of a busy key are spread by the hash ``spread``.
+    """
+    if is_small(few) if small is None else small:
+        return many.join(F.broadcast(few), on, "inner")
+    many, few, same = _salted(many, few, LOOKUP_SALTS, spread)
+    return many.join(few, on & same, "inner").drop("_salt_many", "_salt_one")
 
 
 def near(left: str, right: str, bound: str | None) -> Column:
@@ -35,13 +45,16 @@ def near(left: str, right: str, bound: str | None) -> Column:
     return (F.col(right) >= F.col(left) - reach) & (F.col(right) <= F.col(left) + reach)
 
 
-def _salted(many: DataFrame, one: DataFrame, salts: int) -> tuple[DataFrame, DataFrame, Column]:
-    """Spread ``many`` by a hash of the row and repeat ``one`` once per salt."""
+def _salted(
+    many: DataFrame, one: DataFrame, salts: int, spread: Column | None = None
+) -> tuple[DataFrame, DataFrame, Column]:
+    """Spread ``many`` by a hash, by default of the row, and repeat ``one`` once per salt."""
     if salts <= 1:
         return many, one, F.lit(True)
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in many.columns]), F.lit(salts)).cast("int")
+    if spread is None:
+        spread = F.xxhash64(*[F.col(c) for c in many.columns])
     return (
-        many.withColumn("_salt_many", spread),
+        many.withColumn("_salt_many", F.pmod(spread, F.lit(salts)).cast("int")),
         one.withColumn("_salt_one", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))),
         F.col("_salt_many") == F.col("_salt_one"),
     )
@@ -127,10 +140,8 @@ def interval_join(
     )
 
 
-def lookup(fact: DataFrame, dictionary: DataFrame, code: str, name: str) -> DataFrame:
-    """Add the dictionary name of a code; rows whose code is unknown are dropped.
-
-    Pass a dictionary that went through :func:`small_side`.
-    """
+def lookup(fact: DataFrame, dictionary: DataFrame, code: str, name: str, small: bool | None = None) -> DataFrame:
+    """Add the dictionary name of a code; rows whose code is unknown are dropped."""
     names = dictionary.select(F.col("dic_code").alias("_code"), F.col("dic_name").alias(name))
-    return fact.join(names, F.col(code) == F.col("_code"), "inner").drop("_code")
+    spread = F.xxhash64(*[F.col(c) for c in fact.columns])
+    return measured_join(fact, names, F.col(code) == F.col("_code"), spread, small).drop("_code")

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tidemart.constants import ANY_TYPE, DATABASE
 from tidemart.operators.changes import dimension_changes, fact_changes
-from tidemart.operators.joins import small_side
+from tidemart.operators.joins import measured_join
 from tidemart.schemas import CONFIG_COLUMNS
 
 
@@ -49,7 +49,8 @@ def _route(changes: DataFrame, routes: DataFrame, match: Column) -> DataFrame:
 
     The row key is read before pruning, so it need not be a sink column.
     """
-    return changes.join(routes, match, "inner").select(
+    spread = F.xxhash64("ts", "seq", F.map_values("data"))
+    return measured_join(changes, routes, match, spread).select(
         "sink_table",
         F.col("data")[F.col("sink_row_key")].alias("row_key"),
         F.col("type").alias("op_type"),
@@ -64,14 +65,14 @@ def route_dimensions(changes: DataFrame, config: DataFrame, database: str = DATA
 
     Rows without a row key can be told by a null ``row_key``.
     """
-    routes = small_side(_routes(config.where(F.col("source_type") == ANY_TYPE)))
+    routes = _routes(config.where(F.col("source_type") == ANY_TYPE))
     return _route(dimension_changes(changes, database), routes, F.col("table") == F.col("_table"))
 
 
 def route_facts(changes: DataFrame, config: DataFrame, database: str = DATABASE) -> DataFrame:
     """Fact changes with their target; a config row covers one kind of change."""
     match = (F.col("table") == F.col("_table")) & (F.col("type") == F.col("_type"))
-    return _route(fact_changes(changes, database), small_side(_routes(config)), match)
+    return _route(fact_changes(changes, database), _routes(config), match)
 
 
 def fact_messages(routed: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ from tidemart.constants import (
 from tidemart.functions.numbers import product_text
 from tidemart.functions.times import day_of_text
 from tidemart.operators.changes import Slice, added, added_amount
-from tidemart.operators.joins import inner_join, interval_join, left_join, lookup, small_side, spread_key
+from tidemart.operators.joins import inner_join, interval_join, is_small, left_join, lookup, spread_key
 from tidemart.schemas import DICTIONARY_COLUMNS, FACT_COLUMNS
 
 COMMENT = Slice(
@@ -87,9 +87,10 @@ def _fact(df: DataFrame, fact: str, **columns) -> DataFrame:
 
 def _named(df: DataFrame, dictionary: DataFrame, fact: str, **codes: str) -> DataFrame:
     """Look up the names of codes; ``codes`` maps name columns to code columns."""
-    dictionary = small_side(dictionary.select(*DICTIONARY_COLUMNS))
+    dictionary = dictionary.select(*DICTIONARY_COLUMNS)
+    small = is_small(dictionary)
     for name, code in codes.items():
-        df = lookup(df, dictionary, code, name)
+        df = lookup(df, dictionary, code, name, small)
     return df.select(*FACT_COLUMNS[fact])
 
 
