@@ -14,18 +14,17 @@ STREAM_SALTS = 8
 
 def bronze_rows(changes: DataFrame) -> DataFrame:
     """Changes with the day they belong to."""
-    day = F.date_format(F.timestamp_seconds("ts"), "yyyy-MM-dd")
+    day = F.to_date(F.timestamp_seconds("ts"))
     return changes.select("database", "type", "data", "old", "ts", "seq", "table", day.alias("day"))
 
 
-def write_bronze(changes: DataFrame, path: str, mode: str = "append") -> None:
-    """Store a batch of changes by (table, day).
+def write_bronze(changes: DataFrame, path: str, mode: str = "append", by: tuple[str, ...] = PARTITIONS) -> None:
+    """Store a batch of changes by (table, day), or by table only where days hold little.
 
     The rebalance hint gathers each partition into few files and splits the
     partitions of a busy table over many tasks.
     """
-    rows = bronze_rows(changes).hint("rebalance", *PARTITIONS)
-    rows.write.mode(mode).partitionBy(*PARTITIONS).parquet(path)
+    bronze_rows(changes).hint("rebalance", *by).write.mode(mode).partitionBy(*by).parquet(path)
 
 
 def gathered(changes: DataFrame, salts: int = STREAM_SALTS) -> DataFrame:
