@@ -1,6 +1,7 @@
 """Streams give the rows batch runs give, however the log is cut into files."""
 
 import json
+import random
 import re
 from collections import Counter
 
@@ -9,15 +10,16 @@ from logs import bag, changes_df, dumps, json_bag, write_files
 from shop import DICTIONARY, FLUSH, HISTORY, T0
 
 from tidemart import constants as C
-from tidemart.operators.visitors import ARRIVAL, SAME_DAY
+from tidemart.operators.visitors import ARRIVAL, SAME_DAY, correct_visitors
 from tidemart.plans import facts
 from tidemart.schemas import FACT_COLUMNS
 from tidemart.sinks.keyed import DimensionStore, newest_fact_table
 from tidemart.sinks.messages import FileSink
 from tidemart.sources.bronze import read_bronze, write_bronze
-from tidemart.sources.topics import parse_facts, read_changes, read_facts, read_lines, with_event_time
+from tidemart.sources.topics import parse_behaviour, parse_facts, read_changes, read_facts, read_lines, with_event_time
 from tidemart.streaming import jobs
 from tidemart.streaming.jobs import Run
+from tidemart.streaming.visitors import correct_visitors_stream
 
 
 @pytest.fixture(scope="module")
@@ -165,6 +167,58 @@ def test_log_split(spark, tmp_path, mode, files):
     assert json_bag(spark.read.text(f"{sink.root}/{C.TOPIC_TRAFFIC_PAGE}")) == json_bag(log_messages(expected))
 
 
+def corrected_stream(spark, tmp_path, visits, mode, files, name):
+    lines = [visit_line(mid, flag, ts, n=i) for i, (mid, flag, ts) in enumerate(visits)]
+    folder = write_files(tmp_path / name, lines, files)
+    records, _ = parse_behaviour(read_lines(spark, folder, "text", maxFilesPerTrigger="1"))
+    out = str(tmp_path / f"{name}-out")
+    Run(str(tmp_path / f"{name}-c"), None).start_files(correct_visitors_stream(records, mode), out).awaitTermination()
+    got = spark.read.parquet(out).selectExpr("cast(get_json_object(value, '$.n') as int) n", "is_new").collect()
+    return [flag for _, flag in sorted(tuple(r) for r in got)]
+
+
+@pytest.mark.parametrize("mode", [ARRIVAL, SAME_DAY])
+def test_visitors_in_disorder_within_a_batch(spark, tmp_path, mode):
+    """Any order within one micro-batch, over several Arrow batches and devices."""
+    rng = random.Random(7)
+    visits = [(f"m{rng.randrange(5)}", rng.choice(["1", "1", "0", None]), DAY * rng.randint(1, 3) + i)
+              for i in rng.sample(range(400), 400)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
+    try:
+        got = corrected_stream(spark, tmp_path, visits, mode, 1, "log")
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    rows = [(m, f, t, i) for i, (m, f, t) in enumerate(visits)]
+    batch = correct_visitors(spark.createDataFrame(rows, "mid string, is_new string, ts bigint, seq bigint"), mode)
+    assert got == [r.is_new for r in batch.orderBy("seq").collect()]
+
+
+def test_state_survives_a_restart(spark, tmp_path):
+    folder = tmp_path / "log"
+    run = Run(str(tmp_path / "c"), None)
+    sink = FileSink(str(tmp_path / "out"))
+    for lines in ([visit_line("a", "1", DAY)], [visit_line("a", "1", DAY + 1), visit_line("b", "1", DAY)]):
+        write_files(folder, lines)
+        jobs.start_log_split(read_lines(spark, str(folder), "text"), sink, run).awaitTermination()
+    pages = [json.loads(r.value) for r in spark.read.text(f"{sink.root}/{C.TOPIC_TRAFFIC_PAGE}").collect()]
+    assert sorted((p["common"]["mid"], p["ts"], p["common"]["is_new"]) for p in pages) == [
+        ("a", DAY, "1"), ("a", DAY + 1, "0"), ("b", DAY, "1"),
+    ]
+
+
+def test_a_replayed_dimension_batch_changes_nothing(spark):
+    store = DimensionStore("dim_replay")
+    routed = spark.createDataFrame(
+        [("dim_t", "k", "insert", {"a": "1"}, 1, 1), ("dim_t", "k", "delete", {}, 2, 2), ("dim_t", "j", "insert", {"a": "2"}, 1, 3)],
+        "sink_table string, row_key string, op_type string, data map<string,string>, ts bigint, seq bigint",
+    )
+    late = routed.where("seq = 1")
+    for changes, name in ((routed, "r1"), (routed, "r1"), (late, "r2"), (routed, "r3")):
+        store.apply(changes, name)
+    assert bag(store.read(spark, "dim_t", ["a"])) == {("j", "2"): 1}
+    assert spark.table("dim_replay.dim_t").where("run = 'r1'").count() == 2
+
+
 def test_dimensions_and_fact_router(spark, tmp_path):
     from logs import change
 

@@ -2,6 +2,7 @@
 
 import sys
 from collections.abc import Iterator
+from functools import partial
 from typing import Any
 
 import pandas as pd
@@ -20,6 +21,31 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 _OUTPUT = "mid string, ts bigint, seq bigint, is_new string, value string"
 
 
+_READY = _OUTPUT + ", day int, day_before int"
+# Groups over which records of one device that need no state are spread.
+SPREAD = 64
+
+
+def _aged(chunk: pd.DataFrame, old: pd.Series) -> pd.DataFrame:
+    """Records with the claim to be new withdrawn where ``old``."""
+    return chunk.assign(is_new=chunk["is_new"].mask((chunk["is_new"] == "1") & old, "0"))
+
+
+def settle(batches: Iterator[pd.DataFrame], mode: str) -> Iterator[pd.DataFrame]:
+    """Judge the records that an earlier one in the same batch already settles.
+
+    Of a device's records in a batch at most its first, and under ``same_day``
+    those that may share its day, still need the device's state.
+    """
+    for batch in batches:
+        firsts = ~batch.sort_values(["ts", "seq"]).duplicated("mid")
+        settled = ~firsts.reindex(batch.index)
+        if mode == SAME_DAY:
+            later = batch["day"] > batch.groupby("mid")["day"].transform("min")
+            settled &= later | (batch["is_new"] != "1")
+        yield _aged(batch, settled).assign(settled=settled)
+
+
 class FirstVisit(StatefulProcessor):
     """Keeps the day of a device's first visit and judges its records by it.
 
@@ -37,14 +63,21 @@ class FirstVisit(StatefulProcessor):
         self.visit = handle.getValueState("visit_day", T.StructType([T.StructField("day", T.IntegerType())]))
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        if self.visit.exists():
-            day = self.visit.get()[0]
-            for chunk in rows:
-                yield self._judged(chunk, (chunk["day"] == day) & (self.mode == SAME_DAY))
-            return
-        first = held = None
+        known = day = first = held = None
         for chunk in rows:
-            if held is not None and len(held):
+            done = chunk["settled"]
+            if done.any():
+                yield self._out(chunk[done])
+                chunk = chunk[~done]
+            if chunk.empty:
+                continue
+            if known is None:
+                known = self.visit.exists()
+                day = self.visit.get()[0] if known else None
+            if known:
+                yield self._out(_aged(chunk, (chunk["day"] != day) | (self.mode == ARRIVAL)))
+                continue
+            if held is not None:
                 chunk = pd.concat([held, chunk], ignore_index=True)
             least = chunk.sort_values(["ts", "seq"]).iloc[0]
             if first is None or (least["ts"], least["seq"]) < (first["ts"], first["seq"]):
@@ -54,20 +87,15 @@ class FirstVisit(StatefulProcessor):
             else:
                 keep = (chunk["is_new"] == "1") & (chunk["day"] == first["day"])
             held = chunk[keep]
-            rest = chunk[~keep]
-            if len(rest):
-                yield self._judged(rest, pd.Series(False, index=rest.index))
+            yield self._out(_aged(chunk[~keep], ~keep[~keep]))
         if first is None:
             return
         day = int(first["day"] if first["is_new"] == "1" else first["day_before"])
         self.visit.update((day,))
-        if len(held):
-            yield self._judged(held, (held["day"] == day) | (self.mode == ARRIVAL))
+        yield self._out(_aged(held, (held["day"] != day) & (self.mode == SAME_DAY)))
 
-    def _judged(self, chunk: pd.DataFrame, still_new: pd.Series) -> pd.DataFrame:
-        flag = chunk["is_new"].mask((chunk["is_new"] == "1") & ~still_new, "0")
-        out = chunk.assign(is_new=flag)
-        return out[["mid", "ts", "seq", "is_new", "value"]]
+    def _out(self, chunk: pd.DataFrame) -> pd.DataFrame:
+        return chunk[["mid", "ts", "seq", "is_new", "value"]]
 
     def close(self) -> None:
         pass
@@ -77,7 +105,9 @@ def correct_visitors_stream(records: DataFrame, mode: str = ARRIVAL) -> DataFram
     """Streaming form of the correction; ``records`` carry their text in ``value``.
 
     A device is first seen in arrival order across micro-batches and by (ts, seq)
-    within one.
+    within one. Records are settled among their neighbours before the shuffle.
+    Of a busy device few are left then that need its state; the others are
+    grouped by device and a hash, so they spread over the tasks.
     """
     if mode not in (ARRIVAL, SAME_DAY):
         raise ValueError(f"unknown mode {mode!r}")
@@ -94,6 +124,9 @@ def correct_visitors_stream(records: DataFrame, mode: str = ARRIVAL) -> DataFram
         epoch_day(F.col("ts")).alias("day"),
         epoch_day(F.col("ts") - DAY_MILLIS).alias("day_before"),
     )
-    return ready.groupBy("mid").transformWithStateInPandas(
+    settled = ready.mapInPandas(partial(settle, mode=mode), _READY + ", settled boolean")
+    share = F.pmod(F.xxhash64("ts", "seq"), F.lit(SPREAD)).cast("string")
+    slot = F.when(F.col("settled"), F.concat_ws("\u0000", "mid", share)).otherwise(F.col("mid"))
+    return settled.withColumn("slot", slot).groupBy("slot").transformWithStateInPandas(
         statefulProcessor=FirstVisit(mode), outputStructType=_OUTPUT, outputMode="Append", timeMode="None"
     )
