@@ -86,7 +86,7 @@ def test_order_detail_upsert(spark, tmp_path, batch):
         change_stream(spark, folder), table, Run(str(tmp_path / "c"), None), bound="60 seconds"
     ).awaitTermination()
     assert bag(table.read(spark)) == batch["order_detail"]
-    table.compact(spark, "compacted")
+    table.compact(spark)
     assert bag(table.read(spark)) == batch["order_detail"]
 
 
@@ -253,7 +253,7 @@ def test_dimensions_and_fact_router(spark, tmp_path):
         ).awaitTermination()
         assert bag(store.read(spark, "dim_user", ["name", "city"])) == {("a", "Anna", "Rome"): 1, ("c", "Cyd", None): 1}
         assert bag(store.dictionary(spark, C.DIM_DICTIONARY)) == {("1", "bootstrap-insert one"): 1}
-        store.table("dim_user").compact(spark, "compacted")
+        store.table("dim_user").compact(spark)
         assert bag(store.read(spark, "dim_user", ["name", "city"])) == {("a", "Anna", "Rome"): 1, ("c", "Cyd", None): 1}
 
         sink = FileSink(str(base / "facts"))
