@@ -5,6 +5,7 @@ from collections.abc import Iterator
 from functools import partial
 from typing import Any
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
@@ -22,8 +23,8 @@ _OUTPUT = "mid string, ts bigint, seq bigint, is_new string, value string"
 
 
 _READY = _OUTPUT + ", day int, day_before int"
-# Groups over which records of one device that need no state are spread.
-SPREAD = 64
+# Groups per shuffle partition over which records that need no state are spread.
+SPREAD = 4
 
 
 def _aged(chunk: pd.DataFrame, old: pd.Series) -> pd.DataFrame:
@@ -79,7 +80,7 @@ class FirstVisit(StatefulProcessor):
                 continue
             if held is not None:
                 chunk = pd.concat([held, chunk], ignore_index=True)
-            least = chunk.sort_values(["ts", "seq"]).iloc[0]
+            least = chunk.iloc[np.lexsort((chunk["seq"], chunk["ts"]))[0]]
             if first is None or (least["ts"], least["seq"]) < (first["ts"], first["seq"]):
                 first = least
             if self.mode == ARRIVAL:
@@ -106,8 +107,8 @@ def correct_visitors_stream(records: DataFrame, mode: str = ARRIVAL) -> DataFram
 
     A device is first seen in arrival order across micro-batches and by (ts, seq)
     within one. Records are settled among their neighbours before the shuffle.
-    Of a busy device few are left then that need its state; the others are
-    grouped by device and a hash, so they spread over the tasks.
+    Of a busy device few are left then that need its state; the others only pass
+    through, grouped by a hash, so they spread over the tasks.
     """
     if mode not in (ARRIVAL, SAME_DAY):
         raise ValueError(f"unknown mode {mode!r}")
@@ -125,8 +126,9 @@ def correct_visitors_stream(records: DataFrame, mode: str = ARRIVAL) -> DataFram
         epoch_day(F.col("ts") - DAY_MILLIS).alias("day_before"),
     )
     settled = ready.mapInPandas(partial(settle, mode=mode), _READY + ", settled boolean")
-    share = F.pmod(F.xxhash64("ts", "seq"), F.lit(SPREAD)).cast("string")
-    slot = F.when(F.col("settled"), F.concat_ws("\u0000", "mid", share)).otherwise(F.col("mid"))
+    spread = SPREAD * int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = F.pmod(F.xxhash64("mid", "ts", "seq"), F.lit(spread)).cast("string")
+    slot = F.when(F.col("settled"), F.concat(F.lit("\u0000"), share)).otherwise(F.col("mid"))
     return settled.withColumn("slot", slot).groupBy("slot").transformWithStateInPandas(
         statefulProcessor=FirstVisit(mode), outputStructType=_OUTPUT, outputMode="Append", timeMode="None"
     )
