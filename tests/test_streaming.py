@@ -14,9 +14,9 @@ from tidemart.operators.visitors import ARRIVAL, SAME_DAY, correct_visitors
 from tidemart.plans import facts
 from tidemart.schemas import FACT_COLUMNS
 from tidemart.sinks.keyed import DimensionStore, newest_fact_table
-from tidemart.sinks.messages import FileSink
+from tidemart.sinks.messages import FileSink, fact_values
 from tidemart.sources.bronze import read_bronze, write_bronze
-from tidemart.sources.topics import parse_behaviour, parse_facts, read_changes, read_facts, read_lines, with_event_time
+from tidemart.sources.topics import parse_behaviour, parse_facts, read_changes, read_fact_lines, read_facts, read_lines, with_event_time
 from tidemart.streaming import jobs
 from tidemart.streaming.jobs import Run
 from tidemart.streaming.visitors import correct_visitors_stream
@@ -123,6 +123,28 @@ def test_changes_beyond_the_bound_do_not_join(spark, tmp_path):
     assert [r.id for r in spark.read.parquet(out).collect()] == ["d1"]
 
 
+def test_a_quiet_table_does_not_hold_up_the_others(spark, tmp_path):
+    from shop import detail, order
+
+    rows = [order("o", T0), detail("d", "o", "s", T0)]
+    write_files(tmp_path / "log", dumps(rows))
+    folder = write_files(tmp_path / "log", dumps([detail("later", "none", "s", T0 + 10**6)]))
+    out = str(tmp_path / "details")
+    jobs.start_order_detail(change_stream(spark, folder), out, Run(str(tmp_path / "c"), None)).awaitTermination()
+    assert [r.id for r in spark.read.parquet(out).collect()] == ["d"]
+    assert spark.conf.get(jobs.WATERMARK_POLICY) == "min"
+
+
+def test_details_from_their_topic(spark, tmp_path, batch):
+    changes = changes_df(spark, HISTORY + FLUSH)
+    FileSink(str(tmp_path)).write(fact_values(facts.order_detail(changes)), "details", "r")
+    stream = read_fact_lines(read_lines(spark, str(tmp_path / "details"), "text"), "order_detail")
+    folder = log_files(tmp_path, 1)
+    sink = FileSink(str(tmp_path / "facts"))
+    jobs.start_order_cancel(stream, change_stream(spark, folder), sink, Run(str(tmp_path / "c"), None)).awaitTermination()
+    assert written(spark, sink, C.TOPIC_ORDER_CANCEL, "order_cancel") == batch["order_cancel"]
+
+
 def test_bronze(spark, tmp_path, batch):
     bad = ["{bad", "[1]", "", "null"]
     folder = write_files(tmp_path / "log", dumps(HISTORY + FLUSH) + bad, 3)
@@ -248,9 +270,12 @@ def test_dimensions_and_fact_router(spark, tmp_path):
         base = tmp_path / str(files)
         folder = write_files(base / "log", dumps(rows), files)
         store = DimensionStore(f"dim_{files}")
+        rejects = FileSink(str(base / "rejects"))
         jobs.start_dimensions(
-            change_stream(spark, folder), lambda _: config, store, Run(str(base / "c0"), None)
+            change_stream(spark, folder), lambda _: config, store, Run(str(base / "c0"), None), rejects=rejects
         ).awaitTermination()
+        keyless = [json.loads(r.value) for r in spark.read.text(f"{rejects.root}/{jobs.REJECTED}").collect()]
+        assert [(r["sink_table"], r["data"]) for r in keyless] == [("dim_user", {"name": "no key"})]
         assert bag(store.read(spark, "dim_user", ["name", "city"])) == {("a", "Anna", "Rome"): 1, ("c", "Cyd", None): 1}
         assert bag(store.dictionary(spark, C.DIM_DICTIONARY)) == {("1", "bootstrap-insert one"): 1}
         store.table("dim_user").compact(spark)

@@ -276,7 +276,7 @@ FROM events"""
         "date_ids": date_ids,
     }
     streamed = (
-        "payment_success order_refund refund_payment comment_lookup cart_add log_page log_display log_action "
+        "payment_success order_detail order_refund refund_payment comment_lookup cart_add log_page log_display log_action "
         "new_visitor new_visitor_same_day dim_customer fact_route"
     )
     return {**sql, **{f"stream_{name}": sql[name] for name in streamed.split()}}

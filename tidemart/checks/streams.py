@@ -19,6 +19,7 @@ from tidemart.schemas import FACT_COLUMNS
 from tidemart.session import shared_dir
 from tidemart.sinks.keyed import DimensionStore
 from tidemart.sinks.messages import FileSink
+from tidemart.sources.bronze import read_bronze, write_bronze
 from tidemart.sources.topics import parse_facts
 from tidemart.streaming import jobs
 from tidemart.streaming.jobs import Run
@@ -26,6 +27,7 @@ from tidemart.streaming.visitors import correct_visitors_stream
 
 # Order and ship dates of these tables lie years apart.
 WIDE_BOUND = "4000 days"
+FAR_FUTURE = "4102444800"
 
 
 def stream_query(fn):
@@ -65,6 +67,26 @@ def stream_payment_success(tables):
     return work.fact(C.TOPIC_PAYMENT_SUCCESS, "payment_success")
 
 
+@stream_query
+def stream_order_detail(tables):
+    """Details from bronze. Changes far in the future, added last, bring out details without optional sides."""
+    work = Workspace(tables)
+    bronze, details = f"{work.folder}/bronze", f"{work.folder}/details"
+    names = ("order_detail", "order_info", "order_detail_activity", "order_detail_coupon")
+    write_bronze(star.order_changes(work.batch, *names), bronze, by=("table",))
+    last = work.spark.range(1)
+    end = star.union(
+        star.change(last, name, "insert", {"id": "'end'", "order_detail_id": "'end'"}, ts=FAR_FUTURE) for name in names
+    )
+    for more in (None, end):
+        if more is not None:
+            write_bronze(more, bronze, by=("table",))
+        jobs.start_order_detail(
+            read_bronze(work.spark, bronze, streaming=True), details, work.run, bound=WIDE_BOUND
+        ).awaitTermination()
+    return work.spark.read.parquet(details)
+
+
 @stream_query
 def stream_order_refund(tables):
     work = Workspace(tables)

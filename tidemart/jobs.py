@@ -20,7 +20,7 @@ from tidemart.sinks.messages import FileSink, KafkaSink
 from tidemart.sources.bronze import read_bronze
 from tidemart.sources.config import config_changes, config_snapshot
 from tidemart.sources.dictionary import file_dictionary, read_dictionary
-from tidemart.sources.topics import read_changes, read_facts, read_lines
+from tidemart.sources.topics import read_changes, read_fact_lines, read_facts, read_lines
 from tidemart.streaming import jobs
 from tidemart.streaming.jobs import Run
 
@@ -50,7 +50,11 @@ class Inputs:
         return read_changes(self.lines())
 
     def details(self) -> DataFrame:
-        return read_facts(self.spark, self.args.details, "order_detail", "parquet", streaming=True)
+        """Order details, from the folder of the order-detail job or from a topic of theirs."""
+        if self.args.details_format == "parquet":
+            return read_facts(self.spark, self.args.details, "order_detail", "parquet", streaming=True)
+        lines = read_lines(self.spark, self.args.details, self.args.details_format, **_pairs(self.args.read))
+        return read_fact_lines(lines, "order_detail")
 
     def sink(self):
         return KafkaSink(_pairs(self.args.write)) if self.args.out == "kafka" else FileSink(self.args.out)
@@ -86,7 +90,9 @@ def _order_detail(i: Inputs) -> StreamingQuery:
 JOBS: dict[str, Callable[[Inputs], StreamingQuery]] = {
     "bronze": lambda i: jobs.start_bronze(i.lines(), i.args.out, i.run),
     "change_rejects": lambda i: jobs.start_change_rejects(i.lines(), i.sink(), i.run),
-    "dimensions": lambda i: jobs.start_dimensions(i.changes(), i.config(C.SINK_DIM), i.store, i.run, i.args.database),
+    "dimensions": lambda i: jobs.start_dimensions(
+        i.changes(), i.config(C.SINK_DIM), i.store, i.run, i.args.database, FileSink(i.args.rejects) if i.args.rejects else None
+    ),
     "dimension_tables": lambda i: jobs.start_dimension_tables(i.lines(), i.store, i.run),
     "log_split": lambda i: jobs.start_log_split(i.lines(), i.sink(), i.run, i.args.mode),
     "log_rejects": lambda i: jobs.start_log_rejects(i.lines(), i.sink(), i.run),
@@ -111,11 +117,13 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--read", action="append", default=[], metavar="KEY=VALUE", help="reader option")
     p.add_argument("--out", default="kafka", help="folder, or kafka")
     p.add_argument("--write", action="append", default=[], metavar="KEY=VALUE", help="Kafka writer option")
+    p.add_argument("--rejects", help="folder for dimension changes that name no row")
     p.add_argument("--checkpoint", required=True)
     p.add_argument("--every", default=C.TRIGGER, help="trigger interval")
     p.add_argument("--once", action="store_true", help="process what is there and stop")
     p.add_argument("--database", default=C.DATABASE, help="shop database in the change log")
-    p.add_argument("--details", help="folder of order details")
+    p.add_argument("--details", help="folder or topic of order details")
+    p.add_argument("--details-format", default="parquet", choices=["parquet", "text", "kafka"])
     p.add_argument("--dictionary", help="parquet folder; by default the dictionary dimension")
     p.add_argument("--dim-schema", default="dim")
     p.add_argument("--dim-location")

@@ -101,6 +101,11 @@ def parse_facts(lines: DataFrame, fact: str) -> DataFrame:
     return lines.select(F.from_json("value", fact_schema(fact)).alias("r")).where("r is not null").select("r.*")
 
 
+def read_fact_lines(lines: DataFrame, fact: str, delay: str = WATERMARK) -> DataFrame:
+    """A fact read back from its topic, with event time."""
+    return with_event_time(parse_facts(lines, fact), delay)
+
+
 def read_facts(
     spark: SparkSession, path: str, fact: str, fmt: str = "json", streaming: bool = False, delay: str = WATERMARK
 ) -> DataFrame:

@@ -7,10 +7,10 @@ folder of its own.
 """
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidemart import constants as C
 from tidemart.operators.merge import newest_rows
@@ -18,7 +18,7 @@ from tidemart.operators.routing import fact_messages, route_dimensions, route_fa
 from tidemart.operators.split import log_messages, split_records
 from tidemart.operators.visitors import ARRIVAL
 from tidemart.plans import facts
-from tidemart.sinks.keyed import DimensionStore, MergedTable
+from tidemart.sinks.keyed import DimensionStore, MergedTable, keyless
 from tidemart.sinks.messages import FileSink, KafkaSink, fact_values, keyed_fact_values
 from tidemart.sources.bronze import PARTITIONS, gathered
 from tidemart.sources.config import config_changes
@@ -38,15 +38,26 @@ REJECTED = "rejected"
 STREAM_SALTS = 4
 
 
+WATERMARK_POLICY = "spark.sql.streaming.multipleWatermarkPolicy"
+
+
 @dataclass(frozen=True)
 class Run:
     """How a query runs: where it checkpoints and when it is triggered.
 
     Without ``every`` it processes what is there and stops.
+
+    With ``one_log`` all inputs are slices of one log, and time has come as far
+    as the furthest slice: a table that is quiet for long does not hold up the
+    others. Otherwise the slowest input sets the time.
     """
 
     checkpoint: str
     every: str | None = C.TRIGGER
+    one_log: bool = False
+
+    def over_one_log(self) -> "Run":
+        return replace(self, one_log=True)
 
     def start(self, df: DataFrame, handle: Callable[[DataFrame, str], None]) -> StreamingQuery:
         """Run ``handle(batch, run)`` per micro-batch.
@@ -60,7 +71,7 @@ class Run:
             handle(batch, f"{query}-{batch_id:09d}")
 
         writer = df.writeStream.foreachBatch(each).option("checkpointLocation", self.checkpoint)
-        return self._triggered(writer).start()
+        return self._started(df, writer)
 
     def start_files(
         self, df: DataFrame, path: str, fmt: str = "parquet", partition_by: tuple[str, ...] = ()
@@ -69,12 +80,17 @@ class Run:
         writer = df.writeStream.format(fmt).option("checkpointLocation", self.checkpoint).option("path", path)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        return self._triggered(writer.outputMode("append")).start()
+        return self._started(df, writer.outputMode("append"))
 
-    def _triggered(self, writer):
-        if self.every is None:
-            return writer.trigger(availableNow=True)
-        return writer.trigger(processingTime=self.every)
+    def _started(self, df: DataFrame, writer: DataStreamWriter) -> StreamingQuery:
+        writer = writer.trigger(availableNow=True) if self.every is None else writer.trigger(processingTime=self.every)
+        conf = df.sparkSession.conf
+        before = conf.get(WATERMARK_POLICY)
+        conf.set(WATERMARK_POLICY, "max" if self.one_log else "min")
+        try:
+            return writer.start()
+        finally:
+            conf.set(WATERMARK_POLICY, before)
 
 
 def start_bronze(lines: DataFrame, path: str, run: Run) -> StreamingQuery:
@@ -134,7 +150,7 @@ def start_order_detail(
     salts: int = STREAM_SALTS,
 ) -> StreamingQuery:
     """J4, appended as final rows to a folder that J5 and J6 read."""
-    return run.start_files(facts.order_detail(changes, database, bound, salts), path)
+    return run.over_one_log().start_files(facts.order_detail(changes, database, bound, salts), path)
 
 
 def start_order_detail_upsert(
@@ -151,7 +167,7 @@ def start_order_detail_upsert(
             target.create(batch.sparkSession)
             target.write(newest, name)
 
-    return run.start(facts.order_detail(changes, database, bound, salts), handle)
+    return run.over_one_log().start(facts.order_detail(changes, database, bound, salts), handle)
 
 
 def start_order_cancel(
@@ -180,7 +196,7 @@ def start_order_refund(
 ) -> StreamingQuery:
     """J7."""
     return _start_fact(
-        facts.requested_refunds(changes, database, bound, salts), C.TOPIC_ORDER_REFUND, sink, run,
+        facts.requested_refunds(changes, database, bound, salts), C.TOPIC_ORDER_REFUND, sink, run.over_one_log(),
         lambda batch: facts.name_refunds(batch, dictionary(batch.sparkSession)),
     )
 
@@ -191,7 +207,7 @@ def start_refund_payment(
 ) -> StreamingQuery:
     """J8."""
     return _start_fact(
-        facts.paid_refunds(changes, database, bound, salts), C.TOPIC_REFUND_PAYMENT, sink, run,
+        facts.paid_refunds(changes, database, bound, salts), C.TOPIC_REFUND_PAYMENT, sink, run.over_one_log(),
         lambda batch: facts.name_paid_refunds(batch, dictionary(batch.sparkSession)),
     )
 
@@ -209,12 +225,20 @@ def start_fact_router(
 
 
 def start_dimensions(
-    changes: DataFrame, config: Loader, store: DimensionStore, run: Run, database: str = C.DATABASE
+    changes: DataFrame, config: Loader, store: DimensionStore, run: Run, database: str = C.DATABASE,
+    rejects: Sink | None = None,
 ) -> StreamingQuery:
-    """Merge routed changes into the dimension store."""
+    """Merge routed changes into the dimension store; those that name no row go to ``rejects``."""
 
     def handle(batch: DataFrame, name: str) -> None:
-        store.apply(route_dimensions(batch, config(batch.sparkSession), database), name)
+        batch = batch.persist()
+        try:
+            routed = route_dimensions(batch, config(batch.sparkSession), database)
+            store.apply(routed, name)
+            if rejects is not None:
+                rejects.write(fact_values(keyless(routed)), REJECTED, name)
+        finally:
+            batch.unpersist()
 
     return run.start(changes, handle)
 
