@@ -5,6 +5,7 @@ folder of its own under the shared folder.
 """
 
 import uuid
+from functools import wraps
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,8 +31,24 @@ WIDE_BOUND = "4000 days"
 FAR_FUTURE = "4102444800"
 
 
+STATE_PARTITIONS_PER_CORE = 4
+
+
 def stream_query(fn):
-    return query(fn, streaming=True)
+    """Register a streaming run, with no more state partitions than the cores can use."""
+
+    @wraps(fn)
+    def run(tables: Tables) -> DataFrame:
+        conf = tables.spark.conf
+        before = conf.get("spark.sql.shuffle.partitions")
+        most = STATE_PARTITIONS_PER_CORE * tables.spark.sparkContext.defaultParallelism
+        conf.set("spark.sql.shuffle.partitions", str(min(int(before), most)))
+        try:
+            return fn(tables)
+        finally:
+            conf.set("spark.sql.shuffle.partitions", before)
+
+    return query(run, streaming=True)
 
 
 class Workspace:
