@@ -1,6 +1,6 @@
 """Command line for the streaming jobs, for use with spark-submit.
 
-    spark-submit -m tidemart.jobs order_detail --source ods_db \\
+    spark-submit --py-files tidemart.zip tidemart/jobs.py order_detail --source ods_db \\
         --read kafka.bootstrap.servers=broker:9092 --out /dw/order_detail \\
         --checkpoint /dw/checkpoints/order_detail
 """
