@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemart.llm import hash_tree, pii, toxicity, warc
+from tidemart.llm import hash_tree, pieces, pii, toxicity, warc
 from tidemart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,10 @@ def op1_deobfuscated_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.span_report(table(spark, sf_dir, "documents"))
 
 
+def op2_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.piece_report(table(spark, sf_dir, "documents"))
+
+
 def op4_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -29,7 +33,7 @@ def op8_warc_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = [op1_deobfuscated_pii, op4_weak_toxicity, op6_hash_tree_shards, op8_warc_captures]
+    found = [op1_deobfuscated_pii, op2_sampled_pieces, op4_weak_toxicity, op6_hash_tree_shards, op8_warc_captures]
     return {fn.__name__: fn for fn in found}
 
 
