@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 import numpy as np
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +35,27 @@ def words(text: bytes | None) -> list[bytes]:
     return text.split() if text else []
 
 
+def shingles(hashes: np.ndarray, k: int) -> np.ndarray:
+    """A hash of every k words in a row."""
+    out = np.zeros(max(0, len(hashes) - k + 1), np.uint64)
+    for j in range(k if len(out) else 0):
+        out = mix64(out * np.uint64(3) + hashes[j : j + len(out)])
+    return out
+
+
+class WordHash(dict):
+    """64-bit hashes of words; forgets when it is full."""
+
+    def __init__(self, most: int = 400_000):
+        self.most = most
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= self.most:
+            self.clear()
+        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        return value
+
+
 class Numbering(dict):
     """Numbers keys in the order of their first look-up."""
 
@@ -62,7 +84,6 @@ def components(edges: DataFrame) -> DataFrame:
     skewed join key that adaptive execution may split. Each round is written to the shared folder.
     """
     edges = stored(edges.select("a", "b").where("a <> b").distinct(), "edges")
-    nodes = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
     now = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     seen = None
     while True:
@@ -79,6 +100,5 @@ def components(edges: DataFrame) -> DataFrame:
         if sums == seen:
             break
         seen = sums
-    return nodes.join(now.select(F.col("u").alias("node"), F.col("v").alias("component")), "node", "left").select(
-        "node", F.coalesce("component", "node").alias("component")
-    )
+    leaves = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    return leaves.union(leaves.select(F.col("component").alias("node"), "component").distinct())

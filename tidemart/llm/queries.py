@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemart.llm import hash_tree, pieces, pii, toxicity, warc
+from tidemart.llm import decontaminate, hash_tree, near_dups, pieces, pii, toxicity, warc
 from tidemart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def op2_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.piece_report(table(spark, sf_dir, "documents"))
 
 
+def op3_simhash_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leak_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -28,12 +32,24 @@ def op6_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hash_tree.shard_report(table(spark, sf_dir, "documents"))
 
 
+def op7_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.near_duplicate_report(table(spark, sf_dir, "documents"))
+
+
 def op8_warc_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.capture_report(table(spark, sf_dir, "pages"))
 
 
 def queries() -> dict[str, Query]:
-    found = [op1_deobfuscated_pii, op2_sampled_pieces, op4_weak_toxicity, op6_hash_tree_shards, op8_warc_captures]
+    found = [
+        op1_deobfuscated_pii,
+        op2_sampled_pieces,
+        op3_simhash_leaks,
+        op4_weak_toxicity,
+        op6_hash_tree_shards,
+        op7_circulant_minhash,
+        op8_warc_captures,
+    ]
     return {fn.__name__: fn for fn in found}
 
 
