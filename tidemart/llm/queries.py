@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemart.llm import decontaminate, hash_tree, near_dups, pieces, pii, toxicity, warc
+from tidemart.llm import decontaminate, hash_tree, near_dups, pieces, pii, substrings, toxicity, warc
 from tidemart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,10 @@ def op8_warc_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.capture_report(table(spark, sf_dir, "pages"))
 
 
+def op10_difference_cover_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.repeat_report(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     found = [
         op1_deobfuscated_pii,
@@ -49,6 +53,7 @@ def queries() -> dict[str, Query]:
         op6_hash_tree_shards,
         op7_circulant_minhash,
         op8_warc_captures,
+        op10_difference_cover_repeats,
     ]
     return {fn.__name__: fn for fn in found}
 
