@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemart.llm import decontaminate, hash_tree, near_dups, pieces, pii, substrings, toxicity, warc
+from tidemart.llm import decontaminate, hash_tree, lm, near_dups, neighbours, pieces, pii, substrings, toxicity, warc
 from tidemart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,10 @@ def op4_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_adaptive_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.neighbour_report(table(spark, sf_dir, "embeddings"))
+
+
 def op6_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hash_tree.shard_report(table(spark, sf_dir, "documents"))
 
@@ -40,6 +44,10 @@ def op8_warc_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.capture_report(table(spark, sf_dir, "pages"))
 
 
+def op9_elias_fano_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_report(table(spark, sf_dir, "documents"))
+
+
 def op10_difference_cover_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.repeat_report(table(spark, sf_dir, "documents"))
 
@@ -50,9 +58,11 @@ def queries() -> dict[str, Query]:
         op2_sampled_pieces,
         op3_simhash_leaks,
         op4_weak_toxicity,
+        op5_adaptive_neighbours,
         op6_hash_tree_shards,
         op7_circulant_minhash,
         op8_warc_captures,
+        op9_elias_fano_scores,
         op10_difference_cover_repeats,
     ]
     return {fn.__name__: fn for fn in found}
