@@ -60,8 +60,8 @@ def with_roles(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     )
     few = keyed.where(F.octet_length("payload") >= least_bytes).select("page_id", "digest", "url", "record_id")
     place = F.struct(F.col("page_id"), F.col("record_id"), F.col("url"))
-    original = few.groupBy("digest").agg(F.max(place).alias("o"), F.min("record_id").alias("low"))
-    shared = original.where(F.col("low") != F.col("o.record_id")).select(
+    original = few.groupBy("digest").agg(F.max(place).alias("o"), F.min("record_id").alias("low"), F.max("record_id").alias("high"))
+    shared = original.where("low <> high").select(
         "digest",
         F.col("o.page_id").alias("original_id"),
         F.col("o.record_id").alias("original_record"),
