@@ -215,6 +215,22 @@ def test_visitors_in_disorder_within_a_batch(spark, tmp_path, mode):
     assert got == [r.is_new for r in batch.orderBy("seq").collect()]
 
 
+@pytest.mark.parametrize("records", ["1000", "2"])
+def test_repeated_lines_count_once(spark, tmp_path, records):
+    """Equal lines in one Arrow batch or in several: one first record per device."""
+    lines = [visit_line("a", "1", DAY)] * 7 + [visit_line("b", "1", DAY)] + [visit_line("c", "0", DAY)] * 3
+    folder = write_files(tmp_path / "log", lines, 1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", records)
+    try:
+        parsed, _ = parse_behaviour(read_lines(spark, folder, "text"))
+        out = str(tmp_path / "out")
+        Run(str(tmp_path / "c"), None).start_files(correct_visitors_stream(parsed, ARRIVAL), out).awaitTermination()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    got = Counter((r.mid, r.is_new) for r in spark.read.parquet(out).select("mid", "is_new").collect())
+    assert got == {("a", "1"): 1, ("a", "0"): 6, ("b", "1"): 1, ("c", "0"): 3}
+
+
 def test_state_survives_a_restart(spark, tmp_path):
     folder = tmp_path / "log"
     run = Run(str(tmp_path / "c"), None)
@@ -315,6 +331,12 @@ def test_dimension_tables_follow_the_config(spark, tmp_path):
     assert tables() == {"dim_a", "dim_b"}
     assert store.rows(spark, "dim_a").count() == 0
     assert store.rows(spark, "dim_b").count() == 1
+    # The same changes again, under a new checkpoint: what was written since stays.
+    store.table("dim_a").write(state, "y")
+    jobs.start_dimension_tables(read_lines(spark, folder, "text"), store, Run(str(tmp_path / "c2"), None)).awaitTermination()
+    assert tables() == {"dim_a", "dim_b"}
+    assert store.rows(spark, "dim_a").count() == 1
+    assert store.rows(spark, "dim_b").count() == 1
 
 
 def test_log_rejects(spark, tmp_path):

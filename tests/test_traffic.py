@@ -37,6 +37,15 @@ def test_visitor_cases(spark, visits, arrival, same_day):
     assert corrected(spark, rows, SAME_DAY) == same_day
 
 
+def test_repeated_lines_count_once(spark):
+    """Lines alike in device, time and order are one first visit and later ones."""
+    rows = [("m", "1", DAY, 5)] * 3 + [("n", "1", DAY, 5), ("n", "0", DAY + 1, 6)] + [("o", "0", DAY, 1)] * 2
+    df = spark.createDataFrame(rows, VISITS)
+    got = sorted((r.mid, r.is_new) for r in correct_visitors(df, ARRIVAL).collect())
+    assert got == [("m", "0"), ("m", "0"), ("m", "1"), ("n", "0"), ("n", "1"), ("o", "0"), ("o", "0")]
+    assert {r.is_new for r in correct_visitors(df.where("mid = 'm'"), SAME_DAY).collect()} == {"1"}
+
+
 def test_unknown_mode(spark):
     with pytest.raises(ValueError):
         corrected(spark, [("m", "1", 1)], "other")

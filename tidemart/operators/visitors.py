@@ -1,6 +1,6 @@
 """New-visitor correction over a whole log."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemart.functions.times import day_of_millis
@@ -13,7 +13,8 @@ DAY_MILLIS = 24 * 60 * 60 * 1000
 def correct_visitors(records: DataFrame, mode: str = ARRIVAL) -> DataFrame:
     """Set ``is_new`` to '0' on records of devices already seen.
 
-    ``arrival``: a device counts as new on its first record, by (ts, seq), only.
+    ``arrival``: a device counts as new on its first record, by (ts, seq), only. Of
+    records that are first alike (a repeated line) one counts.
     ``same_day``: it counts as new during the day of its first visit; a first
     record that does not claim to be new puts that visit a day earlier.
 
@@ -36,7 +37,13 @@ def correct_visitors(records: DataFrame, mode: str = ARRIVAL) -> DataFrame:
     else:
         raise ValueError(f"unknown mode {mode!r}")
     claimed = records.where(claims).join(news, (F.col("mid") == F.col("_mid")) & same, "left")
-    flag = F.when(F.col("_mid").isNotNull(), "1").otherwise("0")
+    new = F.col("_mid").isNotNull()
+    if mode == ARRIVAL:
+        # A window over repeats only: a busy device's records have windows of their own.
+        repeats = Window.partitionBy("mid", "ts", "seq").orderBy("is_new")
+        claimed = claimed.withColumn("_nth", F.row_number().over(repeats))
+        new = new & (F.col("_nth") == 1)
+    flag = F.when(new, "1").otherwise("0")
     corrected = claimed.withColumn("is_new", flag).select(*records.columns)
     unclaimed = records.where(~F.coalesce(claims, F.lit(False)))
     return corrected.unionByName(unclaimed)

@@ -53,8 +53,8 @@ class FirstVisit(StatefulProcessor):
     Records of one micro-batch come in chunks. Within its first micro-batch a
     device's first record is the least by (ts, seq), known only after the last
     chunk, so records that may still turn out to be new are held back: one
-    record under ``arrival``, those of the earliest day under ``same_day``.
-    Everything else leaves with its chunk.
+    record under ``arrival`` (of repeated ones the earliest to come), those of the
+    earliest day so far under ``same_day``. Everything else leaves with its chunk.
     """
 
     def __init__(self, mode: str) -> None:
@@ -64,7 +64,8 @@ class FirstVisit(StatefulProcessor):
         self.visit = handle.getValueState("visit_day", T.StructType([T.StructField("day", T.IntegerType())]))
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        known = day = first = held = None
+        known = day = first = None
+        held: list[pd.DataFrame] = []
         for chunk in rows:
             done = chunk["settled"]
             if done.any():
@@ -78,22 +79,30 @@ class FirstVisit(StatefulProcessor):
             if known:
                 yield self._out(_aged(chunk, (chunk["day"] != day) | (self.mode == ARRIVAL)))
                 continue
-            if held is not None:
-                chunk = pd.concat([held, chunk], ignore_index=True)
-            least = chunk.iloc[np.lexsort((chunk["seq"], chunk["ts"]))[0]]
-            if first is None or (least["ts"], least["seq"]) < (first["ts"], first["seq"]):
+            place = int(np.lexsort((np.arange(len(chunk)), chunk["seq"], chunk["ts"]))[0])
+            least = chunk.iloc[place]
+            earlier = first is None or (least["ts"], least["seq"]) < (first["ts"], first["seq"])
+            if earlier and (first is None or self.mode == ARRIVAL or least["day"] < first["day"]):
+                # What was held back is no longer new.
+                for part in held:
+                    yield self._out(_aged(part, part["day"].notna()))
+                held = []
+            if earlier:
                 first = least
             if self.mode == ARRIVAL:
-                keep = (chunk["ts"] == first["ts"]) & (chunk["seq"] == first["seq"])
+                keep = np.zeros(len(chunk), bool)
+                keep[place] = earlier
             else:
-                keep = (chunk["is_new"] == "1") & (chunk["day"] == first["day"])
-            held = chunk[keep]
-            yield self._out(_aged(chunk[~keep], ~keep[~keep]))
+                keep = ((chunk["is_new"] == "1") & (chunk["day"] == first["day"])).to_numpy()
+            held.append(chunk[keep])
+            rest = chunk[~keep]
+            yield self._out(_aged(rest, rest["day"].notna()))
         if first is None:
             return
         day = int(first["day"] if first["is_new"] == "1" else first["day_before"])
         self.visit.update((day,))
-        yield self._out(_aged(held, (held["day"] != day) & (self.mode == SAME_DAY)))
+        for part in held:
+            yield self._out(_aged(part, (part["day"] != day) & (self.mode == SAME_DAY)))
 
     def _out(self, chunk: pd.DataFrame) -> pd.DataFrame:
         return chunk[["mid", "ts", "seq", "is_new", "value"]]
