@@ -53,6 +53,7 @@ def test_newest_fact_table(spark):
     assert bag(table.read(spark)) == expected
     table.compact(spark)
     assert spark.table(table.name).select("run").distinct().count() == 1
+    assert len(spark.sql(f"SHOW PARTITIONS {table.name}").collect()) == 1
     assert bag(table.read(spark)) == expected
     assert "Exchange" not in table.read(spark)._jdf.queryExecution().executedPlan().toString()
     table.compact(spark)
