@@ -21,6 +21,34 @@ def test_unknown_job():
         jobs.parser().parse_args(["nothing", "--source", "x", "--checkpoint", "y"])
 
 
+def test_join_settings_reach_the_jobs(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(jobs, "read_bronze", lambda *a, **o: seen.update(delay=a[3], options=o))
+    monkeypatch.setattr(jobs.jobs, "start_order_detail", lambda *a, **o: seen.update(o))
+    args = jobs.parser().parse_args(
+        ["order_detail", "--source", "s", "--format", "bronze", "--out", "o", "--checkpoint", "c", "--bound", "2 days",
+         "--delay", "1 hour", "--salts", "7", "--read", "maxFilesPerTrigger=3"]
+    )
+    jobs.JOBS["order_detail"](jobs.Inputs(spark, args))
+    assert seen == {"delay": "1 hour", "options": {"maxFilesPerTrigger": "3"}, "bound": "2 days", "salts": 7}
+
+
+def test_compact_command(spark):
+    from tidemart.sinks.keyed import newest_fact_table
+
+    table = newest_fact_table("default.compacted_details", "order_detail", ["id"], ["ts", "activity_id"])
+    table.create(spark)
+    schema = spark.table(table.name).drop("run").schema
+    for run in ("r1", "r2", "r3"):
+        table.write(spark.createDataFrame([{"id": run, "ts": 1}, {"id": "x", "ts": int(run[1])}], schema), run)
+    jobs.main(["compact", "--upsert-table", table.name])
+    assert len(spark.sql(f"SHOW PARTITIONS {table.name}").collect()) == 1
+    assert {(r.id, int(r.ts)) for r in table.read(spark).collect()} == {("r1", 1), ("r2", 1), ("r3", 1), ("x", 3)}
+    table.drop(spark)
+    with pytest.raises(SystemExit):
+        jobs.main(["order_detail", "--out", "x"])
+
+
 def test_chain(spark, tmp_path):
     base = str(tmp_path)
     write_files(tmp_path / "log", dumps(HISTORY))

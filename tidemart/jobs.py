@@ -25,6 +25,7 @@ from tidemart.streaming import jobs
 from tidemart.streaming.jobs import Run
 
 BRONZE = "bronze"
+COMPACT = "compact"
 
 
 def _pairs(items: list[str]) -> dict[str, str]:
@@ -46,15 +47,19 @@ class Inputs:
     def changes(self) -> DataFrame:
         """The change log, from its topic or from bronze."""
         if self.args.format == BRONZE:
-            return read_bronze(self.spark, self.args.source, streaming=True)
-        return read_changes(self.lines())
+            return read_bronze(self.spark, self.args.source, True, self.args.delay, **_pairs(self.args.read))
+        return read_changes(self.lines(), self.args.delay)
+
+    def joining(self, *names: str) -> dict:
+        """The join settings ``names`` that the command line gives; the others keep their defaults."""
+        return {name: getattr(self.args, name) for name in names if getattr(self.args, name) is not None}
 
     def details(self) -> DataFrame:
         """Order details, from the folder of the order-detail job or from a topic of theirs."""
         if self.args.details_format == "parquet":
-            return read_facts(self.spark, self.args.details, "order_detail", "parquet", streaming=True)
+            return read_facts(self.spark, self.args.details, "order_detail", "parquet", True, self.args.delay, **_pairs(self.args.read))
         lines = read_lines(self.spark, self.args.details, self.args.details_format, **_pairs(self.args.read))
-        return read_fact_lines(lines, "order_detail")
+        return read_fact_lines(lines, "order_detail", self.args.delay)
 
     def sink(self):
         return KafkaSink(_pairs(self.args.write)) if self.args.out == "kafka" else FileSink(self.args.out)
@@ -81,10 +86,10 @@ class Inputs:
 def _order_detail(i: Inputs) -> StreamingQuery:
     if i.args.upsert_table:
         table = newest_fact_table(i.args.upsert_table, "order_detail", ["id"], ["ts", "activity_id"])
-        return jobs.start_order_detail_upsert(i.changes(), table, i.run, i.args.database)
+        return jobs.start_order_detail_upsert(i.changes(), table, i.run, i.args.database, **i.joining("bound", "salts"))
     if i.args.out == "kafka":
-        return jobs.start_order_detail_upsert(i.changes(), i.sink(), i.run, i.args.database)
-    return jobs.start_order_detail(i.changes(), i.args.out, i.run, i.args.database)
+        return jobs.start_order_detail_upsert(i.changes(), i.sink(), i.run, i.args.database, **i.joining("bound", "salts"))
+    return jobs.start_order_detail(i.changes(), i.args.out, i.run, i.args.database, **i.joining("bound", "salts"))
 
 
 JOBS: dict[str, Callable[[Inputs], StreamingQuery]] = {
@@ -99,29 +104,41 @@ JOBS: dict[str, Callable[[Inputs], StreamingQuery]] = {
     "comment": lambda i: jobs.start_comment(i.changes(), i.dictionary, i.sink(), i.run, i.args.database),
     "cart_add": lambda i: jobs.start_cart_add(i.changes(), i.sink(), i.run, i.args.database),
     "order_detail": _order_detail,
-    "order_cancel": lambda i: jobs.start_order_cancel(i.details(), i.changes(), i.sink(), i.run, i.args.database),
+    "order_cancel": lambda i: jobs.start_order_cancel(
+        i.details(), i.changes(), i.sink(), i.run, i.args.database, **i.joining("bound", "salts")
+    ),
     "payment_success": lambda i: jobs.start_payment_success(
-        i.details(), i.changes(), i.dictionary, i.sink(), i.run, i.args.database
+        i.details(), i.changes(), i.dictionary, i.sink(), i.run, i.args.database, **i.joining("before", "after", "salts")
+    ),
+    "order_refund": lambda i: jobs.start_order_refund(
+        i.changes(), i.dictionary, i.sink(), i.run, i.args.database, **i.joining("bound", "salts")
+    ),
+    "refund_payment": lambda i: jobs.start_refund_payment(
+        i.changes(), i.dictionary, i.sink(), i.run, i.args.database, **i.joining("bound", "salts")
     ),
-    "order_refund": lambda i: jobs.start_order_refund(i.changes(), i.dictionary, i.sink(), i.run, i.args.database),
-    "refund_payment": lambda i: jobs.start_refund_payment(i.changes(), i.dictionary, i.sink(), i.run, i.args.database),
     "fact_router": lambda i: jobs.start_fact_router(i.changes(), i.config(C.SINK_FACT), i.sink(), i.run, i.args.database),
 }
 
 
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="tidemart.jobs")
-    p.add_argument("job", choices=sorted(JOBS))
-    p.add_argument("--source", required=True, help="topic, or folder of text files or of bronze")
+    p.add_argument("job", choices=sorted([*JOBS, COMPACT]))
+    p.add_argument("--source", help="topic, or folder of text files or of bronze")
+    p.add_argument("--table", action="append", default=[], help="dimension table to compact; by default --upsert-table")
     p.add_argument("--format", default="kafka", choices=["kafka", "text", BRONZE])
     p.add_argument("--read", action="append", default=[], metavar="KEY=VALUE", help="reader option")
     p.add_argument("--out", default="kafka", help="folder, or kafka")
     p.add_argument("--write", action="append", default=[], metavar="KEY=VALUE", help="Kafka writer option")
     p.add_argument("--rejects", help="folder for dimension changes that name no row")
-    p.add_argument("--checkpoint", required=True)
+    p.add_argument("--checkpoint")
     p.add_argument("--every", default=C.TRIGGER, help="trigger interval")
     p.add_argument("--once", action="store_true", help="process what is there and stop")
     p.add_argument("--database", default=C.DATABASE, help="shop database in the change log")
+    p.add_argument("--bound", help="event time within which two changes join, such as '2 days'; each job has a default")
+    p.add_argument("--before", type=int, help="seconds an order may precede its payment")
+    p.add_argument("--after", type=int, help="seconds an order may follow its payment")
+    p.add_argument("--delay", default=C.WATERMARK, help="how late a change may come, in event time; later ones are not joined")
+    p.add_argument("--salts", type=int, help="state partitions over which a join key is spread")
     p.add_argument("--details", help="folder or topic of order details")
     p.add_argument("--details-format", default="parquet", choices=["parquet", "text", "kafka"])
     p.add_argument("--dictionary", help="parquet folder; by default the dictionary dimension")
@@ -136,9 +153,25 @@ def parser() -> argparse.ArgumentParser:
     return p
 
 
+def compact(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Merge the runs of the tables that the command line names."""
+    store = DimensionStore(args.dim_schema, args.dim_location)
+    tables = [store.table(name) for name in args.table]
+    if args.upsert_table:
+        tables.append(newest_fact_table(args.upsert_table, "order_detail", ["id"], ["ts", "activity_id"]))
+    for table in tables:
+        table.compact(spark)
+
+
 def main(argv: list[str] | None = None) -> None:
-    args = parser().parse_args(argv)
+    p = parser()
+    args = p.parse_args(argv)
+    if args.job != COMPACT and not (args.source and args.checkpoint):
+        p.error("--source and --checkpoint are required")
     spark = build_session(f"tidemart-{args.job}")
+    if args.job == COMPACT:
+        compact(spark, args)
+        return
     JOBS[args.job](Inputs(spark, args)).awaitTermination()
 
 

@@ -34,8 +34,8 @@ def gathered(changes: DataFrame, salts: int = STREAM_SALTS) -> DataFrame:
 
 
 def read_bronze(
-    spark: SparkSession, path: str, streaming: bool = False, delay: str = WATERMARK
+    spark: SparkSession, path: str, streaming: bool = False, delay: str = WATERMARK, **options: str
 ) -> DataFrame:
-    """Stored changes; a filter on ``table`` or ``day`` prunes partitions."""
-    reader = spark.readStream if streaming else spark.read
+    """Stored changes; a filter on ``table`` or ``day`` prunes partitions. ``options`` go to the reader."""
+    reader = (spark.readStream if streaming else spark.read).options(**options)
     return with_event_time(reader.schema(CHANGE_DDL + ", day date").parquet(path), delay)

@@ -107,8 +107,9 @@ def read_fact_lines(lines: DataFrame, fact: str, delay: str = WATERMARK) -> Data
 
 
 def read_facts(
-    spark: SparkSession, path: str, fact: str, fmt: str = "json", streaming: bool = False, delay: str = WATERMARK
+    spark: SparkSession, path: str, fact: str, fmt: str = "json", streaming: bool = False, delay: str = WATERMARK,
+    **options: str,
 ) -> DataFrame:
-    """A fact kept as files, with event time; the columns are those of its contract."""
-    reader = spark.readStream if streaming else spark.read
+    """A fact kept as files, with event time; the columns are those of its contract. ``options`` go to the reader."""
+    reader = (spark.readStream if streaming else spark.read).options(**options)
     return with_event_time(reader.format(fmt).schema(fact_schema(fact)).load(path), delay)
