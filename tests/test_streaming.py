@@ -79,6 +79,34 @@ def test_order_detail_then_cancel_and_payment(spark, tmp_path, batch, dictionary
     assert written(spark, sink, C.TOPIC_PAYMENT_SUCCESS, "payment_success") == batch["payment_success"]
 
 
+def test_a_backlog_of_days_loses_nothing(spark, tmp_path):
+    """Default bound, several files a day and table: day by day everything joins, also after a stop midway."""
+    from shop import activity, coupon, detail, order
+
+    from tidemart.sources.bronze import bronze_days, read_bronze, write_bronze
+
+    rows = []
+    for n in range(60):
+        ts = T0 + 86_400 * (n % 6) + 40 * n
+        rows += [order(f"o{n}", ts), detail(f"d{n}", f"o{n}", "s", ts + n % 4)]
+        rows += [activity(f"d{n}", ts + 1)] * (n % 2) + [coupon(f"d{n}", ts + 2)] * (n % 3 == 0)
+    changes = changes_df(spark, rows + FLUSH)
+    bronze, out = str(tmp_path / "bronze"), str(tmp_path / "details")
+    for part in (0, 1):
+        write_bronze(changes.where(f"pmod(hash(data['id'], data['order_detail_id']), 2) = {part}"), bronze)
+    assert len(bronze_days(spark, bronze)) >= 7
+    run = Run(str(tmp_path / "c"), None)
+
+    def start(day):
+        return jobs.start_order_detail(read_bronze(spark, bronze, True, day=day), out, run)
+
+    for day in bronze_days(spark, bronze)[:2]:
+        start(day).awaitTermination()
+    jobs.catch_up(spark, bronze, start)
+    details = read_facts(spark, out, "order_detail", "parquet").drop("et")
+    assert bag(details) == bag(facts.order_detail(changes).drop("et")) and details.count() == 60
+
+
 def test_order_detail_upsert(spark, tmp_path, batch):
     folder = log_files(tmp_path, 3)
     table = newest_fact_table("default.details_by_id", "order_detail", ["id"], ["ts", "activity_id"])

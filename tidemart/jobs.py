@@ -35,9 +35,10 @@ def _pairs(items: list[str]) -> dict[str, str]:
 class Inputs:
     """The sources and sinks a command line names."""
 
-    def __init__(self, spark: SparkSession, args: argparse.Namespace) -> None:
+    def __init__(self, spark: SparkSession, args: argparse.Namespace, day: str | None = None) -> None:
         self.spark = spark
         self.args = args
+        self.day = day
         self.run = Run(args.checkpoint, None if args.once else args.every)
         self.store = DimensionStore(args.dim_schema, args.dim_location)
 
@@ -47,7 +48,7 @@ class Inputs:
     def changes(self) -> DataFrame:
         """The change log, from its topic or from bronze."""
         if self.args.format == BRONZE:
-            return read_bronze(self.spark, self.args.source, True, self.args.delay, **_pairs(self.args.read))
+            return read_bronze(self.spark, self.args.source, True, self.args.delay, self.day, **_pairs(self.args.read))
         return read_changes(self.lines(), self.args.delay)
 
     def joining(self, *names: str) -> dict:
@@ -133,6 +134,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--checkpoint")
     p.add_argument("--every", default=C.TRIGGER, help="trigger interval")
     p.add_argument("--once", action="store_true", help="process what is there and stop")
+    p.add_argument("--by-day", action="store_true", help="work bronze off day by day, in the order of the log, and stop")
     p.add_argument("--database", default=C.DATABASE, help="shop database in the change log")
     p.add_argument("--bound", help="event time within which two changes join, such as '2 days'; each job has a default")
     p.add_argument("--before", type=int, help="seconds an order may precede its payment")
@@ -166,12 +168,18 @@ def compact(spark: SparkSession, args: argparse.Namespace) -> None:
 def main(argv: list[str] | None = None) -> None:
     p = parser()
     args = p.parse_args(argv)
+    if args.by_day and args.format != BRONZE:
+        p.error("--by-day works on bronze")
     if args.job != COMPACT and not (args.source and args.checkpoint):
         p.error("--source and --checkpoint are required")
     spark = build_session(f"tidemart-{args.job}")
     if args.job == COMPACT:
         compact(spark, args)
         return
+    if args.by_day:
+        args.once = True
+        jobs.catch_up(spark, args.source, lambda day: JOBS[args.job](Inputs(spark, args, day)))
+        return
     JOBS[args.job](Inputs(spark, args)).awaitTermination()
 
 

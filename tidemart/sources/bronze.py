@@ -34,8 +34,19 @@ def gathered(changes: DataFrame, salts: int = STREAM_SALTS) -> DataFrame:
 
 
 def read_bronze(
-    spark: SparkSession, path: str, streaming: bool = False, delay: str = WATERMARK, **options: str
+    spark: SparkSession, path: str, streaming: bool = False, delay: str = WATERMARK, day: str | None = None, **options: str
 ) -> DataFrame:
-    """Stored changes; a filter on ``table`` or ``day`` prunes partitions. ``options`` go to the reader."""
+    """Stored changes; a filter on ``table`` or ``day`` prunes partitions. ``options`` go to the reader.
+
+    With ``day`` the source is that day's files of all tables.
+    """
     reader = (spark.readStream if streaming else spark.read).options(**options)
+    if day:
+        reader, path = reader.option("basePath", path), f"{path}/table=*/day={day}"
     return with_event_time(reader.schema(CHANGE_DDL + ", day date").parquet(path), delay)
+
+
+def bronze_days(spark: SparkSession, path: str) -> list[str]:
+    """The days that bronze holds, in order; only partition names are read."""
+    rows = spark.read.schema(CHANGE_DDL + ", day date").parquet(path).select("day").distinct().where("day is not null")
+    return sorted(str(r.day) for r in rows.toLocalIterator())

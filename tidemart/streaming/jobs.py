@@ -20,7 +20,7 @@ from tidemart.operators.visitors import ARRIVAL
 from tidemart.plans import facts
 from tidemart.sinks.keyed import DimensionStore, MergedTable, keyless
 from tidemart.sinks.messages import FileSink, KafkaSink, fact_values, keyed_fact_values
-from tidemart.sources.bronze import PARTITIONS, gathered
+from tidemart.sources.bronze import PARTITIONS, bronze_days, gathered
 from tidemart.sources.config import config_changes
 from tidemart.sources.topics import parse_behaviour, parse_changes, with_document
 from tidemart.streaming.visitors import correct_visitors_stream
@@ -99,6 +99,18 @@ def start_bronze(lines: DataFrame, path: str, run: Run) -> StreamingQuery:
     return run.start_files(gathered(changes), path, partition_by=PARTITIONS)
 
 
+def catch_up(spark: SparkSession, bronze: str, start: Callable[[str], StreamingQuery]) -> None:
+    """Run a job over stored changes day by day, in the order of the log.
+
+    ``start(day)`` starts the job, always with the same checkpoint, over that day's files of all tables, and the
+    run ends when they are done. Every table has then come as far as the others, so the watermark, which moves
+    between runs only, makes no row late, and state holds a day and the bound. The checkpoint remembers the files
+    it has seen: after a stop the days that are done pass at once.
+    """
+    for day in bronze_days(spark, bronze):
+        start(day).awaitTermination()
+
+
 def start_change_rejects(lines: DataFrame, sink: Sink, run: Run) -> StreamingQuery:
     """Put aside change-log lines that do not parse."""
     _, rejected = parse_changes(lines)
