@@ -1,0 +1,69 @@
+import collections
+import hashlib
+import itertools
+import random
+
+import pytest
+from tables import ODD_TEXTS, clashing, documents, prose
+
+from tidemart.llm import substrings as ss
+
+
+def brute(texts, window):
+    split = [(t or "").encode().split() for t in texts]
+    seen = collections.Counter(tuple(w[i : i + window]) for w in split for i in range(len(w) - window + 1))
+    out = []
+    for words in split:
+        keep = [True] * len(words)
+        for i in range(len(words) - window + 1):
+            if seen[tuple(words[i : i + window])] > 1:
+                keep[i : i + window] = [False] * window
+        left = [w for w, k in zip(words, keep, strict=True) if k]
+        out.append((len(words), len(words) - len(left), hashlib.sha256(b" ".join(left)).hexdigest()))
+    return out
+
+
+def cases():
+    rng = random.Random(4)
+    shared = [prose(900 + k, n) for k, n in enumerate((34, 35, 36, 50, 120))]
+    texts = []
+    for i in range(60):
+        words = prose(i, rng.randint(0, 90))
+        for part in rng.sample(shared, rng.choice([0, 0, 1, 2])):
+            at = rng.randint(0, len(words))
+            words[at:at] = part
+        texts.append(" \n".join(words))
+    texts += [texts[0], texts[1], " ".join(shared[3] * 2), "echo " * 36, *ODD_TEXTS]
+    return texts
+
+
+@pytest.mark.parametrize("window", [35, 8, 2, 1])
+def test_equals_all_windows(spark, window):
+    from pyspark.sql import functions as F
+
+    texts = cases()
+    found = ss.without_repeats(clashing(spark, texts), window).withColumn("sha", F.sha2(F.col("kept").cast("binary"), 256))
+    rows = {r.doc_id: (r.n_words, r.n_removed, r.sha) for r in found.collect()}
+    assert [rows[i] for i in range(len(texts))] == brute(texts, window)
+
+
+def test_small_chunks_change_nothing(spark, monkeypatch):
+    from tidemart.llm import chunks
+
+    monkeypatch.setattr(chunks.chunked, "__defaults__", (False, "doc_id", "text", 500))
+    texts = cases()
+    rows = {r.doc_id: tuple(r)[1:] for r in ss.repeat_report(documents(spark, texts)).collect()}
+    assert [rows[i] for i in range(len(texts))] == brute(texts, 35)
+
+
+def test_covers_bring_any_two_positions_together():
+    for period, cover in ss.COVERS.items():
+        for i, j in itertools.product(range(period), repeat=2):
+            assert any((i + s) % period in cover and (j + s) % period in cover for s in range(period))
+
+
+def test_repeated_rows_and_empty_tables(spark):
+    text = " ".join(prose(1, 40))
+    docs = spark.createDataFrame([(1, text), (1, text), (None, "x")], "doc_id bigint, text string")
+    assert sorted((r.n_words, r.n_removed) for r in ss.repeat_report(docs).collect()) == [(1, 0), (40, 40), (40, 40)]
+    assert ss.repeat_report(documents(spark, [])).count() == 0

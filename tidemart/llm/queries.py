@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemart.llm import decontaminate, hash_tree, lm, near_dups, neighbours, pieces, pii, substrings, toxicity, warc
+from tidemart.llm import decontaminate, hash_tree, lm, near_dups, neighbours, oracles, pieces, pii, substrings, toxicity, warc
 from tidemart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,4 +69,8 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op7_circulant_minhash": oracles.OP7,
+        "op8_warc_captures": oracles.OP8,
+        "op10_difference_cover_repeats": oracles.OP10,
+    }
