@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,7 +47,7 @@ def shingles(hashes: np.ndarray, k: int) -> np.ndarray:
 class WordHash(dict):
     """64-bit hashes of words; forgets when it is full."""
 
-    def __init__(self, most: int = 400_000):
+    def __init__(self, most: int = 150_000):
         self.most = most
 
     def __missing__(self, word: bytes) -> int:
@@ -76,29 +77,72 @@ def stored(df: DataFrame, name: str, **options) -> DataFrame:
 LARGE_ROWS = {"parquet.block.size": str(32 << 20), "parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "4"}
 
 
+# Edges that one task contracts at a time.
+BLOCK_EDGES = 250_000
+
+
+class Forest(dict):
+    """Union by smallest root, over any nodes."""
+
+    def root(self, x):
+        up = self.get(x, x)
+        while up != x:
+            top = self.get(up, up)
+            self[x] = top
+            x, up = up, top
+        return x
+
+    def join(self, x, y) -> bool:
+        x, y = self.root(x), self.root(y)
+        if x != y:
+            self[max(x, y)] = min(x, y)
+        return x != y
+
+
+def contracted(edges: DataFrame, tasks: int) -> DataFrame:
+    """Stars (a, root) of the edges in each task, block by block of bounded size."""
+
+    def stars(forest: Forest) -> pa.RecordBatch:
+        nodes = list(forest)
+        return pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(map(forest.root, nodes), pa.int64())], names=["a", "b"])
+
+    def contract(batches):
+        forest, n = Forest(), 0
+        for batch in batches:
+            for x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                forest.join(x, y)
+            n += batch.num_rows
+            if n > 2 * BLOCK_EDGES:
+                yield stars(forest)
+                forest, n = Forest(), 0
+        yield stars(forest)
+
+    return edges.repartition(tasks).mapInArrow(contract, "a bigint, b bigint")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node in ``edges`` (a, b); the component is its smallest node.
 
-    Alternates large-star and small-star steps (Kiveris et al., 2014) until the edges form stars.
-    Every step is a hash aggregate and a join on the same key, so a hub is an ordinary
-    skewed join key that adaptive execution may split. Each round is written to the shared folder.
+    Each round contracts the edges in blocks of bounded size, one to a task. While there are several blocks, large-star
+    and small-star steps (Kiveris et al., 2014) follow, joins of the edges with each node's smallest neighbour; a hub
+    is a skewed join key there that adaptive execution may split. Every round is written to the shared folder.
     """
-    edges = stored(edges.select("a", "b").where("a <> b").distinct(), "edges")
-    now = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
+    now = stored(edges.select("a", "b").where("a <> b"), "edges")
     seen = None
     while True:
-        both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
-        down = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(down, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = stored(small.union(down.select("u", F.col("m").alias("v"))).distinct(), "stars")
-        sums = now.agg(
-            F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))
-        ).first()
+        tasks = max(1, -(-now.count() // BLOCK_EDGES))
+        now = stored(contracted(now, tasks), "stars")
+        if tasks == 1:
+            break
+        both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"))
+        large = both.join(least, "a").where("b > a and b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        down = large.groupBy("a").agg(F.min("b").alias("m"))
+        small = large.join(down, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        now = stored(small.union(down.select("a", F.col("m").alias("b"))).distinct(), "stars")
+        sums = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
         if sums == seen:
             break
         seen = sums
-    leaves = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    leaves = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return leaves.union(leaves.select(F.col("component").alias("node"), "component").distinct())

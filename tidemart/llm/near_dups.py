@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemart.llm.common import GOLDEN, MIX_A, MIX_B, WordHash, components, mix64, shingles, stored, words
+from tidemart.llm.common import GOLDEN, MIX_A, MIX_B, Forest, WordHash, components, mix64, shingles, stored, words
 
 SHINGLE, PERCENT = 3, 85
 BANDS, ROWS = 28, 5
@@ -108,26 +108,8 @@ def candidate_stars(signed: DataFrame) -> DataFrame:
     """Edges (a, b) from every node of a bucket to the smallest one in it."""
     met = signed.where("node is not null").select("node", F.explode("bands").alias("bucket"))
     shared = met.groupBy("bucket").agg(F.min("node").alias("b"), F.max("node").alias("top")).where("b <> top").select("bucket", "b")
-    return met.join(shared, "bucket").where("node <> b").select(F.col("node").alias("a"), "b").distinct()
-
-
-class Forest:
-    """Union by smallest root."""
-
-    def __init__(self, n: int):
-        self.up = list(range(n))
-
-    def root(self, i: int) -> int:
-        while self.up[i] != i:
-            self.up[i] = self.up[self.up[i]]
-            i = self.up[i]
-        return i
-
-    def join(self, i: int, j: int) -> bool:
-        i, j = self.root(i), self.root(j)
-        if i != j:
-            self.up[max(i, j)] = min(i, j)
-        return i != j
+    # Both sides grow with the corpus, so neither is broadcast at any size.
+    return met.join(shared.hint("merge"), "bucket").where("node <> b").select(F.col("node").alias("a"), "b").distinct()
 
 
 def linked(sets: list[np.ndarray], left: np.ndarray) -> list[tuple[int, int]]:
@@ -140,7 +122,7 @@ def linked(sets: list[np.ndarray], left: np.ndarray) -> list[tuple[int, int]]:
     posting = owner[order]
     rank = np.empty(len(flat), np.int64)
     rank[order] = np.repeat(np.arange(len(cuts)), frequency)
-    offsets, forest, out = np.cumsum(sizes) - sizes, Forest(len(sets)), []
+    offsets, forest, out = np.cumsum(sizes) - sizes, Forest(), []
     across = left.any() and not left.all()
     for i in range(len(sets)):
         mine = rank[offsets[i] : offsets[i] + sizes[i]]
@@ -194,7 +176,7 @@ def confirmed(docs: DataFrame, nodes: DataFrame, groups: DataFrame, block_shingl
     placed = placed.select("node", "doc_id", F.col("component").alias("group"), "blocks", "block", other.alias("other"))
     placed = placed.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
     share = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("group"), F.lit(bins))).otherwise(F.xxhash64("group", "i", "j"))
-    rows = placed.withColumn("share", share).join(docs.select("doc_id", "text"), "doc_id")
+    rows = placed.withColumn("share", share).hint("merge").join(docs.select("doc_id", "text"), "doc_id")
     return rows.select("share", "group", "i", "j", "block", "node", "text").groupBy("share").applyInArrow(verify, "a bigint, b bigint")
 
 
