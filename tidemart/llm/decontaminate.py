@@ -35,7 +35,7 @@ from tidemart.llm.toxicity import FOLD
 SHINGLE, SIMILARITY, RADIUS = 5, 0.8, 20
 BLOCKS, BLOCK_BITS, NEAR = 8, 8, 2
 SLICE_ITEMS = 20_000
-BATCH_CHARS = 2_000_000
+BATCH_CHARS = 1_000_000
 
 
 def split_words(text: str | None) -> list[bytes]:

@@ -35,7 +35,8 @@ MARK = "▁"
 MARKED = 0x2581
 # The private-use character that stands for a literal space mark inside the lattice.
 LITERAL = 0x10FFFF
-BATCH_CHARS = 2_000_000
+BATCH_CHARS = 1_000_000
+DENSE = 95
 SHARPNESS = 0.5
 
 
@@ -75,14 +76,26 @@ class Vocabulary:
         keys = np.array([a << 21 | c for a, c in nodes], np.int64)
         to = np.array(list(nodes.values()), np.int64)
         self.keys, self.to = keys[np.argsort(keys)], to[np.argsort(keys)]
-        self.piece_at = np.full(len(nodes) + 1, -1, np.int64)
+        # Steps by the most frequent characters are in one table; column 0 is for all others.
+        often, times = np.unique(self.keys & 0x1FFFFF, return_counts=True)
+        often = often[np.argsort(-times, kind="stable")][:DENSE]
+        self.column = np.zeros(0x110000, np.uint8)
+        self.column[often] = np.arange(1, len(often) + 1)
+        self.dense = np.full((len(nodes) + 1, DENSE + 1), -1, np.int32)
+        self.dense[self.keys >> 21, self.column[self.keys & 0x1FFFFF]] = self.to
+        self.piece_at = np.full(len(nodes) + 1, -1, np.int32)
         self.piece_at[list(at_node)] = list(at_node.values())
 
     def step(self, node: np.ndarray, char: np.ndarray) -> np.ndarray:
         """The next trie node, or -1."""
-        key = node << 21 | char
-        i = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where(self.keys[i] == key, self.to[i], -1)
+        column = self.column[char]
+        out = self.dense[node, column]
+        rare = np.flatnonzero(column == 0)
+        if len(rare):
+            key = node[rare].astype(np.int64) << 21 | char[rare]
+            i = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            out[rare] = np.where(self.keys[i] == key, self.to[i], -1)
+        return out
 
     def decode(self, ids: list[int]) -> str:
         """The text; the first space is the one that encoding put there."""
@@ -97,19 +110,19 @@ def vocabulary(model_file: str, sharpness: float) -> Vocabulary:
 class Lattice:
     """Arcs of many segments side by side, sorted by end, and alpha of every position.
 
-    Segment s has the positions first[s] .. first[s] + length[s]; arcs join positions.
+    Segments come without their first space mark. Segment s has the positions first[s] .. last[s]; arcs join positions.
     """
 
     def __init__(self, segments: list[str], vocab: Vocabulary):
-        chars = np.frombuffer("".join(segments).encode("utf-32-le"), np.uint32).astype(np.int64)
-        length = np.fromiter(map(len, segments), np.int64, len(segments))
-        segment = np.repeat(np.arange(len(segments)), length)
+        chars = np.frombuffer((MARK + MARK.join(segments)).encode("utf-32-le"), np.int32)
+        length = np.fromiter(map(len, segments), np.int64, len(segments)) + 1
+        segment = np.repeat(np.arange(len(segments), dtype=np.int32), length)
         self.first = np.concatenate([[0], np.cumsum(length + 1)])[:-1]
         self.last = self.first + length
-        position = np.arange(len(chars)) + segment
+        position = np.arange(len(chars), dtype=np.int32) + segment
         # Grow all matches by one character at a time.
-        start, node = np.arange(len(chars)), np.zeros(len(chars), np.int64)
-        limit = np.cumsum(length)[segment]
+        start, node = np.arange(len(chars), dtype=np.int32), np.zeros(len(chars), np.int32)
+        limit = np.cumsum(length).astype(np.int32)[segment]
         found, reach = [], 0
         single = np.zeros(len(chars), bool)
         while len(start):
@@ -119,43 +132,46 @@ class Lattice:
             start, node = start[keep], node[keep]
             piece = vocab.piece_at[node]
             hit = piece >= 0
-            found.append((start[hit], np.full(hit.sum(), reach), piece[hit]))
+            found.append((start[hit], np.full(hit.sum(), reach, np.int32), piece[hit]))
             if reach == 1:
                 single[start[hit]] = True
             more = start + reach < limit[start]
             start, node = start[more], node[more]
-        bare = np.flatnonzero(~single)
-        found.append((bare, np.ones(len(bare), np.int64), -1 - chars[bare]))
-        start, size, self.piece = (np.concatenate(x) for x in zip(*found, strict=True))
+        bare = np.flatnonzero(~single).astype(np.int32)
+        found.append((bare, np.ones(len(bare), np.int32), -1 - chars[bare]))
+        start, size, self.piece = (np.concatenate(x) for x in zip(*reversed(found), strict=True))
+        del found, single, limit, node
         self.start = position[start]
         end = self.start + size
         weight = np.where(self.piece >= 0, vocab.weight[np.maximum(self.piece, 0)], vocab.unknown)
-        # Positions at the same distance from their segment's start are filtered together.
-        depth = end - self.first[segment[start]]
-        order = np.lexsort((end, depth))
+        # Positions at the same distance from their segment's start are filtered together; an end's longest arc comes first.
+        depth = end - self.first.astype(np.int32)[segment[start]]
+        order = np.lexsort((end, depth)).astype(np.int32)
+        del start, size, segment, position
         self.start, self.piece, end, weight, depth = self.start[order], self.piece[order], end[order], weight[order], depth[order]
-        total = len(chars) + len(segments)
-        alpha = np.full(total, -np.inf)
+        del order
+        alpha = np.full(len(chars) + len(segments), -np.inf)
         alpha[self.first] = 0.0
-        into = np.empty(len(end))
-        cuts = np.flatnonzero(np.diff(depth, prepend=-1, append=-1))
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            here, heads = np.unique(end[a:b], return_index=True)
-            x = alpha[self.start[a:b]] + weight[a:b]
-            top = np.maximum.reduceat(x, heads)
-            e = np.exp(x - np.repeat(top, np.diff(heads, append=b - a)))
-            mass = np.add.reduceat(e, heads)
-            alpha[here] = top + np.log(mass)
-            into[a:b] = e / np.repeat(mass, np.diff(heads, append=b - a))
-        # By end: position + running chance, one ascending array to search in.
-        order = np.argsort(end, kind="stable")
-        self.start, self.piece, end, into = self.start[order], self.piece[order], end[order], into[order]
-        run = np.cumsum(into)
         heads = np.flatnonzero(np.diff(end, prepend=-1))
-        run -= np.repeat(run[heads] - into[heads], np.diff(heads, append=len(end)))
-        self.threshold = end + np.minimum(run, 1.0)
-        lasts = np.append(heads[1:], len(end)) - 1
-        self.threshold[lasts] = end[lasts] + 1.0
+        size = np.diff(heads, append=len(end))
+        levels = np.flatnonzero(np.diff(depth[heads], prepend=-1, append=-1))
+        chance = np.empty(len(end))
+        for g, h in zip(levels[:-1], levels[1:], strict=True):
+            a, b = heads[g], heads[h] if h < len(heads) else len(end)
+            x = alpha[self.start[a:b]] + weight[a:b]
+            inner = heads[g:h] - a
+            top = np.maximum.reduceat(x, inner)
+            x -= np.repeat(top, size[g:h])
+            np.exp(x, out=x)
+            mass = np.add.reduceat(x, inner)
+            alpha[end[heads[g:h]]] = top + np.log(mass)
+            chance[a:b] = x / np.repeat(mass, size[g:h])
+        # Running chances of the arcs into a position; the last one takes every draw.
+        run = np.cumsum(chance)
+        self.until = run - np.repeat(run[heads] - chance[heads], size)
+        self.until[heads + size - 1] = np.inf
+        self.head = np.zeros(len(alpha), np.int64)
+        self.head[end[heads]] = heads
         self.alpha = alpha
 
     def sample(self, occurrence: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -165,8 +181,12 @@ class Lattice:
         taken, step = [], 0
         count = np.zeros(len(occurrence), np.int64)
         while len(live):
-            draw = mix64(key[live] + np.uint64(step * GOLDEN & (1 << 64) - 1)) >> np.uint64(21)
-            arc = np.searchsorted(self.threshold, at + draw.astype(np.float64) / 2.0**43, side="right")
+            draw = (mix64(key[live] + np.uint64(step * GOLDEN & (1 << 64) - 1)) >> np.uint64(11)) / 2.0**53
+            arc = self.head[at]
+            later = np.flatnonzero(self.until[arc] <= draw)
+            while len(later):
+                arc[later] += 1
+                later = later[self.until[arc[later]] <= draw[later]]
             taken.append((live, self.piece[arc]))
             count[live] += 1
             at = self.start[arc]
@@ -181,17 +201,18 @@ class Lattice:
 
 
 def segments_of(text: str) -> list[str]:
-    """Cut before every run of space marks that follows another character."""
-    words = (" " + text).replace(MARK, chr(LITERAL)).split(" ")
+    """Cut before every run of space marks that follows another character; the first mark of each is left out."""
+    words = text.replace(MARK, chr(LITERAL)).split(" ")
+    if all(words):
+        return words
     out, marks = [], 0
-    for word in words[1:]:
-        marks += 1
+    for word in words:
         if word:
             out.append(MARK * marks + word)
             marks = 0
-    if marks:
-        out.append(MARK * marks)
-    return out
+        else:
+            marks += 1
+    return out if not marks else [*out, MARK * (marks - 1)]
 
 
 def row_key(value) -> int:

@@ -37,7 +37,7 @@ PARTS = range(4, 8)
 CANDIDATE, SIGNIFICANT = 5.0, 14.0
 HUMAN = 0.99
 LEXICONS = 6
-CACHED_WORDS = 300_000
+CACHED_WORDS = 100_000
 
 # A short seed lexicon in four languages.
 SEED_WORDS = """
