@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemart.llm.common import stored, table
 from tidemart.llm.decontaminate import without_leaks
-from tidemart.llm.near_dups import without_near_duplicates
+from tidemart.llm.near_dups import FIVE_WORDS, without_near_duplicates
 from tidemart.llm.pieces import piece_report
 from tidemart.llm.pii import redacted
 from tidemart.llm.toxicity import without_toxic
@@ -30,8 +30,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group."""
-    return without_near_duplicates(docs.select(*COLUMNS))
+    """The document with the smallest id of each group; five-word shingles, similarity 0.8."""
+    return without_near_duplicates(docs.select(*COLUMNS), FIVE_WORDS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

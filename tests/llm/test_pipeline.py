@@ -48,3 +48,29 @@ def test_empty_tables(spark, tmp_path):
     spark.createDataFrame([], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     assert cp.run(spark, str(tmp_path)).count() == 0
+
+
+def five_word_groups(texts):
+    sets = []
+    for t in texts:
+        w = t.lower().split()
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))})
+    up = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                up = [min(up[i], up[j]) if u in (up[i], up[j]) else u for u in up]
+    return up
+
+
+def test_near_duplicates_are_told_by_five_words(spark):
+    a, b = prose(1, 100, 2000), prose(2, 150, 2000)
+    scattered = [f"new{i}" if i in (20, 50, 80, 110) else w for i, w in enumerate(b)]
+    # 96/116 of five words, but 98/118 of three; and 126/166 of five words, but 136/160 of three.
+    texts = [" ".join(t) for t in (a, a + prose(3, 20, 2000), b, scattered, ["a", "few", "words"], ["A", "few", "words"])]
+    found = groups(texts)
+    assert [c for _, c in found] == [0, 1, 2, 2, 4, 4]
+    kept = dict(cp.STAGES)["near_duplicates"](spark, documents(spark, texts), "")
+    wanted = [i for i, root in enumerate(five_word_groups(texts)) if root == i]
+    assert wanted == [0, 2, 3, 4]
+    assert sorted(r.doc_id for r in kept.collect()) == wanted

@@ -1,24 +1,25 @@
 """Near-duplicates by circulant MinHash.
 
-A document's set holds its distinct three-word shingles (words between ASCII white space, A-Z in lower
-case). Two permutations of the 64-bit integers make its whole signature: the first shuffles the
+A document's set holds its distinct shingles of some words in a row (words between ASCII white space, A-Z in lower
+case); ``Likeness`` says how many, and which part of two sets must be common. Two permutations of the 64-bit integers make its whole signature: the first shuffles the
 shingles, the second is applied after a circular shift by k, and the smallest value is coordinate k (Li
 and Li, C-MinHash, 2022). Coordinates are banded; documents meeting in a band are candidates. 28 bands of five miss a
-pair at similarity 0.85 with chance 7e-8.
+pair at similarity 0.85 with chance 7e-8, 42 bands one at 0.8 with chance 6e-8.
 
 Equal sets are one node from the start. Candidates are never written out as pairs: buckets become stars, stars
 become candidate groups, and each group is verified on its full sets inside one task, or, if it is large, block by block
 of bounded size. Every pair of a group is compared exactly, through an inverted index of the shingles, and a task
 returns only a spanning forest of the links it confirmed. The components of these are the result.
 
-Documents with one or two words have the whole sequence as their shingle. Without words (null, empty, white space) a
+Documents with fewer words than a shingle have the whole sequence as theirs. Without words (null, empty, white space) a
 document is linked with nothing. Rows without an id are linked with nothing and have no component. Rows that share an id are
 nodes of their own if their sets differ.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -28,19 +29,30 @@ from pyspark.sql import types as T
 
 from tidemart.llm.common import GOLDEN, MIX_A, MIX_B, Forest, WordHash, components, mix64, shingles, stored, words
 
-SHINGLE, PERCENT = 3, 85
 BANDS, ROWS = 28, 5
+
+
+class Likeness(NamedTuple):
+    """Words of a shingle, the least similarity in per cent, and bands that fit it."""
+
+    shingle: int
+    percent: int
+    bands: int = BANDS
+
+
+# What op7 asks for, and what a corpus stage without a contract of its own takes.
+THREE_WORDS, FIVE_WORDS = Likeness(3, 85), Likeness(5, 80, 42)
 SIGNED_AT_ONCE = 40_000
 BLOCK_SHINGLES = 2_000_000
 
 
-def shingle_set(text: bytes | None, hashed: WordHash) -> np.ndarray:
+def shingle_set(text: bytes | None, hashed: WordHash, shingle: int) -> np.ndarray:
     """Sorted hashes of the distinct shingles."""
     found = words(text.lower()) if text else []
     if not found:
         return np.zeros(0, np.uint64)
     each = np.fromiter(map(hashed.__getitem__, found), np.uint64, len(found))
-    return np.unique(shingles(each, min(SHINGLE, len(found))))
+    return np.unique(shingles(each, min(shingle, len(found))))
 
 
 def set_key(shingle: np.ndarray) -> int:
@@ -50,13 +62,13 @@ def set_key(shingle: np.ndarray) -> int:
     return int(mix64(np.array([total + np.uint64(len(shingle))], np.uint64)).view(np.int64)[0])
 
 
-def bands_of(sets: list[np.ndarray]) -> np.ndarray:
-    """Band keys (sets x BANDS) of non-empty sets."""
+def bands_of(sets: list[np.ndarray], bands: int = BANDS) -> np.ndarray:
+    """Band keys (sets x bands) of non-empty sets."""
     flat = mix64(np.concatenate(sets))
     starts = np.cumsum([0, *map(len, sets)])[:-1]
-    keys = np.zeros((len(sets), BANDS), np.uint64)
+    keys = np.zeros((len(sets), bands), np.uint64)
     x, y = np.empty_like(flat), np.empty_like(flat)
-    for k in range(BANDS * ROWS):
+    for k in range(bands * ROWS):
         # The second permutation of the shifted values: mix64, without new arrays.
         np.add(flat, np.uint64(GOLDEN + k), out=x)
         for shift, factor in ((30, MIX_A), (27, MIX_B)):
@@ -75,33 +87,37 @@ SIGNATURE = T.StructType(
 )
 
 
-@F.arrow_udf(SIGNATURE)
-def signature(texts: pa.Array) -> pa.Array:
+def signature(like: Likeness) -> Callable:
     """Size, key and band keys of each text's set; an empty set has neither key nor bands."""
-    hashed, n, nodes, bands, waiting = WordHash(), [], [], [], []
-
-    def sign() -> None:
-        if waiting:
-            keys = bands_of([s for _, s in waiting])
-            for (i, _), row in zip(waiting, keys, strict=True):
-                bands[i] = row
-            waiting.clear()
-
-    size = 0
-    for text in texts.cast(pa.binary()).to_pylist():
-        found = shingle_set(text, hashed)
-        n.append(len(found))
-        nodes.append(set_key(found) if len(found) else None)
-        bands.append(None)
-        if len(found):
-            waiting.append((len(bands) - 1, found))
-            size += len(found)
-        if size >= SIGNED_AT_ONCE:
-            sign()
-            size = 0
-    sign()
-    arrays = [pa.array(n, pa.int64()), pa.array(nodes, pa.int64()), pa.array(bands, pa.list_(pa.int64()))]
-    return pa.StructArray.from_arrays(arrays, ["n", "node", "bands"])
+
+    @F.arrow_udf(SIGNATURE)
+    def signed(texts: pa.Array) -> pa.Array:
+        hashed, n, nodes, bands, waiting = WordHash(), [], [], [], []
+
+        def sign() -> None:
+            if waiting:
+                keys = bands_of([s for _, s in waiting], like.bands)
+                for (i, _), row in zip(waiting, keys, strict=True):
+                    bands[i] = row
+                waiting.clear()
+
+        size = 0
+        for text in texts.cast(pa.binary()).to_pylist():
+            found = shingle_set(text, hashed, like.shingle)
+            n.append(len(found))
+            nodes.append(set_key(found) if len(found) else None)
+            bands.append(None)
+            if len(found):
+                waiting.append((len(bands) - 1, found))
+                size += len(found)
+            if size >= SIGNED_AT_ONCE:
+                sign()
+                size = 0
+        sign()
+        arrays = [pa.array(n, pa.int64()), pa.array(nodes, pa.int64()), pa.array(bands, pa.list_(pa.int64()))]
+        return pa.StructArray.from_arrays(arrays, ["n", "node", "bands"])
+
+    return signed
 
 
 def candidate_stars(signed: DataFrame) -> DataFrame:
@@ -112,7 +128,7 @@ def candidate_stars(signed: DataFrame) -> DataFrame:
     return met.join(shared.hint("merge"), "bucket").where("node <> b").select(F.col("node").alias("a"), "b").distinct()
 
 
-def linked(sets: list[np.ndarray], left: np.ndarray) -> list[tuple[int, int]]:
+def linked(sets: list[np.ndarray], left: np.ndarray, percent: int) -> list[tuple[int, int]]:
     """A spanning forest of the exact links among the sets; with both sides present, of those across."""
     flat, sizes = np.concatenate(sets), np.fromiter(map(len, sets), np.int64)
     owner = np.repeat(np.arange(len(sets)), sizes)
@@ -132,7 +148,7 @@ def linked(sets: list[np.ndarray], left: np.ndarray) -> list[tuple[int, int]]:
             continue
         spots = np.arange(total) - np.repeat(np.cumsum(frequency[mine]) - frequency[mine], frequency[mine])
         both = np.bincount(posting[np.repeat(cuts[mine], frequency[mine]) + spots], minlength=len(sets))
-        hit = 100 * both >= PERCENT * (sizes + sizes[i] - both)
+        hit = 100 * both >= percent * (sizes + sizes[i] - both)
         hit[i:] = False
         if across:
             hit &= left != left[i]
@@ -143,25 +159,25 @@ def linked(sets: list[np.ndarray], left: np.ndarray) -> list[tuple[int, int]]:
 EDGE = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-def verify(block: pa.Table) -> pa.Table:
+def verify(block: pa.Table, like: Likeness) -> pa.Table:
     """Links of all candidate groups, or pairs of blocks of one, in a task's share."""
     hashed, a, b = WordHash(), [], []
     rows: dict[tuple, list[tuple[int, bool, np.ndarray]]] = {}
     columns = [block.column(c).to_pylist() for c in ("group", "i", "j", "block", "node")]
     texts = block.column("text").cast(pa.binary())
     for at, (group, i, j, own, node) in enumerate(zip(*columns, strict=True)):
-        found = shingle_set(texts[at].as_py(), hashed)
+        found = shingle_set(texts[at].as_py(), hashed, like.shingle)
         if len(found) and set_key(found) == node:
             rows.setdefault((group, i, j), []).append((node, own == i and i != j, found))
     for members in rows.values():
         nodes = [m[0] for m in members]
-        for x, y in linked([m[2] for m in members], np.array([m[1] for m in members])):
+        for x, y in linked([m[2] for m in members], np.array([m[1] for m in members]), like.percent):
             a.append(nodes[x])
             b.append(nodes[y])
     return pa.Table.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=EDGE)
 
 
-def confirmed(docs: DataFrame, nodes: DataFrame, groups: DataFrame, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
+def confirmed(docs: DataFrame, nodes: DataFrame, groups: DataFrame, like: Likeness, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
     """Edges (a, b) between nodes whose full sets are similar enough.
 
     ``nodes`` (node, doc_id, n) names a document for each node, ``groups`` (node, component) the candidates.
@@ -177,17 +193,18 @@ def confirmed(docs: DataFrame, nodes: DataFrame, groups: DataFrame, block_shingl
     placed = placed.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
     share = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("group"), F.lit(bins))).otherwise(F.xxhash64("group", "i", "j"))
     rows = placed.withColumn("share", share).hint("merge").join(docs.select("doc_id", "text"), "doc_id")
-    return rows.select("share", "group", "i", "j", "block", "node", "text").groupBy("share").applyInArrow(verify, "a bigint, b bigint")
+    rows = rows.select("share", "group", "i", "j", "block", "node", "text")
+    return rows.groupBy("share").applyInArrow(lambda block: verify(block, like), "a bigint, b bigint")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, like: Likeness = THREE_WORDS) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row."""
-    signed = stored(docs.select("doc_id", signature("text").alias("s")).select("doc_id", "s.*"), "signatures")
+    signed = stored(docs.select("doc_id", signature(like)("text").alias("s")).select("doc_id", "s.*"), "signatures")
     known = signed.where("node is not null and doc_id is not null")
     nodes = known.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"), F.count("*").alias("copies"))
     nodes = stored(nodes, "nodes")
     groups = components(candidate_stars(known))
-    links = components(confirmed(docs.where("doc_id is not null"), nodes.select("node", "doc_id", "n"), groups))
+    links = components(confirmed(docs.where("doc_id is not null"), nodes.select("node", "doc_id", "n"), groups, like))
     least = nodes.join(links, "node").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     linked_nodes = links.join(least, "component").select("node", "component_id")
     # Only nodes with copies or links have another document to name.
@@ -201,12 +218,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def near_duplicate_report(docs: DataFrame) -> DataFrame:
     """op7: the group of every document, and whether it is the one that stays."""
-    found = near_duplicates(docs.select("doc_id", "text"))
+    found = near_duplicates(docs.select("doc_id", "text"), THREE_WORDS)
     return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def without_near_duplicates(docs: DataFrame) -> DataFrame:
+def without_near_duplicates(docs: DataFrame, like: Likeness = THREE_WORDS) -> DataFrame:
     """One document of each group, and all rows without an id; columns stay as they are."""
-    kept = near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
+    kept = near_duplicates(docs, like).where("doc_id = component_id").select("doc_id").distinct()
     named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return named.select(*docs.columns).unionByName(docs.where("doc_id is null"))
