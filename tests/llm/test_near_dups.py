@@ -75,3 +75,20 @@ def test_repeated_ids_and_rows_without_id(spark):
     assert kept.columns == docs.columns
     assert sorted((r.doc_id for r in kept.collect()), key=str) == [5, 7, None, None]
     assert nd.near_duplicate_report(documents(spark, [])).count() == 0
+
+
+def test_an_id_on_two_texts_loses_only_the_copy(spark):
+    schema = "doc_id bigint, text string, lang string"
+    texts = [" ".join(prose(i, 50)) for i in range(8)]
+    rows = [(100 + i, t, "en") for i, t in enumerate(texts)]
+    # Each id stands on a copy of another document and on a text of its own.
+    own = [" ".join(prose(50 + i, 50)) for i in range(8)]
+    rows += [(200 + i, t, "en") for i, t in enumerate(texts)] + [(200 + i, t, "en") for i, t in enumerate(own)]
+    near = own[0].split()[:-1]
+    rows += [(200, " ".join(near), "en"), (300, own[0] + " more", "en"), (400, None, "b"), (400, "", "a"), (400, "x y", "en")]
+    kept = nd.without_near_duplicates(spark.createDataFrame(rows, schema).repartition(5)).collect()
+    # Of id 200 and its two near copies of one another, either may stay, but only one.
+    first = [r.text for r in kept if r.doc_id == 200]
+    assert len(first) == 1 and first[0] in (own[0], " ".join(near))
+    rest = sorted((r.doc_id, r.text or "") for r in kept if r.doc_id != 200)
+    assert rest == sorted([(100 + i, t) for i, t in enumerate(texts)] + [(200 + i, t) for i, t in enumerate(own) if i] + [(400, ""), (400, "x y")])

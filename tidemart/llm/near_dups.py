@@ -197,33 +197,58 @@ def confirmed(docs: DataFrame, nodes: DataFrame, groups: DataFrame, like: Likene
     return rows.groupBy("share").applyInArrow(lambda block: verify(block, like), "a bigint, b bigint")
 
 
-def near_duplicates(docs: DataFrame, like: Likeness = THREE_WORDS) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row."""
+def groups_of(docs: DataFrame, like: Likeness) -> DataFrame:
+    """(doc_id, n_shingles, node, component_id, first) of every row; of a group, the set ``first`` of document ``component_id`` stays."""
     signed = stored(docs.select("doc_id", signature(like)("text").alias("s")).select("doc_id", "s.*"), "signatures")
     known = signed.where("node is not null and doc_id is not null")
     nodes = known.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"), F.count("*").alias("copies"))
     nodes = stored(nodes, "nodes")
     groups = components(candidate_stars(known))
     links = components(confirmed(docs.where("doc_id is not null"), nodes.select("node", "doc_id", "n"), groups, like))
-    least = nodes.join(links, "node").groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    linked_nodes = links.join(least, "component").select("node", "component_id")
+    least = nodes.join(links, "node").groupBy("component").agg(F.min(F.struct("doc_id", "node")).alias("least"))
+    linked_nodes = links.join(least, "component").select("node", "least")
     # Only nodes with copies or links have another document to name.
-    several = nodes.join(linked_nodes, "node", "left").where("copies > 1 or component_id is not null")
-    several = several.select("node", F.coalesce("component_id", "doc_id").alias("component_id"))
+    several = nodes.join(linked_nodes, "node", "left").where("copies > 1 or least is not null")
+    several = several.select("node", F.coalesce("least.doc_id", "doc_id").alias("component_id"), F.coalesce("least.node", "node").alias("first"))
     return signed.select("doc_id", "n", "node").join(several, "node", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"),
+        "doc_id", F.col("n").alias("n_shingles"), "node",
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"),
+        F.coalesce("first", "node").alias("first"),
     )
 
 
+def near_duplicates(docs: DataFrame, like: Likeness = THREE_WORDS) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row."""
+    return groups_of(docs, like).select("doc_id", "n_shingles", "component_id")
+
+
 def near_duplicate_report(docs: DataFrame) -> DataFrame:
     """op7: the group of every document, and whether it is the one that stays."""
     found = near_duplicates(docs.select("doc_id", "text"), THREE_WORDS)
     return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def set_keys(like: Likeness) -> Callable:
+    """The key of each text's set, null for an empty one."""
+
+    @F.arrow_udf(T.LongType())
+    def keys(texts: pa.Array) -> pa.Array:
+        hashed = WordHash()
+        found = (shingle_set(t, hashed, like.shingle) for t in texts.cast(pa.binary()).to_pylist())
+        return pa.array([set_key(f) if len(f) else None for f in found], pa.int64())
+
+    return keys
+
+
 def without_near_duplicates(docs: DataFrame, like: Likeness = THREE_WORDS) -> DataFrame:
-    """One document of each group, and all rows without an id; columns stay as they are."""
-    kept = near_duplicates(docs, like).where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    """One row of each group, and all rows without an id; columns stay as they are.
+
+    Rows that share an id stand for themselves if their sets differ. Of rows that repeat both id and set one stays, always
+    the same.
+    """
+    kept = groups_of(docs, like).where("doc_id = component_id and node <=> first").select(F.col("doc_id").alias("__id"), F.col("node").alias("__kept"))
+    named = docs.where("doc_id is not null").withColumn("__node", set_keys(like)("text"))
+    named = named.join(kept.distinct(), F.expr("doc_id = __id and __node <=> __kept"), "left_semi")
+    ordered = [c for c, kind in docs.dtypes if "map<" not in kind and kind != "variant"]
+    one = named.groupBy("doc_id", "__node").agg(F.min_by(F.struct(*docs.columns), F.struct(*ordered)).alias("row"))
+    return one.select("row.*").unionByName(docs.where("doc_id is null"))
