@@ -93,3 +93,18 @@ def test_redaction_keeps_columns(spark):
 
 def test_empty_table(spark):
     assert pii.span_report(documents(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize(
+    "text, plain, whole",
+    [
+        ("to jоhn@example.com now", "hn@example.com", "jоhn@example.com"),
+        ("to joe@mail.acmе.com now", "joe@mail.acm", "joe@mail.acmе.com"),
+        ("ip 10.0.0.1٢ now", "10.0.0.1", "10.0.0.1٢"),
+    ],
+)
+def test_a_disguised_span_may_contain_a_plain_one(text, plain, whole):
+    base, added = pii.find_spans(text)
+    assert [text[a:b] for a, b, _ in base] == [plain]
+    assert [text[a:b] for a, b, _ in added] == [whole]
+    assert pii.redact(text, [*base, *added]) == text.replace(whole, f"<{added[0][2].upper()}>")

@@ -9,7 +9,8 @@ rewrites the text, each keeping for every character the source span it came from
 * "(at)", "[dot]" and "name at host dot com" become "@" and ".".
 
 The same detectors run on the rewritten text, and what they find goes back to source characters.
-A span found so is added if some of its characters were rewritten and it touches no plain span.
+A span found so is added if some of its characters were rewritten and it is no plain span. It may contain or overlap plain
+ones, which stay.
 
 Null and empty texts have no spans. Offsets count code points, ends are exclusive. Every row is
 looked at on its own, so there is no shuffle, and repeated rows give repeated results.
@@ -237,12 +238,12 @@ def find_spans(text: str) -> tuple[list[Span], list[Span]]:
     mapped = deobfuscate(text)
     if mapped is None:
         return base, []
-    taken, added = sorted((a, b) for a, b, _ in base), []
+    taken, added = set(base), []
     for a, b, kind in plain_spans(mapped.text):
         start, end = mapped.starts[a], mapped.ends[b - 1]
-        if text[start:end] != mapped.text[a:b] and not any(x < end and start < y for x, y in taken):
+        if text[start:end] != mapped.text[a:b] and (start, end, kind) not in taken:
             added.append((start, end, kind))
-            taken.append((start, end))
+            taken.add((start, end, kind))
     return base, added
 
 
