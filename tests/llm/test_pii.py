@@ -108,3 +108,40 @@ def test_a_disguised_span_may_contain_a_plain_one(text, plain, whole):
     assert [text[a:b] for a, b, _ in base] == [plain]
     assert [text[a:b] for a, b, _ in added] == [whole]
     assert pii.redact(text, [*base, *added]) == text.replace(whole, f"<{added[0][2].upper()}>")
+
+
+@pytest.mark.parametrize(
+    "text, shown, kind",
+    [
+        ("host one nine two dot one six eight dot zero dot one up", "one nine two dot one six eight dot zero dot one", "ip"),
+        ("host one nine two.one six eight.zero.one up", "one nine two.one six eight.zero.one", "ip"),
+        ("host one nine two [dot] one six eight [dot] zero [dot] one up", "one nine two [dot] one six eight [dot] zero [dot] one", "ip"),
+        ("host 192 dot 168 dot 0 dot 1 up", "192 dot 168 dot 0 dot 1", "ip"),
+        ("host 10 dot double-two dot 0 dot 1 up", "10 dot double-two dot 0 dot 1", "ip"),
+        ("host 192.168.l.1 up", "192.168.l.1", "ip"),
+        ("host 192.168.0.l up", "192.168.0.l", "ip"),
+        ("call +1 555 one two three 4567 now", "+1 555 one two three 4567", "phone"),
+        ("call plus one (five five five) one two three 4567 now", "plus one (five five five) one two three 4567", "phone"),
+        ("call +1 2O2 55O 1234 now", "+1 2O2 55O 1234", "phone"),
+        ("call +l 2O2 55O l23O now", "+l 2O2 55O l23O", "phone"),
+        ("card 4041 eight nine four nine 7460 8795 now", "4041 eight nine four nine 7460 8795", "card"),
+        ("write jane at acme dot ai now", "jane at acme dot ai", "email"),
+        ("write jane at mail.acme dot technology, now", "jane at mail.acme dot technology", "email"),
+    ],
+)
+def test_partly_disguised_numbers_and_any_last_label(text, shown, kind):
+    base, added = pii.find_spans(text)
+    assert base == [] and {k for _, _, k in added} == {kind}
+    assert shown in {text[a:b] for a, b, _ in added}
+    assert pii.redact(text, added) == text.replace(shown, f"<{kind.upper()}>")
+
+
+@pytest.mark.parametrize("text", ["was at one point in time", "one. two. three. four apples", "5 o 6 o 7", "I am 5. I am 6"])
+def test_numbers_in_ordinary_text_stay(text):
+    assert pii.find_spans(text) == ([], [])
+
+
+def test_a_pronoun_after_a_number_stays():
+    text = "call +1 555 123 4567. I wait"
+    base, added = pii.find_spans(text)
+    assert pii.redact(text, [*base, *added]) == "call <PHONE>. I wait"

@@ -4,11 +4,12 @@ Four kinds are found in the text as it stands (``plain_spans``). Then a chain of
 rewrites the text, each keeping for every character the source span it came from:
 
 * characters that look like ASCII ones become those; invisible characters go,
-* letters that stand for digits inside numbers become digits,
-* spelled digits ("four oh double-one", in four languages) become digits, "plus" a plus sign,
-* "(at)", "[dot]" and "name at host dot com" become "@" and ".".
+* letters that stand for digits inside or next to numbers become digits,
+* "(at)" and "[dot]" become "@" and ".",
+* spelled digits ("four oh double-one", in four languages) become digits, "plus" a plus sign, "dot" between numbers a dot,
+* "name at host dot com" becomes "name@host.com".
 
-The same detectors run on the rewritten text, and what they find goes back to source characters.
+Long runs of spelled digits are read twice, once as they are separated and once without what separates them. The same detectors run on the rewritten text, and what they find goes back to source characters.
 A span found so is added if some of its characters were rewritten and it is no plain span. It may contain or overlap plain
 ones, which stay.
 
@@ -19,7 +20,7 @@ looked at on its own, so there is no shuffle, and repeated rows give repeated re
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -133,21 +134,33 @@ SPELLED = re.compile(rf"(?<!\w)(?:plus[ ,]+)?(?:(?:double|triple)[ -])?(?:{ANY_D
 SPELLED_SOME = {word.encode() for word in DIGIT_WORDS}
 SPELLED_BYTES = bytes(c if c >= 128 else ord(chr(c).lower()) if chr(c).isalnum() or c == 0x5F else 0x20 for c in range(256))
 SPELLED_PART = re.compile(rf"plus|double|triple|{ANY_DIGIT}|[0-9]", re.I)
-AS_DIGITS = re.compile(r"(?<![A-Za-z0-9])(?=[0-9OolI]*[0-9][0-9OolI]*[0-9])[0-9]*[OolI][0-9OolI]+(?![A-Za-z])")
-AS_DIGITS_HINT = re.compile(r"[0-9][OolI]|[OolI][0-9]")
+# Groups of digits and letters like them. A group without a digit stands between others, or is tied to one by "." or "-".
+LOOSE = re.compile(r"(?<![A-Za-z0-9])[0-9OolI]++(?![A-Za-z])(?:[ .()-]{1,3}[0-9OolI]++(?![A-Za-z]))*+")
+LOOSE_PART = re.compile(r"([0-9OolI]+)")
+LOOSE_HINT = re.compile(r"[0-9][ .()-]{0,3}[OolI]++(?![A-Za-z])|[OolI][ .()-]{0,3}[0-9]|\+[OolI]")
+# Words of several languages that consist of such letters.
+LOOSE_WORDS = {"il", "io", "ill", "lo", "lol", "ol", "oo"}
 LETTER_DIGITS = str.maketrans("OolI", "0011")
 
 AT_WORDS = "at|arroba|arobase|ät"
 DOT_WORDS = "dot|punto|point|punkt"
 BRACKET = re.compile(r"[\[({<]")
 BRACKETED = re.compile(rf"[ ]?[\[({{<][ ]?(?:(?P<at>{AT_WORDS}|@)|(?:{DOT_WORDS}|\.))[ ]?[\])}}>][ ]?", re.I)
-# The last labels that a spoken address may end in.
-SPOKEN_ENDS = "com|org|net|edu|gov|info|io|co|de|fr|es|uk|eu|example|test"
+# Any letters may be the last label. Words that are no host or, being no top-level domain, no last label.
+NO_HOST = "the|a|an|this|that|these|those|each|every|any|some|one|my|your|his|her|its|our|their|which|what"
+NO_END = "of|and|or|the|for|with|from|where|when|that|which|if|but|was|were|are|has|had|he|she|they|we|you|then|than|because|on|an"
 SPOKEN = re.compile(
     rf"(?<![\w.])[A-Za-z0-9][A-Za-z0-9_%+-]*(?:(?: (?:{DOT_WORDS}) |\.)[A-Za-z0-9_%+-]+)*(?P<at> (?:{AT_WORDS}) )"
-    rf"[A-Za-z0-9-]+(?:(?: (?:{DOT_WORDS}) |\.)[A-Za-z0-9-]+)* (?:{DOT_WORDS}) (?:{SPOKEN_ENDS})(?!\w)",
+    rf"(?!(?:{NO_HOST}) )[A-Za-z0-9-]+(?:(?: (?:{DOT_WORDS}) |\.)[A-Za-z0-9-]+)* (?:{DOT_WORDS}) (?!(?:{NO_END})(?!\w))[A-Za-z]{{2,}}(?!\w)",
     re.I,
 )
+# Number parts, spelled or not, and what separates them. A spoken dot, or a literal one between spaces, is a dot.
+NUMBER = rf"(?:(?:double|triple)[ -])?(?:{ANY_DIGIT}|[0-9]++)(?!\w)"
+BETWEEN = rf"(?: (?:{DOT_WORDS}) |[ ,.()-]{{1,4}})"
+CHAIN = re.compile(rf"(?<!\w)(?:plus[ ,]+|\+ ?)?\(?{NUMBER}(?:{BETWEEN}{NUMBER})+", re.I)
+CHAIN_PART = re.compile(rf"(?P<plus>plus[ ,]+)|(?P<times>double|triple)[ -]|(?P<word>{ANY_DIGIT})|(?P<digits>[0-9]+)", re.I)
+NUMBER_DOT = re.compile(rf"[0-9] (?:{DOT_WORDS}) [0-9]", re.I)
+FEWEST_DIGITS = 4
 SPOKEN_DOT = re.compile(rf" (?:{DOT_WORDS}) ", re.I)
 SPOKEN_HINT = re.compile(rf" (?:{AT_WORDS}) [^ ]+ (?:{DOT_WORDS}) ", re.I)
 
@@ -156,8 +169,8 @@ class Mapped(NamedTuple):
     """Text with the source span of every character."""
 
     text: str
-    starts: list[int]
-    ends: list[int]
+    starts: Sequence[int]
+    ends: Sequence[int]
 
     def rewrite(self, edits: Iterable[tuple[int, int, str]]) -> Mapped:
         """Replace spans, in order, each by one character or none. A character stands for its whole span."""
@@ -172,11 +185,11 @@ class Mapped(NamedTuple):
             at = b
         if not at:
             return self
-        return Mapped("".join([*text, self.text[at:]]), starts + self.starts[at:], ends + self.ends[at:])
+        return Mapped("".join([*text, self.text[at:]]), [*starts, *self.starts[at:]], [*ends, *self.ends[at:]])
 
 
 def number_edits(text: str) -> Iterable[tuple[int, int, str]]:
-    """One edit for each digit of a spelled number; what stands between its words goes."""
+    """One edit for each digit of a long spelled number; what stands between its words goes."""
     for run in SPELLED.finditer(text):
         at, times = run.start(), 1
         for part in SPELLED_PART.finditer(text, run.start(), run.end()):
@@ -195,6 +208,57 @@ def number_edits(text: str) -> Iterable[tuple[int, int, str]]:
             at, times = part.end(), 1
 
 
+def chain_edits(text: str) -> Iterable[tuple[int, int, str]]:
+    """Spelled digits and spoken dots of every chain of number parts; literal dots, hyphens and brackets stay."""
+    for run in CHAIN.finditer(text):
+        edits, digits, times, start, before = [], 0, 1, None, None
+        for part in CHAIN_PART.finditer(text, run.start(), run.end()):
+            if part["plus"]:
+                edits.append((*part.span(), "+"))
+                continue
+            at = start if start is not None else part.start()
+            if before:
+                # What separates this part from the one before it.
+                end, single = before
+                between = text[end:at]
+                alone = part["digits"] is None or len(part["digits"]) == 1
+                spelled = part["digits"] is None or text[end - 1] not in "0123456789"
+                if between == " . " or SPOKEN_DOT.fullmatch(between):
+                    edits.append((end, at, "."))
+                elif not between.strip(" ,") and single and alone and spelled:
+                    edits.append((end, at, ""))
+                elif "," in between and spelled:
+                    edits.append((end, at, " "))
+            before = None
+            if part["times"]:
+                times, start = REPEATS[part["times"].lower()], part.start()
+                continue
+            digit = part["digits"] or DIGIT_WORDS[part["word"].lower()]
+            if part["word"] or times > 1:
+                # Of a repeated digit, each copy but the last stands for a character of what comes before it.
+                edits += [(at + k, at + k + 1, digit[0]) for k in range(times - 1)]
+                edits.append((at + times - 1, part.start() + 1 if part["digits"] else part.end(), digit[0]))
+            digits += times - 1 + len(digit)
+            before, times, start = (part.end(), len(digit) == 1), 1, None
+        if digits >= FEWEST_DIGITS:
+            yield from edits
+
+
+def as_digits(run: re.Match) -> str:
+    """The groups of a run with letters read as digits where they belong to a number."""
+    if not DIGIT.search(run[0]) or run[0].isdigit():
+        return run[0]
+    cut = LOOSE_PART.split(run[0])
+    called = run.string[max(0, run.start() - 1) : run.start()] == "+"
+    for i in range(1, len(cut), 2):
+        left, right = i > 1 or called, i < len(cut) - 2
+        tied = i > 1 and cut[i - 1] in (".", "-") or right and cut[i + 1] in (".", "-")
+        longer = len(cut[i]) > 1 and cut[i].lower() not in LOOSE_WORDS
+        if DIGIT.search(cut[i]) or left and right or tied or longer:
+            cut[i] = cut[i].translate(LETTER_DIGITS)
+    return "".join(cut)
+
+
 def spoken_edits(text: str) -> Iterable[tuple[int, int, str]]:
     for m in SPOKEN.finditer(text):
         edits = [(*m.span("at"), "@")]
@@ -207,43 +271,47 @@ def has_spelled_digit(text: str) -> bool:
     return not SPELLED_SOME.isdisjoint(text.encode("utf-8", "replace").translate(SPELLED_BYTES).split())
 
 
-def deobfuscate(text: str) -> Mapped | None:
-    """The rewritten text, or nothing if no transducer has anything to do."""
+def deobfuscate(text: str) -> list[Mapped]:
+    """The rewritten texts, none if no transducer has anything to do."""
     plain = text.isascii()
     shown = text if plain or not LOOKING.search(text) else text.translate(LOOKS)
     hidden = not plain and INVISIBLE.search(shown)
     rules: list[Callable] = []
     if hidden:
         rules.append(lambda t: ((*m.span(), "") for m in INVISIBLE.finditer(t)))
-    if hidden or has_spelled_digit(shown):
-        rules.append(number_edits)
-    if hidden or BRACKET.search(shown) and BRACKETED.search(shown):
+    bracketed = BRACKET.search(shown) and BRACKETED.search(shown)
+    if hidden or bracketed:
         rules.append(lambda t: ((*m.span(), "@" if m["at"] else ".") for m in BRACKETED.finditer(t)))
-    if hidden or SPOKEN_HINT.search(shown):
-        rules.append(spoken_edits)
-    loose = AS_DIGITS_HINT.search(shown)
-    if not rules and not loose and shown is text:
-        return None
-    if loose:
-        shown = AS_DIGITS.sub(lambda m: m[0].translate(LETTER_DIGITS), shown)
-    mapped = Mapped(shown, list(range(len(text))), list(range(1, len(text) + 1)))
+    numbers = hidden or has_spelled_digit(shown) or NUMBER_DOT.search(shown)
+    spoken = hidden or SPOKEN_HINT.search(shown)
+    loose = hidden or LOOSE_HINT.search(shown)
+    if not rules and not numbers and not spoken and not loose and shown is text:
+        return []
+    mapped = Mapped(shown, range(len(text)), range(1, len(text) + 1))
     for rule in rules:
         mapped = mapped.rewrite(rule(mapped.text))
-    return mapped if mapped.text != text else None
+    if loose:
+        mapped = mapped._replace(text=LOOSE.sub(as_digits, mapped.text))
+    out = []
+    for rule in (chain_edits, number_edits) if numbers else (None,):
+        read = mapped.rewrite(rule(mapped.text)) if rule else mapped
+        if spoken:
+            read = read.rewrite(spoken_edits(read.text))
+        if read.text != text and all(read.text != r.text for r in out):
+            out.append(read)
+    return out
 
 
 def find_spans(text: str) -> tuple[list[Span], list[Span]]:
-    """Plain spans, and those that only the rewritten text shows."""
+    """Plain spans, and those that only the rewritten texts show."""
     base = plain_spans(text)
-    mapped = deobfuscate(text)
-    if mapped is None:
-        return base, []
     taken, added = set(base), []
-    for a, b, kind in plain_spans(mapped.text):
-        start, end = mapped.starts[a], mapped.ends[b - 1]
-        if text[start:end] != mapped.text[a:b] and (start, end, kind) not in taken:
-            added.append((start, end, kind))
-            taken.add((start, end, kind))
+    for mapped in deobfuscate(text):
+        for a, b, kind in plain_spans(mapped.text):
+            start, end = mapped.starts[a], mapped.ends[b - 1]
+            if text[start:end] != mapped.text[a:b] and (start, end, kind) not in taken:
+                added.append((start, end, kind))
+                taken.add((start, end, kind))
     return base, added
 
 
