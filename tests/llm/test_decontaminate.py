@@ -84,3 +84,27 @@ def test_empty_tables(spark):
     assert dc.leak_report(documents(spark, ["a b c"]), benchmark).count() == 0
     assert dc.without_leaks(documents(spark, ["a b c"]), benchmark).count() == 1
     assert dc.leak_report(documents(spark, []), spark.createDataFrame([(1, "a b")], "item_id bigint, text string")).count() == 0
+
+
+def whole(text, item):
+    """Similarity of all words of a text with an item."""
+    mine, theirs = (collections.Counter(grams(dc.split_words(t), 5)) for t in (item, text))
+    return sum((mine & theirs).values()) / max(1, sum((mine | theirs).values()))
+
+
+def test_documents_shorter_than_the_item_are_compared_whole():
+    items = [(i, " ".join(prose(i, n, 2000))) for i, n in enumerate([6, 25, 50, 50, 90])]
+    texts = []
+    for _, item in items:
+        words = item.split()
+        for cut in (1, 2, 5, 8, 9, 10, 12, 30):
+            texts += [" ".join(words[cut:]), " ".join(words[:-cut]), " ".join(words[: len(words) // 2] + words[len(words) // 2 + cut :])]
+    found = dc.ItemIndex(items).search_all(texts)
+    wanted = [{i: whole(t, item) for i, item in items if whole(t, item) >= 0.8} for t in texts]
+    assert sum(map(len, wanted)) > 20
+    for text, got, want in zip(texts, found, wanted, strict=True):
+        assert {h["item_id"]: round(h["similarity"], 9) for h in got} == {i: round(v, 9) for i, v in want.items()}
+        assert all((h["start_word"], h["n_words"]) == (0, len(text.split())) for h in got)
+    # 45 of 50 words in a row.
+    near = dc.ItemIndex([items[2]]).search_all([" ".join(items[2][1].split()[:45])])[0]
+    assert [round(h["similarity"], 4) for h in near] == [round(41 / 46, 4)]

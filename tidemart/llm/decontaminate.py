@@ -2,7 +2,8 @@
 
 Words are in lower case and cut at every ASCII character that is neither letter nor digit. An item of n words
 is compared with every window of n words of a document: by multisets of five-word shingles (of n words, for a
-shorter item), similarity being the sum of the smaller counts over the sum of the larger ones, 0.8 or more.
+shorter item), similarity being the sum of the smaller counts over the sum of the larger ones, 0.8 or more. A document
+shorter than the item, but long enough to reach that, is one window as a whole.
 
 1. Windows of which too few shingles are in the benchmark at all cannot reach the similarity: of m
    shingles, 2 s m / (1 + s) must be shared. They get no fingerprint; nothing is lost.
@@ -115,22 +116,24 @@ class ItemIndex:
         running, signs = {k: np.concatenate([[0], np.cumsum(h)]) for k, h in hit.items()}, {}
         for n, (m, _, _, items) in sorted(self.by_size.items()):
             k = min(SHINGLE, n)
-            if len(hashes) < n or running[k][-1] == 0:
+            # A shorter document is one window; of two sizes, the smaller one over the larger bounds the similarity.
+            size = min(m, len(shingle[k]))
+            if size == 0 or size < self.similarity * m - 1e-9 or running[k][-1] == 0:
                 continue
-            shared = running[k][m:] - running[k][:-m]
-            starts = np.flatnonzero(shared * (1 + self.similarity) >= 2 * self.similarity * m - 1e-9)
+            shared = running[k][size:] - running[k][:-size]
+            starts = np.flatnonzero(shared * (1 + self.similarity) >= self.similarity * (m + size) - 1e-9)
             if not len(starts):
                 continue
             if k not in signs:
                 signs[k] = running_signs(shingle[k])
-            for windows, found, distances in self.candidates(fingerprints(signs[k], starts, m), n):
+            for windows, found, distances in self.candidates(fingerprints(signs[k], starts, size), n):
                 for start, j, distance in zip(starts[windows].tolist(), found.tolist(), distances.tolist(), strict=True):
                     item_id, own = items[j]
-                    theirs = Counter(shingle[k][start : start + m].tolist())
+                    theirs = Counter(shingle[k][start : start + size].tolist())
                     both = sum((own & theirs).values())
-                    value = both / (2 * m - both)
+                    value = both / (m + size - both)
                     if value >= self.similarity - 1e-12 and (item_id not in best or (value, -start) > best[item_id][:2]):
-                        best[item_id] = (value, -start, distance, n)
+                        best[item_id] = (value, -start, distance, min(n, len(hashes)))
         return [
             {"item_id": i, "start_word": -b[1], "n_words": b[3], "distance": b[2], "similarity": b[0]} for i, b in sorted(best.items())
         ]
