@@ -64,3 +64,9 @@ def test_label_model_finds_accuracies_and_copies():
         assert abs(model.chances[j, 2, 1] - right) < 0.08
     assert model.correlations[3, 4] > 0.9 and model.weights[3] < 0.5 < model.weights[0]
     assert np.mean((model.posterior(votes) > 0.5) == truth) > 0.93
+
+
+def test_shouting_counts_the_whole_text():
+    calm, loud = "a quiet word " * 10_000, "A LOUD WORD " * 90_000
+    assert tx.patterns(calm + loud, frozenset())[tx.PATTERNS.index("shouting")] == 1
+    assert tx.patterns(loud[:110_000] + calm * 9, frozenset())[tx.PATTERNS.index("shouting")] == 0

@@ -86,11 +86,11 @@ def patterns(text: str, seeds: frozenset[bytes]) -> list[int]:
     plain = raw.translate(FOLD).split()
     leet = raw.translate(LEET).translate(FOLD).split()
     single = b"".join(w if len(w) == 1 else b" " for w in plain)
-    letters = sum(map(str.isalpha, text[:100_000])) or 1
+    letters = sum(map(str.isalpha, text)) or 1
     return [
         int(not seeds.isdisjoint(leet) and seeds.isdisjoint(plain)),
         int(any(s in single for s in seeds)),
-        int(sum(map(str.isupper, text[:100_000])) > 0.6 * letters),
+        int(sum(map(str.isupper, text)) > 0.6 * letters),
         int(text.count("!") * 50 > len(text)),
     ]
 
@@ -224,6 +224,11 @@ def likelihood_ratio(k: np.ndarray, n: np.ndarray, base: float) -> np.ndarray:
 
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS) -> Classifier:
+    """The classifier learned from the labelled documents.
+
+    It is the seed lexicon, without a label model, if labels of a class are missing, if no word goes with toxic labels
+    firmly enough to be mined, or if no feature goes with the posterior labels firmly enough to be kept.
+    """
     rows = labelled(docs, labels, most).persist()
     try:
         mined = mined_words(rows)
