@@ -90,3 +90,10 @@ def test_rows_without_id_repeats_and_empty_tables(spark):
     rows = lm.score_report(spark.createDataFrame([(None, "a b"), (1, "a b"), (1, "a b"), (2, None)], schema)).collect()
     assert len(rows) == 4 and len({r.score for r in rows if r.n_tokens == 3}) == 1
     assert lm.score_report(documents(spark, [])).count() == 0
+
+
+def test_the_query_scores_by_two_words_of_context(spark):
+    texts = [" ".join(prose(i // 2, 60, 30)) for i in range(30)]
+    rows = {r.doc_id: r.score for r in lm.score_report(documents(spark, texts)).collect()}
+    two, three = ([b[-1] for b in brute(texts, order)] for order in (2, 3))
+    assert sum(abs(rows[i] - s) for i, s in enumerate(three)) < 0.1 * sum(abs(a - b) for a, b in zip(two, three, strict=True))

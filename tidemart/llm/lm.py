@@ -35,7 +35,7 @@ from tidemart.llm.chunks import (
 from tidemart.llm.common import LARGE_ROWS, stored
 from tidemart.llm.trie import PROBABILITY, WORD_BITS, Trie
 
-ORDER = 2
+ORDER = 3
 FOLDS, HELD = 7, 2
 END = b"\n"  # no word holds a line break
 
