@@ -15,9 +15,13 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+def hashable(value):
+    return tuple(map(hashable, value)) if isinstance(value, list) else value
+
+
 def rows_of(columns: list[str], rows: list[tuple]) -> tuple[list[str], Counter]:
     order = sorted(range(len(columns)), key=lambda i: columns[i])
-    return [columns[i] for i in order], Counter(tuple(row[i] for i in order) for row in rows)
+    return [columns[i] for i in order], Counter(tuple(hashable(row[i]) for i in order) for row in rows)
 
 
 def spark_rows(df: DataFrame) -> tuple[list[str], Counter]:
