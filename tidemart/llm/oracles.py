@@ -76,3 +76,47 @@ SELECT s.doc_id, CAST(len(s.words) AS BIGINT) AS n_words, CAST(len(s.words) - co
   sha256(coalesce(k.kept, '')) AS kept_sha256
 FROM split s LEFT JOIN kept k USING (doc_id)
 """
+
+OP13 = f"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+    list_filter(string_split_regex(coalesce(text, ''), '{WHITE}'), lambda x: x <> '') AS words
+  FROM documents
+),
+flags AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+marked AS (
+  SELECT s.part, coalesce(f.good, 0) AS good, coalesce(f.toxic, 0) AS toxic,
+    CASE WHEN len(words) < 100 THEN 1 ELSE 0 END
+    + CASE WHEN 100 * len(list_distinct(words)) < 80 * len(words) THEN 2 ELSE 0 END
+    + CASE WHEN 100 * (length(t) - length(translate(t, '{UPPER}', ''))) > 10 * length(t) THEN 4 ELSE 0 END
+    + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+    + CASE WHEN s.doc_id > min(s.doc_id) OVER (PARTITION BY t) THEN 16 ELSE 0 END AS fails
+  FROM split s LEFT JOIN flags f USING (doc_id)
+),
+patterns AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM marked GROUP BY part, fails),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS letter, unnest([1, 2, 4, 8, 16]) AS bit),
+orders AS (
+  SELECT '' AS filter_order, [] :: INT[] AS bits
+  UNION ALL
+  SELECT filter_order || letter, list_append(bits, bit) FROM orders JOIN letters ON NOT contains(filter_order, letter)
+),
+steps AS (
+  SELECT filter_order, step, bits[step] AS bit, coalesce(list_sum(bits[1 : step - 1]), 0) AS gone
+  FROM (SELECT filter_order, bits, unnest(range(1, 6)) AS step FROM orders WHERE length(filter_order) = 5)
+),
+counted AS (
+  SELECT part, filter_order, step, bit,
+    sum(CASE WHEN fails & (gone | bit) = 0 THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN fails & gone = 0 AND fails & bit > 0 THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN fails & gone > 0 AND fails & bit > 0 THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN fails = bit THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN fails & gone = 0 AND fails & bit > 0 THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN fails & gone = 0 AND fails & bit > 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM (SELECT part, fails, n, good, toxic, filter_order, step, CAST(bit AS BIGINT) AS bit, CAST(gone AS BIGINT) AS gone FROM patterns CROSS JOIN steps)
+  GROUP BY part, filter_order, step, bit
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM counted
+"""
