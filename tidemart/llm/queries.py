@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemart.llm import decontaminate, filter_audit, hash_tree, lm, near_dups, neighbours, oracles, pieces, pii, string_kernel, substrings, toxicity, warc
+from tidemart.llm import decontaminate, filter_audit, hash_tree, lm, near_dups, neighbours, oracles, pieces, pii, string_kernel, substrings, token_alignment, toxicity, warc
 from tidemart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +56,10 @@ def op11_string_kernel_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return string_kernel.language_report(table(spark, sf_dir, "documents"))
 
 
+def op12_fragment_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.alignment_report(table(spark, sf_dir, "documents"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -73,6 +77,7 @@ def queries() -> dict[str, Query]:
         op9_elias_fano_scores,
         op10_difference_cover_repeats,
         op11_string_kernel_languages,
+        op12_fragment_alignment,
         op13_filter_audit,
     ]
     return {fn.__name__: fn for fn in found}
