@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 import pytest
 from tables import ODD_TEXTS, clashing, documents
@@ -58,6 +59,8 @@ def test_plain_spans_equal_the_patterns(alphabet):
         ("four zero four one eight nine four nine seven four six zero eight seven nine five", None, "card"),
         ("card 4O41894974608795 x", "4O41894974608795", "card"),
         ("j​oe@a​.com", None, "email"),
+        ("see ?to=joe.x%40host.com&b=1", "joe.x%40host.com", "email"),
+        ("see <b>joe&#64;host&#46;com</b>", "joe&#64;host&#46;com", "email"),
     ],
 )
 def test_disguises_map_back_to_source_characters(text, shown, kind):
@@ -68,7 +71,7 @@ def test_disguises_map_back_to_source_characters(text, shown, kind):
     assert pii.redact(text, added) == text.replace(shown or text, f"<{kind.upper()}>")
 
 
-@pytest.mark.parametrize("text", ["look at the dot of it", "one two three", "un deux", "see (at) noon", "a at b dot c"])
+@pytest.mark.parametrize("text", ["he arrived at noon dot dot dot", "look at the dot of it", "one two three", "un deux", "see (at) noon", "a at b dot c"])
 def test_ordinary_text_stays_clean(text):
     assert pii.find_spans(text) == ([], [])
 
@@ -145,3 +148,40 @@ def test_a_pronoun_after_a_number_stays():
     text = "call +1 555 123 4567. I wait"
     base, added = pii.find_spans(text)
     assert pii.redact(text, [*base, *added]) == "call <PHONE>. I wait"
+
+
+# One pattern for a whole spoken address; it takes quadratic time on long runs of names.
+WHOLE_SPOKEN = re.compile(
+    rf"(?<![\w.])[A-Za-z0-9][A-Za-z0-9_%+-]*(?:(?: (?:{pii.DOT_WORDS}) |\.)[A-Za-z0-9_%+-]+)*(?P<at> (?:{pii.AT_WORDS}) )"
+    rf"(?!(?:{pii.NO_HOST}) )[A-Za-z0-9-]+(?:(?: (?:{pii.DOT_WORDS}) |\.)[A-Za-z0-9-]+)* (?:{pii.DOT_WORDS}) "
+    rf"(?!(?:{pii.NO_END}|{pii.DOT_WORDS})(?!\w))[A-Za-z]{{2,}}(?!\w)",
+    re.I,
+)
+
+
+def whole_spoken_edits(text):
+    for m in WHOLE_SPOKEN.finditer(text):
+        edits = [(*m.span("at"), "@")]
+        edits += [(*dot.span(), ".") for part in ((m.start(), m.start("at")), (m.end("at"), m.end())) for dot in pii.SPOKEN_DOT.finditer(text, *part)]
+        yield from sorted(edits)
+
+
+def test_spoken_addresses_equal_one_pattern():
+    rng = random.Random(5)
+    tokens = [" at ", " At ", " dot ", " punto ", " ", ".", "-", "a", "bob", "dot", "x_y", "com", "the", "é", "%", "+", "at", ",", "of"]
+    seen = 0
+    for _ in range(60_000):
+        some = tokens if rng.random() < 0.5 else [" at ", " dot ", ".", "ab", "x-y", " "]
+        text = "".join(rng.choice(some) for _ in range(rng.randint(3, 16)))
+        wanted = list(whole_spoken_edits(text))
+        assert list(pii.spoken_edits(text)) == wanted, text
+        seen += bool(wanted)
+    assert seen > 150
+
+
+@pytest.mark.parametrize("unit", ["a-", "a dot ", "%E3%81", "a at b ", "a at b dot ", "one ", "1 dot ", "a.", "@a", "4 ", "%40"])
+def test_long_texts_take_linear_time(unit):
+    text = unit * (300_000 // len(unit)) + " bob at acme dot com"
+    started = time.process_time()
+    pii.find_spans(text)
+    assert time.process_time() - started < 4

@@ -5,7 +5,7 @@ rewrites the text, each keeping for every character the source span it came from
 
 * characters that look like ASCII ones become those; invisible characters go,
 * letters that stand for digits inside or next to numbers become digits,
-* "(at)" and "[dot]" become "@" and ".",
+* "(at)" and "[dot]" become "@" and ".", and so do "%40" and "&#64;" of links and pages,
 * spelled digits ("four oh double-one", in four languages) become digits, "plus" a plus sign, "dot" between numbers a dot,
 * "name at host dot com" becomes "name@host.com".
 
@@ -20,6 +20,7 @@ looked at on its own, so there is no shuffle, and repeated rows give repeated re
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Callable, Iterable, Sequence
 from typing import NamedTuple
 
@@ -144,16 +145,22 @@ LETTER_DIGITS = str.maketrans("OolI", "0011")
 
 AT_WORDS = "at|arroba|arobase|ät"
 DOT_WORDS = "dot|punto|point|punkt"
+# How addresses in links and pages write "@" and ".".
+ENCODED = re.compile("(?P<at>%40|&#64;|&#x40;|&commat;)|%2e|&#46;|&#x2e;|&period;", re.I)
+ENCODED_AT = re.compile("%40|&#64;|&#x40;|&commat;", re.I)
 BRACKET = re.compile(r"[\[({<]")
 BRACKETED = re.compile(rf"[ ]?[\[({{<][ ]?(?:(?P<at>{AT_WORDS}|@)|(?:{DOT_WORDS}|\.))[ ]?[\])}}>][ ]?", re.I)
 # Any letters may be the last label. Words that are no host or, being no top-level domain, no last label.
 NO_HOST = "the|a|an|this|that|these|those|each|every|any|some|one|my|your|his|her|its|our|their|which|what"
 NO_END = "of|and|or|the|for|with|from|where|when|that|which|if|but|was|were|are|has|had|he|she|they|we|you|then|than|because|on|an"
-SPOKEN = re.compile(
-    rf"(?<![\w.])[A-Za-z0-9][A-Za-z0-9_%+-]*(?:(?: (?:{DOT_WORDS}) |\.)[A-Za-z0-9_%+-]+)*(?P<at> (?:{AT_WORDS}) )"
-    rf"(?!(?:{NO_HOST}) )[A-Za-z0-9-]+(?:(?: (?:{DOT_WORDS}) |\.)[A-Za-z0-9-]+)* (?:{DOT_WORDS}) (?!(?:{NO_END})(?!\w))[A-Za-z]{{2,}}(?!\w)",
+SPOKEN_HOST = re.compile(
+    rf"(?P<at> (?:{AT_WORDS}) )(?!(?:{NO_HOST}) )[A-Za-z0-9-]++(?:(?: (?:{DOT_WORDS}) |\.)[A-Za-z0-9-]++)* (?:{DOT_WORDS}) "
+    rf"(?!(?:{NO_END}|{DOT_WORDS})(?!\w))[A-Za-z]{{2,}}+(?!\w)",
     re.I,
 )
+LOCAL_PART = re.compile(r"[A-Za-z0-9_%+-]+")
+LOCAL_START = re.compile(r"(?<![\w.])[A-Za-z0-9]")
+LONGEST_DOT = max(map(len, DOT_WORDS.split("|"))) + 2
 # Number parts, spelled or not, and what separates them. A spoken dot, or a literal one between spaces, is a dot.
 NUMBER = rf"(?:(?:double|triple)[ -])?(?:{ANY_DIGIT}|[0-9]++)(?!\w)"
 BETWEEN = rf"(?: (?:{DOT_WORDS}) |[ ,.()-]{{1,4}})"
@@ -259,12 +266,40 @@ def as_digits(run: re.Match) -> str:
     return "".join(cut)
 
 
+def spoken_local(text: str, parts: list[tuple[int, int]], free: int, at: int) -> int | None:
+    """Where the name before a spoken "at" begins, no earlier than ``free``: parts tied by dots, spoken or not.
+
+    ``parts`` are all runs of name characters in the text.
+    """
+    i = bisect_left(parts, at, key=lambda part: part[1])
+    if i == len(parts) or parts[i][1] != at:
+        return None
+    named = []
+    while parts[i][1] > free:
+        named.append((max(free, parts[i][0]), parts[i][1]))
+        if i > 0 and text[parts[i - 1][1] : parts[i][0]] == ".":
+            i -= 1
+        elif i > 1 and parts[i][0] - parts[i - 2][1] <= LONGEST_DOT and SPOKEN_DOT.fullmatch(text, parts[i - 2][1], parts[i][0]):
+            i -= 2
+        else:
+            break
+    return next((m.start() for part in reversed(named) if (m := LOCAL_START.search(text, *part))), None)
+
+
 def spoken_edits(text: str) -> Iterable[tuple[int, int, str]]:
-    for m in SPOKEN.finditer(text):
-        edits = [(*m.span("at"), "@")]
-        edits += [(*dot.span(), ".") for part in ((m.start(), m.start("at")), (m.end("at"), m.end()))
-                  for dot in SPOKEN_DOT.finditer(text, *part)]
-        yield from sorted(edits)
+    """Linear in the text: every host after an "at" is looked for first, then the name between it and what came before."""
+    free, m = 0, SPOKEN_HOST.search(text)
+    parts = [part.span() for part in LOCAL_PART.finditer(text)] if m else []
+    while m:
+        start = spoken_local(text, parts, free, m.start())
+        if start is None:
+            m = SPOKEN_HOST.search(text, m.end("at") - 1)
+            continue
+        free = m.end()
+        yield from ((*dot.span(), ".") for dot in SPOKEN_DOT.finditer(text, start, m.start()))
+        yield *m.span("at"), "@"
+        yield from ((*dot.span(), ".") for dot in SPOKEN_DOT.finditer(text, m.end("at"), m.end()))
+        m = SPOKEN_HOST.search(text, free)
 
 
 def has_spelled_digit(text: str) -> bool:
@@ -279,6 +314,8 @@ def deobfuscate(text: str) -> list[Mapped]:
     rules: list[Callable] = []
     if hidden:
         rules.append(lambda t: ((*m.span(), "") for m in INVISIBLE.finditer(t)))
+    if ENCODED_AT.search(shown):
+        rules.append(lambda t: ((*m.span(), "@" if m["at"] else ".") for m in ENCODED.finditer(t)))
     bracketed = BRACKET.search(shown) and BRACKETED.search(shown)
     if hidden or bracketed:
         rules.append(lambda t: ((*m.span(), "@" if m["at"] else ".") for m in BRACKETED.finditer(t)))
