@@ -33,7 +33,7 @@ KINDS = ("email", "ip", "card", "phone")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 DIGIT = re.compile(r"[0-9]")
-DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)+")
+DOTTED = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++)+")
 GROUPED = re.compile(r"[0-9](?:[ -]?[0-9])+")
 CALLED = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 NOT_DIGIT = re.compile(r"[^0-9]")
