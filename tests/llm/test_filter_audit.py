@@ -1,6 +1,7 @@
 from collections import Counter, defaultdict
 from itertools import permutations
 
+from pyspark.sql import functions as F
 from tables import ODD_TEXTS, clashing, prose
 
 from tidemart.llm import filter_audit
@@ -79,12 +80,11 @@ def test_empty_tables(spark):
 
 
 def test_levels_join_without_shuffling_rows(spark):
-    rows = spark.range(1000).selectExpr("id as row", "'p' as part", "0 as good", "0 as toxic")
-    rows = filter_audit.bucketed(rows, "t_rows", 4)
-    failing = filter_audit.bucketed(spark.range(0, 1000, 3).selectExpr("id as row"), "t_failing", 4)
+    rows = filter_audit.bucketed(spark.range(1000).selectExpr("id as row", "0 as next"), "t_rows", 4).alias("b")
+    failing = filter_audit.bucketed(spark.range(0, 1000, 3).selectExpr("id as row", "id % 2 as filter"), "t_failing", 4, "filter").alias("f")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = rows.join(failing, "row", "left_anti")._jdf.queryExecution().executedPlan().toString()
+        plan = rows.join(failing, F.expr("b.row = f.row and b.next - f.filter = 0"), "left_anti")._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" in plan and "Exchange" not in plan

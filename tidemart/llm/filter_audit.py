@@ -1,9 +1,10 @@
 """What corpus filters take from each other, for every order of applying them.
 
-Every filter has a table of the rows that fail it, ids only. The survivors of a set of filters are the rows left
-by anti-joins with those tables, and what the next filter removes is the semi-join of the survivors with its table. All
-orders with the same filters in front share the same survivors, so n filters take 2 ** n sets, not n! orders. A
-level holds the survivors of all sets of k filters; each set is made once, from the set without its last filter.
+Every filter has a table of the rows that fail it, ids only; the tables are the partitions of one stored relation
+(row, filter). The survivors of a set of filters are the rows left by anti-joins with those tables, and what the next filter
+removes is the semi-join of the survivors with its table. All orders with the same filters in front share the same
+survivors, so n filters take 2 ** n sets, not n! orders. A level holds the survivors of all sets of k filters, and
+one semi-join and one anti-join take all of them on: each set is made once, from the set without its last filter.
 
 The id tables and levels are stored in buckets of the row number: the joins of a level need no shuffle. Only
 counts by (part, set, filter) leave them, and the orders are spelled out over those.
@@ -31,17 +32,18 @@ DISTINCT_PERCENT = 80
 CAPITAL_PERCENT = 10
 SYMBOLS = "[#$%&*|]"
 WHITE = r"[\x20\x09-\x0D]+"
+COPY = "E"
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 ROWS_A_BUCKET = 100_000
 MOST_BUCKETS = 20_000
 
 
-def bucketed(df: DataFrame, name: str, buckets: int) -> DataFrame:
-    """A stored table in buckets of ``row``, so that joins on it need no exchange."""
+def bucketed(df: DataFrame, name: str, buckets: int, *by: str) -> DataFrame:
+    """A stored table, partitioned ``by`` columns, in buckets of ``row``, so that joins on it need no exchange."""
     spark = df.sparkSession
     name = f"{name}_{uuid.uuid4().hex}"
-    writer = df.repartition(buckets, "row").write.bucketBy(buckets, "row").sortBy("row")
+    writer = df.repartition(buckets, "row").write.partitionBy(*by).bucketBy(buckets, "row").sortBy("row")
     writer.option("path", f"{shared_dir(spark)}/llm/{name}").saveAsTable(name, format="parquet")
     return spark.table(name)
 
@@ -68,8 +70,9 @@ def labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return known.union(unknown).fillna(0, ["good", "toxic"])
 
 
-def relations(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict[str, DataFrame], int]:
-    """Rows (row, part, good, toxic), the id table (row) of each filter, all stored, and their number of buckets.
+def relations(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame, list[str], int]:
+    """Rows (row, part, good, toxic), the id tables (row, filter) with the filters' numbers, their names, and the number of
+    buckets of both.
 
     The whole texts are read once. A copy is a row that is not the smallest of its text: the smallest ids are taken by
     digest on the map side first, and joined back on digest and id, so a text that is everywhere is no hot key.
@@ -81,63 +84,53 @@ def relations(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict[str,
         "doc_id",
         F.coalesce("lang", F.lit("")).alias("part"),
         F.unhex(F.sha2(text, 256)).alias("digest"),
-        *[check.alias(name) for name, check in checks.items()],
+        F.array_compact(F.array(*[F.when(check, i) for i, check in enumerate(checks.values())])).alias("fails"),
     )
     measured = stored(measured, "audited")
     buckets = min(MOST_BUCKETS, max(1, -(-measured.count() // ROWS_A_BUCKET)))
     smallest = measured.groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
     copies = measured.where("doc_id is not null").join(smallest, ["digest", "doc_id"], "left_anti")
-    failing = {name: measured.where(name) for name in checks} | {"E": copies}
-    tables = {name: bucketed(rows.select("row"), f"failing_{name}", buckets) for name, rows in failing.items()}
-    rows = bucketed(labelled(measured, labels), "rows", buckets)
-    return rows, tables, buckets
+    ids = measured.select("row", F.explode("fails").alias("filter")).union(copies.select("row", F.lit(len(checks))))
+    failing = bucketed(ids, "failing", buckets, "filter")
+    return bucketed(labelled(measured, labels), "rows", buckets), failing, [*checks, COPY], buckets
 
 
-def removals(rows: DataFrame, failing: dict[str, DataFrame], buckets: int) -> tuple[DataFrame, DataFrame]:
-    """What filter ``filter`` removes after the set ``gone``: (part, gone, filter, removed, good_lost, toxic_lost); and the
-    number of survivors (part, gone, n). ``gone`` has a bit for each filter, in the order of ``failing``."""
-    names = list(failing)
+def removals(rows: DataFrame, failing: DataFrame, filters: int, buckets: int) -> tuple[DataFrame, DataFrame]:
+    """What each filter removes after the set ``gone``: (part, gone, filter, removed, good_lost, toxic_lost); and the number
+    of survivors (part, gone, n). ``gone`` has a bit for each filter."""
     level = rows.withColumn("gone", F.lit(0))
     hits, sizes = [], []
-    for k in range(len(names)):
+    for k in range(filters):
         sizes.append(level.groupBy("part", "gone").agg(F.count("*").alias("n")))
-        for i, name in enumerate(names):
-            open_to = level.where(F.col("gone").bitwiseAND(1 << i) == 0)
-            hit = open_to.join(failing[name], "row", "left_semi").groupBy("part", "gone")
-            counts = hit.agg(F.count("*").alias("removed"), F.sum("good").alias("good_lost"), F.sum("toxic").alias("toxic_lost"))
-            hits.append(counts.withColumn("filter", F.lit(name)))
-        if k < len(names) - 1:
-            parts = [
-                level.where(F.col("gone") < (1 << i)).join(failing[name], "row", "left_anti").withColumn("gone", F.col("gone").bitwiseOR(1 << i))
-                for i, name in enumerate(names)
-            ]
-            level = bucketed(reduce(DataFrame.unionByName, parts), f"survivors_{k + 1}", buckets)
+        ahead = F.expr(f"filter(sequence(0, {filters - 1}), i -> gone & shiftleft(1, i) = 0)")
+        before = level.withColumn("next", F.explode(ahead)).alias("b")
+        # Written so, the filter is no join key: the buckets are by row alone.
+        fails = F.expr("b.row = f.row and b.next - f.filter = 0")
+        hit = before.join(failing.alias("f"), fails, "left_semi").groupBy("part", "gone", F.col("next").alias("filter"))
+        hits.append(hit.agg(F.count("*").alias("removed"), F.sum("good").alias("good_lost"), F.sum("toxic").alias("toxic_lost")))
+        if k < filters - 1:
+            left = before.where("gone < shiftleft(1, next)").join(failing.alias("f"), fails, "left_anti")
+            left = left.select("row", "part", "good", "toxic", F.expr("gone | shiftleft(1, next)").alias("gone"))
+            level = bucketed(left, f"survivors_{k + 1}", buckets)
     return stored(reduce(DataFrame.unionByName, hits), "removals"), stored(reduce(DataFrame.unionByName, sizes), "sizes")
 
 
-def audit(rows: DataFrame, failing: dict[str, DataFrame], buckets: int) -> DataFrame:
-    """Every part, order of the filters, and step; rows (row, part, good, toxic), id tables (row) by filter name,
-    best all in ``buckets`` of the row."""
-    names = list(failing)
-    removed, sizes = removals(rows, failing, buckets)
-    bit = {name: 1 << i for i, name in enumerate(names)}
-    whole = sum(bit.values())
-    steps = [
-        F.struct(
-            F.lit("".join(order)).alias("filter_order"),
-            F.lit(k + 1).alias("step"),
-            F.lit(sum(bit[x] for x in order[:k])).alias("gone"),
-            F.lit(name).alias("filter"),
-        )
-        for order in permutations(names)
-        for k, name in enumerate(order)
-    ]
-    parts = sizes.where("gone = 0").groupBy("part").agg(F.sum("n").alias("rows"))
-    spelled = parts.select("part", F.explode(F.array(*steps)).alias("s")).select("part", "s.*")
-    last = reduce(lambda so_far, name: F.when(F.col("filter") == name, whole - bit[name]).otherwise(so_far), names, F.lit(-1))
+def audit(rows: DataFrame, failing: DataFrame, names: list[str], buckets: int) -> DataFrame:
+    """Every part, order of the filters (single letters, ``names``), and step; rows (row, part, good, toxic), id tables (row, filter)
+    with the filters' numbers, both best in ``buckets`` of the row."""
+    removed, sizes = removals(rows, failing, len(names), buckets)
+    whole = (1 << len(names)) - 1
+    orders = F.split(F.lit(" ".join("".join(order) for order in permutations(names))), " ")
+    parts = sizes.where("gone = 0").groupBy("part").agg(F.sum("n").alias("rows")).select("part", F.explode(orders).alias("filter_order"))
+    number = f"locate(substr(filter_order, {{}}, 1), '{''.join(names)}') - 1"
+    spelled = parts.withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(len(names))))).select(
+        "part", "filter_order", "step",
+        F.expr(number.format("step")).alias("filter"),
+        F.expr(f"aggregate(sequence(0, step - 1), 0, (gone, i) -> if(i = 0, 0, gone | shiftleft(1, {number.format('i')})))").alias("gone"),
+    )
     alone = removed.groupBy("part", "filter").agg(
         F.sum(F.when(F.col("gone") == 0, F.col("removed"))).alias("fails"),
-        F.sum(F.when(F.col("gone") == last, F.col("removed"))).alias("unique_fails"),
+        F.sum(F.when(F.expr(f"gone = {whole} - shiftleft(1, filter)"), F.col("removed"))).alias("unique_fails"),
     )
     seen = sizes.groupBy("part", "gone").agg(F.sum("n").alias("n"))
     counts = ["n", "removed", "good_lost", "toxic_lost", "fails", "unique_fails"]
