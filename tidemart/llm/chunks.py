@@ -75,8 +75,15 @@ class Chunk:
         return self.name, self.ids, pack_numbers(self.lengths), vocabulary, pack_numbers(self.tokens)
 
 
-def chunked(docs: DataFrame, lower: bool = False, key: str = "doc_id", text: str = "text", size: int = CHUNK_BYTES) -> DataFrame:
-    """Chunks (chunk, ids, lengths, vocabulary, tokens) of the documents, stored. Null texts have no words.
+def in_files(chunks: DataFrame) -> DataFrame:
+    return stored(chunks, "chunks", **LARGE_ROWS)
+
+
+def chunked(
+    docs: DataFrame, lower: bool = False, key: str = "doc_id", text: str = "text", size: int = CHUNK_BYTES,
+    kept: Callable[[DataFrame], DataFrame] = in_files,
+) -> DataFrame:
+    """Chunks (chunk, ids, lengths, vocabulary, tokens) of the documents, stored by ``kept``. Null texts have no words.
 
     Words stand between ASCII white space; ``lower`` puts A-Z in lower case.
     """
@@ -110,7 +117,7 @@ def chunked(docs: DataFrame, lower: bool = False, key: str = "doc_id", text: str
         if ids:
             yield made()
 
-    return stored(docs.select(key, text).mapInArrow(cut, schema), "chunks", **LARGE_ROWS)
+    return kept(docs.select(key, text).mapInArrow(cut, schema))
 
 
 def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
