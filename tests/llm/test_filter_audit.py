@@ -81,7 +81,7 @@ def test_empty_tables(spark):
 
 def test_levels_join_without_shuffling_rows(spark):
     rows = filter_audit.bucketed(spark.range(1000).selectExpr("id as row", "0 as next"), "t_rows", 4).alias("b")
-    failing = filter_audit.bucketed(spark.range(0, 1000, 3).selectExpr("id as row", "id % 2 as filter"), "t_failing", 4, "filter").alias("f")
+    failing = filter_audit.bucketed(spark.range(0, 1000, 3).selectExpr("id as row", "id % 2 as filter"), "t_failing", 4).alias("f")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         plan = rows.join(failing, F.expr("b.row = f.row and b.next - f.filter = 0"), "left_anti")._jdf.queryExecution().executedPlan().toString()

@@ -1,6 +1,6 @@
 """What corpus filters take from each other, for every order of applying them.
 
-Every filter has a table of the rows that fail it, ids only; the tables are the partitions of one stored relation
+Every filter has a table of the rows that fail it, ids only; the tables are stored together as one relation
 (row, filter). The survivors of a set of filters are the rows left by anti-joins with those tables, and what the next filter
 removes is the semi-join of the survivors with its table. All orders with the same filters in front share the same
 survivors, so n filters take 2 ** n sets, not n! orders. A level holds the survivors of all sets of k filters, and
@@ -39,11 +39,11 @@ ROWS_A_BUCKET = 100_000
 MOST_BUCKETS = 20_000
 
 
-def bucketed(df: DataFrame, name: str, buckets: int, *by: str) -> DataFrame:
-    """A stored table, partitioned ``by`` columns, in buckets of ``row``, so that joins on it need no exchange."""
+def bucketed(df: DataFrame, name: str, buckets: int) -> DataFrame:
+    """A stored table in buckets of ``row``, so that joins on it need no exchange."""
     spark = df.sparkSession
     name = f"{name}_{uuid.uuid4().hex}"
-    writer = df.repartition(buckets, "row").write.partitionBy(*by).bucketBy(buckets, "row").sortBy("row")
+    writer = df.repartition(buckets, "row").write.bucketBy(buckets, "row").sortBy("row")
     writer.option("path", f"{shared_dir(spark)}/llm/{name}").saveAsTable(name, format="parquet")
     return spark.table(name)
 
@@ -87,11 +87,12 @@ def relations(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame,
         F.array_compact(F.array(*[F.when(check, i) for i, check in enumerate(checks.values())])).alias("fails"),
     )
     measured = stored(measured, "audited")
-    buckets = min(MOST_BUCKETS, max(1, -(-measured.count() // ROWS_A_BUCKET)))
+    least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = min(MOST_BUCKETS, max(least, -(-measured.count() // ROWS_A_BUCKET)))
     smallest = measured.groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
     copies = measured.where("doc_id is not null").join(smallest, ["digest", "doc_id"], "left_anti")
     ids = measured.select("row", F.explode("fails").alias("filter")).union(copies.select("row", F.lit(len(checks))))
-    failing = bucketed(ids, "failing", buckets, "filter")
+    failing = bucketed(ids, "failing", buckets)
     return bucketed(labelled(measured, labels), "rows", buckets), failing, [*checks, COPY], buckets
 
 
