@@ -12,10 +12,17 @@ from tidemart.sources.topics import parse_facts
 def test_every_job_has_an_entry():
     assert set(jobs.JOBS) == {
         "bronze", "change_rejects", "dimensions", "dimension_tables", "log_split", "log_rejects", "comment", "cart_add", "order_detail",
-        "order_cancel", "payment_success", "order_refund", "refund_payment", "fact_router",
+        "order_detail_updating", "order_cancel", "order_cancel_complete", "payment_success", "order_refund", "refund_payment", "fact_router",
     }
 
 
+def test_settings_that_do_not_go_together():
+    base = ["order_detail", "--source", "s", "--out", "o", "--checkpoint", "c"]
+    for more in (["--in-order"], ["--by-day"], ["--in-order", "--format", "bronze", "--read", "maxFilesPerTrigger=1"]):
+        with pytest.raises(SystemExit):
+            jobs.main([*base, *more])
+
+
 def test_unknown_job():
     with pytest.raises(SystemExit):
         jobs.parser().parse_args(["nothing", "--source", "x", "--checkpoint", "y"])
@@ -69,13 +76,16 @@ def test_chain(spark, tmp_path):
     ]))
 
     def run(job, source, *more, fmt="text"):
-        jobs.main([job, "--source", source, "--format", fmt, "--checkpoint", f"{base}/ck/{job}", "--once", *more])
+        name = f"{base}/ck/{job}{'-in-order' if '--in-order' in more else ''}"
+        jobs.main([job, "--source", source, "--format", fmt, "--checkpoint", name, "--once", *more])
 
     routes = ["--config", conf, "--config-format", "json", "--config-changes", changed]
     dims = ["--dim-schema", "dim_cli", "--dim-location", f"{base}/dim"]
     run("bronze", log, "--out", f"{base}/bronze")
     run("dimensions", dic_log, *routes, *dims)
     run("order_detail", f"{base}/bronze", "--out", f"{base}/details", fmt="bronze")
+    run("order_detail", f"{base}/bronze", "--out", f"{base}/details_in_order", "--in-order", "--flush", "400", "--span", "day", fmt="bronze")
+    assert bag(spark.read.parquet(f"{base}/details_in_order").drop("day")) == bag(spark.read.parquet(f"{base}/details"))
     run("payment_success", log, "--out", f"{base}/facts", "--details", f"{base}/details", *dims)
     run("cart_add", log, "--out", f"{base}/facts")
     run("fact_router", log, "--out", f"{base}/routed", *routes)

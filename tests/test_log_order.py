@@ -1,0 +1,249 @@
+"""Streams in the order of the log: steps, restarts, files that come late, ticks, and joins over a backlog."""
+
+import json
+from collections import Counter
+
+import pyarrow as pa
+import pytest
+from logs import bag, change, changes_df
+from pyarrow import parquet
+from pyspark.sql import types as T
+from shop import T0, activity, coupon, detail, order
+
+from tidemart.plans import facts
+from tidemart.schemas import CHANGE_DDL, FACT_COLUMNS
+from tidemart.sinks.keyed import newest_fact_table
+from tidemart.sinks.messages import FileSink
+from tidemart.sources.bronze import NO_DAY, read_bronze, write_bronze
+from tidemart.sources.log_order import LogReader, LogTables, in_order
+from tidemart.sources.topics import read_changes, read_lines
+from tidemart.streaming import jobs
+from tidemart.streaming.jobs import Run
+
+SCHEMA = T.StructType([T.StructField("table", T.StringType()), T.StructField("n", T.LongType()), T.StructField("ts", T.LongType()), T.StructField("_tick", T.BooleanType())])
+
+
+def put(root, table, day, *numbers):
+    folder = root / f"table={table}" / f"day={day}"
+    folder.mkdir(parents=True, exist_ok=True)
+    path = folder / f"part-{len(list(folder.iterdir()))}.parquet"
+    parquet.write_table(pa.table({"n": list(numbers), "ts": [None] * len(numbers)}), path, row_group_size=2)
+    return path
+
+
+def reader(root, progress, table="a", **options):
+    return LogReader({"path": f"file://{root}", "table": table, "progress": str(progress), **options}, SCHEMA)
+
+
+def read(source, start, end):
+    """(numbers, ticks) of a micro-batch."""
+    rows = [r for work in source.partitions(start, end) for batch in source.read(work) for r in batch.to_pylist()]
+    assert all(r["table"] == source.table for r in rows if not r["_tick"])
+    return sorted(r["n"] for r in rows if not r["_tick"]), [r["ts"] for r in rows if r["_tick"]]
+
+
+def steps(source, at=None):
+    out, at = [], at or source.initialOffset()
+    while (end := source.latestOffset()) != at:
+        out.append(read(source, at, end))
+        source.commit(at)
+        at = end
+    return out, at
+
+
+def test_days_of_all_tables_are_stepped_through_in_order(tmp_path):
+    put(tmp_path / "log", "a", "1970-01-03", 3, 4, 5)
+    put(tmp_path / "log", "a", "1970-01-02", 1)
+    put(tmp_path / "log", "b", "1970-01-02", 10)
+    put(tmp_path / "log", "b", "1970-01-05", 11)
+    found, _ = steps(reader(tmp_path / "log", tmp_path / "pa"))
+    assert found == [([1], [2 * 86_400 - 1]), ([3, 4, 5], [4 * 86_400 - 1]), ([], [])]
+    found, _ = steps(reader(tmp_path / "log", tmp_path / "pb", "b", windows="2", flush="2"))
+    assert found == [([10], [4 * 86_400 - 1]), ([11], []), ([], [6 * 86_400])]
+    assert steps(reader(tmp_path / "none", tmp_path / "pn"))[0] == []
+
+
+def test_later_files_come_once_and_so_do_rows_without_a_day(tmp_path):
+    put(tmp_path / "log", "a", "1970-01-02", 1)
+    put(tmp_path / "log", "a", NO_DAY, 7)
+    source = reader(tmp_path / "log", tmp_path / "p")
+    found, at = steps(source)
+    assert found == [([1, 7], [])]
+    put(tmp_path / "log", "a", "1970-01-02", 2)
+    put(tmp_path / "log", "a", NO_DAY, 8)
+    put(tmp_path / "log", "a", "1970-01-04", 9)
+    found, at = steps(source, at)
+    assert found == [([2, 8, 9], [])]
+    put(tmp_path / "log", "a", "1970-01-02", 3)
+    assert steps(source, at)[0] == [([3], [])]
+
+
+def test_a_restart_goes_on_and_repeats_a_planned_step_alike(tmp_path):
+    for day in range(1, 6):
+        put(tmp_path / "log", "a", f"1970-01-0{day}", day)
+    source = reader(tmp_path / "log", tmp_path / "p")
+    start = source.initialOffset()
+    first = source.latestOffset()
+    assert read(source, start, first)[0] == [1]
+    second = source.latestOffset()
+    wanted = read(source, first, second)
+    put(tmp_path / "log", "a", "1970-01-01", 100)
+    # Started again before the second step was committed: the step is planned once more, then the others follow.
+    again = reader(tmp_path / "log", tmp_path / "p")
+    assert read(again, first, second) == wanted
+    found, _ = steps(again, second)
+    assert sorted(n for numbers, _ in found for n in numbers) == [3, 4, 5, 100]
+
+
+def test_a_large_file_is_read_in_parts(tmp_path, monkeypatch):
+    monkeypatch.setattr("tidemart.sources.log_order.TASK_BYTES", 300)
+    put(tmp_path / "log", "a", "1970-01-02", *range(50))
+    source = reader(tmp_path / "log", tmp_path / "p")
+    end = source.latestOffset()
+    assert len(source.partitions(source.initialOffset(), end)) > 1
+    assert read(source, source.initialOffset(), end)[0] == list(range(50))
+
+
+def test_only_files_that_a_stream_committed_are_read(tmp_path):
+    kept = [put(tmp_path / "log", "a", "1970-01-02", n) for n in range(4)]
+    log = tmp_path / "log" / "_spark_metadata"
+    log.mkdir()
+
+    def entry(path):
+        return json.dumps({"path": f"file://{path}", "size": path.stat().st_size, "action": "add"})
+
+    (log / "0").write_text("v1\n" + entry(kept[3]))
+    (log / "1.compact").write_text("v1\n" + entry(kept[0]))
+    (log / "2").write_text("v1\n" + entry(kept[1]))
+    (log / ".2.crc").write_text("x")
+    assert steps(reader(tmp_path / "log", tmp_path / "p"))[0] == [([0, 1], [])]
+
+
+def history(days=6):
+    rows = []
+    for n in range(60):
+        ts = T0 + 86_400 * (n % days) + 40 * n
+        rows += [order(f"o{n}", ts), detail(f"d{n}", f"o{n}", "s", ts + n % 4)]
+        rows += [activity(f"d{n}", ts + 1)] * (n % 2) + [coupon(f"d{n}", ts + 2)] * (n % 3 == 0)
+        rows += [order(f"o{n}", ts + 900, "update", "1003", {"order_status": "1001"})] * (n % 5 == 0)
+    return rows
+
+
+def test_a_backlog_joins_in_one_query_with_the_default_bound(spark, tmp_path):
+    changes = changes_df(spark, history())
+    bronze, out = str(tmp_path / "bronze"), str(tmp_path / "details")
+    # Written with the newest days first: the order of writing does not count.
+    write_bronze(changes.where(f"ts >= {T0 + 3 * 86_400}"), bronze)
+    write_bronze(changes.where(f"ts < {T0 + 3 * 86_400}"), bronze)
+    tables = LogTables(spark, bronze, str(tmp_path / "p4"), flush=3)
+    query = jobs.start_order_detail(tables, out, Run(str(tmp_path / "c4"), "0 seconds"), span="day")
+    query.processAllAvailable()
+    assert query.lastProgress["batchId"] >= 6
+    jobs.drain(query)
+    details = spark.read.parquet(out).select(*FACT_COLUMNS["order_detail"])
+    wanted = facts.order_detail(changes)
+    assert bag(details) == bag(wanted) and details.count() == 60
+
+    ddl = ", ".join(f"`{c}` {'bigint' if c == 'ts' else 'string'}" for c in FACT_COLUMNS["order_detail"])
+    stream = in_order(spark, out, str(tmp_path / "pd"), ddl, flush=3)
+    sink = FileSink(str(tmp_path / "facts"))
+    changed = LogTables(spark, bronze, str(tmp_path / "p5"), flush=3)
+    jobs.drain(jobs.start_order_cancel(stream, changed, sink, Run(str(tmp_path / "c5"), "0 seconds")))
+    lines = spark.read.text(f"{sink.root}/dwd_trade_order_cancel")
+    assert lines.count() == 12
+
+
+def test_a_stopped_query_goes_on_with_its_progress(spark, tmp_path):
+    changes = changes_df(spark, history(3))
+    bronze, out = str(tmp_path / "bronze"), str(tmp_path / "details")
+    run = Run(str(tmp_path / "c"), "0 seconds")
+    write_bronze(changes.where(f"ts < {T0 + 86_400}"), bronze)
+    for part in (None, f"ts >= {T0 + 86_400}"):
+        if part:
+            write_bronze(changes.where(part), bronze)
+        tables = LogTables(spark, bronze, str(tmp_path / "p"), flush=3 if part else None)
+        jobs.drain(jobs.start_order_detail(tables, out, run))
+    assert bag(spark.read.parquet(out)) == bag(facts.order_detail(changes).drop("et"))
+
+
+def test_changes_without_time_reach_an_output_day_by_day_and_in_order(spark, tmp_path):
+    rows = [change("cart_info", "insert", {"id": str(i), "user_id": "u", "sku_id": "s", "sku_num": "1"}, ts=ts) for i, ts in enumerate([T0, None])]
+    bronze, sink = str(tmp_path / "bronze"), FileSink(str(tmp_path / "by_day"))
+    write_bronze(changes_df(spark, rows), bronze)
+    run = Run(str(tmp_path / "c"), None)
+    jobs.catch_up(spark, bronze, lambda day: jobs.start_cart_add(read_bronze(spark, bronze, True, day=day), sink, run))
+    assert spark.read.text(f"{sink.root}/dwd_trade_cart_add").count() == 2
+    sink = FileSink(str(tmp_path / "in_order"))
+    jobs.drain(jobs.start_cart_add(LogTables(spark, bronze, str(tmp_path / "p")), sink, Run(str(tmp_path / "c2"), "0 seconds")))
+    assert spark.read.text(f"{sink.root}/dwd_trade_cart_add").count() == 2
+
+
+def test_bronze_that_a_stream_writes_is_read_in_order(spark, tmp_path):
+    from logs import dumps, write_files
+
+    rows = history(3)
+    folder = write_files(tmp_path / "log", dumps(rows), 4)
+    bronze = str(tmp_path / "bronze")
+    lines = read_lines(spark, folder, "text", maxFilesPerTrigger="2")
+    jobs.start_bronze(lines, bronze, Run(str(tmp_path / "cb"), None)).awaitTermination()
+    out = str(tmp_path / "details")
+    tables = LogTables(spark, bronze, str(tmp_path / "p"), flush=3)
+    jobs.drain(jobs.start_order_detail(tables, out, Run(str(tmp_path / "c"), "0 seconds")))
+    assert bag(spark.read.parquet(out)) == bag(facts.order_detail(changes_df(spark, rows)).drop("et"))
+
+
+def test_versions_of_a_detail_appear_as_its_sides_come(spark, tmp_path):
+    """The coupon comes a micro-batch later than the detail; both versions are written and the last one counts."""
+    folder = tmp_path / "log"
+    from logs import dumps, write_files
+
+    early = [order("o1", T0), detail("d1", "o1", "s", T0), activity("d1", T0), detail("d2", "o1", "s", T0), detail("d3", "o9", "s", T0)]
+    write_files(folder, dumps(early))
+    path = write_files(folder, dumps([coupon("d1", T0 + 2), coupon("d2", T0 + 1)]))
+    changes = read_changes(read_lines(spark, path, "text", maxFilesPerTrigger="1"))
+    table = newest_fact_table("default.details_by_version", "order_detail", ["id"], ["ts", "version"], "version int")
+    jobs.start_order_detail_updating(changes, table, Run(str(tmp_path / "c"), None)).awaitTermination()
+    written = [(r.id, r.version, r.activity_id, r.coupon_id) for r in spark.table(table.name).collect()]
+    assert sorted(written) == [("d1", 1, "a-d1", None), ("d1", 2, "a-d1", "c-d1"), ("d2", 0, None, None), ("d2", 1, None, "c-d2")]
+    batch = facts.order_detail(changes_df(spark, [*early, coupon("d1", T0 + 2), coupon("d2", T0 + 1)]))
+    assert bag(table.read(spark).drop("version")) == bag(batch)
+
+
+@pytest.mark.parametrize("salts", [1, 3])
+def test_every_detail_and_every_late_row_is_accounted_for(spark, tmp_path, salts):
+    from logs import dumps, write_files
+
+    def cancel(key, ts):
+        return order(key, ts, "update", "1003", {"order_status": "1001"})
+
+    folder = tmp_path / "log"
+    write_files(folder, dumps([cancel("o1", T0 + 900), cancel("o2", T0 + 1805), cancel("o3", T0 + 1806)]))
+    # Time passes, then a cancel and a detail come late, and a pair in time.
+    write_files(folder, dumps([cancel("x", T0 + 9_000)]))
+    path = write_files(folder, dumps([cancel("o4", T0 + 5_000), cancel("o6", T0 + 9_000)]))
+    columns = FACT_COLUMNS["order_detail"]
+
+    def row(i, ts):
+        return tuple({"id": f"d{i}", "order_id": f"o{i}" if i else None, "ts": ts}.get(c) for c in columns)
+
+    ddl = ", ".join(f"`{c}` {'bigint' if c == 'ts' else 'string'}" for c in columns)
+    batches = [[row(i, T0) for i in (0, 1, 1, 2, 3)], [row(8, T0 + 9_000)], [row(4, T0 + 5_000), row(6, T0 + 8_999)]]
+    for n, rows in enumerate(batches):
+        spark.createDataFrame(rows, ddl).coalesce(1).write.parquet(str(tmp_path / f"details/n={n}"))
+    from tidemart.sources.topics import read_facts
+
+    details = read_facts(spark, str(tmp_path / "details/n=*"), "order_detail", "parquet", True, maxFilesPerTrigger="1")
+    changes = read_changes(read_lines(spark, path, "text", maxFilesPerTrigger="1"))
+    sink = FileSink(str(tmp_path / "out"))
+    jobs.start_order_cancel_complete(details, changes, sink, Run(str(tmp_path / "c"), None), salts=salts).awaitTermination()
+    joined = spark.read.text(f"{sink.root}/dwd_trade_order_cancel").selectExpr("get_json_object(value, '$.id') id")
+    assert Counter(r.id for r in joined.collect()) == {"d1": 2, "d2": 1, "d6": 1}
+    left = spark.read.text(f"{sink.root}/{jobs.LEFT_OVER}").collect()
+    seen = Counter()
+    for r in map(json.loads, (r.value for r in left)):
+        seen[r["kind"], r["side"], json.loads(r.get("detail") or r.get("cancel")).get("id", json.loads(r.get("cancel") or "{}").get("oc_id"))] += 1
+    assert seen == {("alone", "main", "d0"): 1, ("alone", "main", "d3"): 1, ("late", "main", "d4"): 1, ("late", "cancel", "o4"): 1}
+
+
+def test_changes_ddl_has_the_columns_of_the_log():
+    assert CHANGE_DDL.split()[0] == "database"

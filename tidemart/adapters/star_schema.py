@@ -221,6 +221,48 @@ def order_changes(tables: Tables, *only: str) -> DataFrame:
     return _log(_order_parts(tables), only or None)
 
 
+def placed_changes(tables: Tables) -> DataFrame:
+    """Orders whose details, activities and coupons are logged within seconds of them.
+
+    Cancelled orders with an even id are cancelled after ten minutes, the others after a day.
+    """
+    orders = tables("orders")
+    lines = tables("lineitem").join(orders.select("o_orderkey", "o_orderdate"), F.expr("l_orderkey = o_orderkey"))
+    at, price = _seconds("o_orderdate"), "cast(l_extendedprice as decimal(16,2))"
+    discount, tax = f"({price} * cast(l_discount as decimal(4,2)))", f"({price} * cast(l_tax as decimal(4,2)))"
+    placed = f"{at} + l_linenumber % 5"
+    order = {"id": "o_orderkey", "user_id": "o_custkey", "province_id": "left(o_orderpriority, 1)"}
+    moved = {**order, "order_status": "'1003'", "operate_time": TEXT_TIME.format("o_orderdate + interval 1 day")}
+    later = "case when o_orderkey % 2 = 0 then 600 else 86400 end"
+    return union([
+        change(orders, "order_info", "insert", {**order, "order_status": "'1001'"}, ts=at, seq="o_orderkey"),
+        change(
+            orders.where("o_orderstatus = 'F'"), "order_info", "update", moved, {"order_status": "'1001'"}, f"{at} + {later}", "o_orderkey"
+        ),
+        change(
+            lines, "order_detail", "insert",
+            {
+                "id": LINE_ID, "order_id": "l_orderkey", "sku_id": "l_partkey", "sku_name": "concat('Part#', l_partkey)",
+                "create_time": TEXT_TIME.format("l_shipdate"), "sku_num": "cast(l_quantity as int)", "order_price": price,
+                "split_total_amount": f"{price} - {discount}", "split_activity_amount": discount, "split_coupon_amount": tax,
+            },
+            ts=placed, seq="l_linenumber",
+        ),
+        change(
+            lines.where("l_discount >= 0.05"), "order_detail_activity", "insert",
+            {
+                "order_detail_id": LINE_ID, "activity_id": "cast(l_discount as decimal(4,2))",
+                "activity_rule_id": "l_linenumber",
+            },
+            ts=at, seq="l_linenumber",
+        ),
+        change(
+            lines.where("l_returnflag = 'R'"), "order_detail_coupon", "insert",
+            {"order_detail_id": LINE_ID, "coupon_id": "concat('C', l_suppkey)"}, ts=f"{placed} + 4", seq="l_linenumber",
+        ),
+    ])
+
+
 def event_changes(tables: Tables, *only: str) -> DataFrame:
     """Changes of carts and payments."""
     return _log(_event_parts(tables), only or None)

@@ -33,6 +33,10 @@ SELECT {_DETAIL_KEYS}, {_DAY.format('l_shipdate')} AS date_id,
     {_SECONDS.format('l_shipdate')} AS ts
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
 
+_PLACED = _ORDER_DETAIL.replace(
+    "\nFROM lineitem", f",\n    {_SECONDS.format('o_orderdate')} + l_linenumber % 5 AS placed\nFROM lineitem"
+)
+
 _DICTIONARY = """dic AS (
     SELECT 'N' || n_nationkey AS code, n_name AS name FROM nation
     UNION ALL SELECT 'R' || r_regionkey, r_name FROM region)"""
@@ -154,6 +158,20 @@ SELECT {_DETAIL_KEYS}, {_DAY.format('o_orderdate + INTERVAL 1 DAY')} AS date_id,
     {_TEXT_TIME.format('o_orderdate + INTERVAL 1 DAY')} AS cancel_time, {_DETAIL_AMOUNTS},
     {_SECONDS.format('o_orderdate')} + 86400 AS ts
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderstatus = 'F'"""
+    placed = f"SELECT * EXCLUDE (placed) REPLACE (placed AS ts) FROM ({_PLACED})"
+    placed_cancel = f"""
+SELECT * EXCLUDE (o_orderstatus, o_orderkey) FROM (
+    SELECT {_DETAIL_KEYS}, {_DAY.format('o_orderdate + INTERVAL 1 DAY')} AS date_id,
+        {_TEXT_TIME.format('o_orderdate + INTERVAL 1 DAY')} AS cancel_time, {_DETAIL_AMOUNTS},
+        {_SECONDS.format('o_orderdate')} + 600 AS ts, o_orderstatus, o_orderkey
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+WHERE o_orderstatus = 'F' AND o_orderkey % 2 = 0"""
+    complete = f"""
+SELECT CASE WHEN o_orderstatus = 'F' AND o_orderkey % 2 = 0 AND o_orderkey % 10 <> 0 THEN 'joined' ELSE 'alone' END AS kind,
+    'main' AS side, {_ID} AS id
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+UNION ALL
+SELECT 'late', 'cancel', {_v('o_orderkey')} FROM orders WHERE o_orderstatus = 'F' AND o_orderkey % 10 = 0"""
     refund = f"""
 WITH {_DICTIONARY}
 SELECT {_ID} AS id, {_v('l_suppkey')} AS user_id, {_v('l_orderkey')} AS order_id, {_v('l_partkey')} AS sku_id,
@@ -279,4 +297,10 @@ FROM events"""
         "payment_success order_detail order_refund refund_payment comment_lookup cart_add log_page log_display log_action "
         "new_visitor new_visitor_same_day dim_customer fact_route"
     )
+    sql |= {
+        "stream_order_detail_backlog": placed,
+        "stream_order_detail_updating": placed,
+        "stream_order_cancel": placed_cancel,
+        "stream_order_cancel_complete": complete,
+    }
     return {**sql, **{f"stream_{name}": sql[name] for name in streamed.split()}}

@@ -16,12 +16,14 @@ from tidemart.adapters.star_schema import Tables
 from tidemart.checks.registry import COMMON_PATHS, FLAT_PATHS, log_fields, query
 from tidemart.operators.split import ACTION, DISPLAY, PAGE
 from tidemart.operators.visitors import ARRIVAL, SAME_DAY
-from tidemart.schemas import FACT_COLUMNS
+from tidemart.plans import facts
+from tidemart.schemas import FACT_COLUMNS, fact_schema
 from tidemart.session import shared_dir
-from tidemart.sinks.keyed import DimensionStore
+from tidemart.sinks.keyed import DimensionStore, newest_fact_table
 from tidemart.sinks.messages import FileSink
 from tidemart.sources.bronze import read_bronze, write_bronze
-from tidemart.sources.topics import parse_facts
+from tidemart.sources.log_order import LogTables, in_order
+from tidemart.sources.topics import parse_facts, with_event_time
 from tidemart.streaming import jobs
 from tidemart.streaming.jobs import Run
 from tidemart.streaming.visitors import correct_visitors_stream
@@ -29,6 +31,8 @@ from tidemart.streaming.visitors import correct_visitors_stream
 # Order and ship dates of these tables lie years apart.
 WIDE_BOUND = "4000 days"
 FAR_FUTURE = "4102444800"
+# Longer than any span of time by which bronze is partitioned here.
+FLUSH_DAYS = 400
 
 
 STATE_PARTITIONS_PER_CORE = 4
@@ -62,6 +66,17 @@ class Workspace:
         self.run = Run(f"{self.folder}/checkpoint", None)
         self.batch = Tables(tables.spark, tables.folder)
 
+    def steps(self, name: str) -> Run:
+        """A run that takes one step of its source after the other."""
+        return Run(f"{self.folder}/checkpoint-{name}", "0 seconds")
+
+    def in_order(self, bronze: str) -> LogTables:
+        return LogTables(self.spark, bronze, f"{self.folder}/progress-{uuid.uuid4().hex[:8]}", flush=FLUSH_DAYS)
+
+    def facts_in_order(self, path: str, fact: str) -> DataFrame:
+        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fact_schema(fact))
+        return in_order(self.spark, path, f"{self.folder}/progress-{uuid.uuid4().hex[:8]}", ddl, flush=FLUSH_DAYS)
+
     def dictionary(self, _) -> DataFrame:
         return star.dictionary(self.batch)
 
@@ -104,6 +119,70 @@ def stream_order_detail(tables):
     return work.spark.read.parquet(details)
 
 
+def _placed(work: Workspace, span: str) -> LogTables:
+    """Bronze of placed orders, to be read in the order of the log."""
+    bronze = f"{work.folder}/bronze"
+    write_bronze(star.placed_changes(work.batch), bronze, span=span)
+    return work.in_order(bronze)
+
+
+def _details(work: Workspace, changes: LogTables, span: str) -> str:
+    path = f"{work.folder}/details"
+    jobs.drain(jobs.start_order_detail(changes, path, work.steps("details"), span=span))
+    return path
+
+
+@stream_query
+def stream_order_detail_backlog(tables):
+    """Years of orders in one query, a year per micro-batch, joined within the default five seconds."""
+    work = Workspace(tables)
+    details = _details(work, _placed(work, "year"), "year")
+    return work.spark.read.parquet(details).select(*FACT_COLUMNS["order_detail"])
+
+
+@stream_query
+def stream_order_detail_updating(tables):
+    """The newest version of every detail; versions appear as soon as the order is there."""
+    work = Workspace(tables)
+    table = newest_fact_table(f"default.details_{work.name}", "order_detail", ["id"], ["ts", "version"], "version int")
+    jobs.drain(jobs.start_order_detail_updating(_placed(work, "year"), table, work.steps("updating")))
+    return table.read(work.spark).select(*FACT_COLUMNS["order_detail"])
+
+
+@stream_query
+def stream_order_cancel(tables):
+    """Cancels within the default bound, over the folder that the order-detail stream writes."""
+    work = Workspace(tables)
+    changes = _placed(work, "year")
+    details = work.facts_in_order(_details(work, changes, "year"), "order_detail")
+    jobs.drain(jobs.start_order_cancel(details, work.in_order(changes.path), work.sink, work.steps("cancel")))
+    return work.fact(C.TOPIC_ORDER_CANCEL, "order_cancel")
+
+
+@stream_query
+def stream_order_cancel_complete(tables):
+    """What became of every detail and of every cancel that came late: those of every tenth order come after all else."""
+    work = Workspace(tables)
+    bronze, path = f"{work.folder}/bronze", f"{work.folder}/details"
+    placed = star.placed_changes(work.batch)
+    is_late = (F.col("type") == "update") & (F.col("data")["id"].cast("bigint") % 10 == 0)
+    write_bronze(placed.where(~is_late), bronze, span="year")
+    details = facts.order_detail(with_event_time(placed))
+    details.withColumn("day", F.to_date(F.date_trunc("year", F.timestamp_seconds("ts")))).write.partitionBy("day").parquet(path)
+    query = jobs.start_order_cancel_complete(
+        work.facts_in_order(path, "order_detail"), work.in_order(bronze), work.sink, work.steps("cancel")
+    )
+    try:
+        query.processAllAvailable()
+        write_bronze(placed.where(is_late), bronze, span="year")
+    finally:
+        jobs.drain(query)
+    joined = work.fact(C.TOPIC_ORDER_CANCEL, "order_cancel").selectExpr("'joined' kind", "'main' side", "id")
+    left = work.lines(jobs.LEFT_OVER).select(F.from_json("value", "kind string, side string, detail string, cancel string").alias("r")).select("r.*")
+    key = F.coalesce(F.get_json_object("detail", "$.id"), F.get_json_object("cancel", "$.oc_id"))
+    return joined.union(left.select("kind", "side", key))
+
+
 @stream_query
 def stream_order_refund(tables):
     work = Workspace(tables)

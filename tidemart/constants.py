@@ -42,6 +42,9 @@ BOUND_ORDER_DETAIL = "5 seconds"
 BOUND_ORDER_CANCEL = "1805 seconds"
 BOUND_REFUND_PAYMENT = "5 seconds"
 BOUND_ORDER_REFUND = "1 day"
+# The same for joins that keep account of every row, in seconds.
+SECONDS_ORDER_DETAIL = 5
+SECONDS_ORDER_CANCEL = 1805
 
 # The shop database whose changes are processed unless a job names another.
 DATABASE = "shop"

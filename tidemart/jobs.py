@@ -12,14 +12,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemart import constants as C
+from tidemart.operators.changes import Changes
 from tidemart.operators.routing import current_config
 from tidemart.operators.visitors import ARRIVAL, SAME_DAY
+from tidemart.schemas import fact_schema
 from tidemart.session import build_session
 from tidemart.sinks.keyed import DimensionStore, newest_fact_table
 from tidemart.sinks.messages import FileSink, KafkaSink
 from tidemart.sources.bronze import read_bronze
 from tidemart.sources.config import config_changes, config_snapshot
 from tidemart.sources.dictionary import file_dictionary, read_dictionary
+from tidemart.sources.log_order import LogTables, in_order
 from tidemart.sources.topics import read_changes, read_fact_lines, read_facts, read_lines
 from tidemart.streaming import jobs
 from tidemart.streaming.jobs import Run
@@ -45,8 +48,12 @@ class Inputs:
     def lines(self) -> DataFrame:
         return read_lines(self.spark, self.args.source, self.args.format, **_pairs(self.args.read))
 
-    def changes(self) -> DataFrame:
-        """The change log, from its topic or from bronze."""
+    def changes(self) -> Changes:
+        """The change log, from its topic or from bronze; in the order of the log, table by table, if asked for."""
+        if self.args.in_order:
+            return LogTables(
+                self.spark, self.args.source, f"{self.args.checkpoint}.progress", self.args.delay, self.args.windows, self.args.flush
+            )
         if self.args.format == BRONZE:
             return read_bronze(self.spark, self.args.source, True, self.args.delay, self.day, **_pairs(self.args.read))
         return read_changes(self.lines(), self.args.delay)
@@ -57,6 +64,10 @@ class Inputs:
 
     def details(self) -> DataFrame:
         """Order details, from the folder of the order-detail job or from a topic of theirs."""
+        if self.args.in_order and self.args.details_format == "parquet":
+            ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fact_schema("order_detail"))
+            progress = f"{self.args.checkpoint}.progress/details"
+            return in_order(self.spark, self.args.details, progress, ddl, self.args.delay, None, self.args.windows, self.args.flush)
         if self.args.details_format == "parquet":
             return read_facts(self.spark, self.args.details, "order_detail", "parquet", True, self.args.delay, **_pairs(self.args.read))
         lines = read_lines(self.spark, self.args.details, self.args.details_format, **_pairs(self.args.read))
@@ -90,7 +101,12 @@ def _order_detail(i: Inputs) -> StreamingQuery:
         return jobs.start_order_detail_upsert(i.changes(), table, i.run, i.args.database, **i.joining("bound", "salts"))
     if i.args.out == "kafka":
         return jobs.start_order_detail_upsert(i.changes(), i.sink(), i.run, i.args.database, **i.joining("bound", "salts"))
-    return jobs.start_order_detail(i.changes(), i.args.out, i.run, i.args.database, **i.joining("bound", "salts"))
+    return jobs.start_order_detail(i.changes(), i.args.out, i.run, i.args.database, **i.joining("bound", "salts", "span"))
+
+
+def _order_detail_updating(i: Inputs) -> StreamingQuery:
+    table = newest_fact_table(i.args.upsert_table, "order_detail", ["id"], ["ts", "version"], "version int")
+    return jobs.start_order_detail_updating(i.changes(), table, i.run, i.args.database, **i.joining("salts"))
 
 
 JOBS: dict[str, Callable[[Inputs], StreamingQuery]] = {
@@ -108,6 +124,10 @@ JOBS: dict[str, Callable[[Inputs], StreamingQuery]] = {
     "order_cancel": lambda i: jobs.start_order_cancel(
         i.details(), i.changes(), i.sink(), i.run, i.args.database, **i.joining("bound", "salts")
     ),
+    "order_detail_updating": _order_detail_updating,
+    "order_cancel_complete": lambda i: jobs.start_order_cancel_complete(
+        i.details(), i.changes(), i.sink(), i.run, i.args.database, **i.joining("salts")
+    ),
     "payment_success": lambda i: jobs.start_payment_success(
         i.details(), i.changes(), i.dictionary, i.sink(), i.run, i.args.database, **i.joining("before", "after", "salts")
     ),
@@ -135,6 +155,10 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--every", default=C.TRIGGER, help="trigger interval")
     p.add_argument("--once", action="store_true", help="process what is there and stop")
     p.add_argument("--by-day", action="store_true", help="work bronze off day by day, in the order of the log, and stop")
+    p.add_argument("--in-order", action="store_true", help="read bronze in the order of its days, all of it in one query")
+    p.add_argument("--windows", type=int, default=1, help="days that a micro-batch of --in-order takes")
+    p.add_argument("--flush", type=int, help="days after the start of the last day at which time ends, for --in-order --once")
+    p.add_argument("--span", choices=["day", "month", "year"], help="partition order details, so that they can be read in order")
     p.add_argument("--database", default=C.DATABASE, help="shop database in the change log")
     p.add_argument("--bound", help="event time within which two changes join, such as '2 days'; each job has a default")
     p.add_argument("--before", type=int, help="seconds an order may precede its payment")
@@ -168,8 +192,10 @@ def compact(spark: SparkSession, args: argparse.Namespace) -> None:
 def main(argv: list[str] | None = None) -> None:
     p = parser()
     args = p.parse_args(argv)
-    if args.by_day and args.format != BRONZE:
-        p.error("--by-day works on bronze")
+    if (args.by_day or args.in_order) and args.format != BRONZE:
+        p.error("--by-day and --in-order work on bronze")
+    if (args.by_day or args.in_order) and args.read:
+        p.error("--by-day and --in-order take whole days: leave --read out")
     if args.job != COMPACT and not (args.source and args.checkpoint):
         p.error("--source and --checkpoint are required")
     spark = build_session(f"tidemart-{args.job}")
@@ -180,6 +206,11 @@ def main(argv: list[str] | None = None) -> None:
         args.once = True
         jobs.catch_up(spark, args.source, lambda day: JOBS[args.job](Inputs(spark, args, day)))
         return
+    if args.in_order and args.once:
+        # The source goes on step by step; a trigger without pause takes one after the other.
+        args.once, args.every = False, "0 seconds"
+        jobs.drain(JOBS[args.job](Inputs(spark, args)))
+        return
     JOBS[args.job](Inputs(spark, args)).awaitTermination()
 
 

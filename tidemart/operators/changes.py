@@ -1,5 +1,6 @@
 """Validity of changes and typed slices of the change log."""
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -9,6 +10,16 @@ from tidemart.constants import BOOTSTRAP_INSERT, DATABASE, DELETE, INSERT, UPDAT
 from tidemart.functions.numbers import increase, to_int
 
 
+# The change log, or a function that reads one table's part of it.
+Changes = DataFrame | Callable[[str], DataFrame]
+
+
+def of_table(changes: Changes, table: str, database: str = DATABASE) -> DataFrame:
+    """One table's changes."""
+    rows = changes if isinstance(changes, DataFrame) else changes(table)
+    return rows.where((F.col("database") == database) & (F.col("table") == table))
+
+
 def _usable(database: str, types: tuple[str, ...]) -> Column:
     return (F.col("database") == database) & F.col("type").isin(*types) & (F.size("data") > 0)
 
@@ -66,10 +77,8 @@ class Slice:
     keys: tuple[str, ...]
     moved: tuple[str, str, str | None] | None = None
 
-    def read(self, changes: DataFrame, database: str = DATABASE, where: Column | None = None) -> DataFrame:
-        kept = changes.where(
-            (F.col("database") == database) & (F.col("table") == self.table) & F.col("type").isin(*self.types)
-        )
+    def read(self, changes: Changes, database: str = DATABASE, where: Column | None = None) -> DataFrame:
+        kept = of_table(changes, self.table, database).where(F.col("type").isin(*self.types))
         if self.moved:
             key, new, old = self.moved
             kept = kept.where(became(key, new, old))

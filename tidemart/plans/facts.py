@@ -1,6 +1,6 @@
 """Fact plans (J2-J8). The same functions run on batch and streaming input.
 
-``changes`` is the parsed change log with event time ``et``. ``bound`` is the
+``changes`` is the parsed change log with event time ``et``, or a function that gives one table's part. ``bound`` is the
 event-time distance up to which changes still join; a stream needs one to let
 go of its state, a batch run joins everything and leaves it out.
 
@@ -26,7 +26,7 @@ from tidemart.constants import (
 )
 from tidemart.functions.numbers import product_text
 from tidemart.functions.times import day_of_text
-from tidemart.operators.changes import Slice, added, added_amount
+from tidemart.operators.changes import Changes, Slice, added, added_amount, of_table
 from tidemart.operators.joins import inner_join, interval_join, is_small, left_join, lookup, spread_key
 from tidemart.schemas import DICTIONARY_COLUMNS, FACT_COLUMNS
 
@@ -79,10 +79,10 @@ REFUNDED_ORDER = Slice(
 )
 
 
-def _fact(df: DataFrame, fact: str, **columns) -> DataFrame:
-    """Select sink columns of a fact in order, each from its source; names to look up are left out."""
+def _fact(df: DataFrame, fact: str, *more: str, **columns) -> DataFrame:
+    """Select sink columns of a fact in order, each from its source, then ``more``; names to look up are left out."""
     picked = [(columns[name], name) for name in FACT_COLUMNS[fact] if name in columns]
-    return df.select(*[(F.col(e) if isinstance(e, str) else e).alias(name) for e, name in picked])
+    return df.select(*[(F.col(e) if isinstance(e, str) else e).alias(name) for e, name in picked], *more)
 
 
 def _named(df: DataFrame, dictionary: DataFrame, fact: str, **codes: str) -> DataFrame:
@@ -94,7 +94,7 @@ def _named(df: DataFrame, dictionary: DataFrame, fact: str, **codes: str) -> Dat
     return df.select(*FACT_COLUMNS[fact])
 
 
-def rated_comments(changes: DataFrame, database: str = DATABASE) -> DataFrame:
+def rated_comments(changes: Changes, database: str = DATABASE) -> DataFrame:
     """Comments before their rating is named."""
     return _fact(
         COMMENT.read(changes, database), "comment", id="ci_id", user_id="ci_user_id", sku_id="ci_sku_id",
@@ -106,16 +106,14 @@ def name_comments(comments: DataFrame, dictionary: DataFrame) -> DataFrame:
     return _named(comments, dictionary, "comment", appraise_name="appraise")
 
 
-def comment_info(changes: DataFrame, dictionary: DataFrame, database: str = DATABASE) -> DataFrame:
+def comment_info(changes: Changes, dictionary: DataFrame, database: str = DATABASE) -> DataFrame:
     """Comments with the name of their rating."""
     return name_comments(rated_comments(changes, database), dictionary)
 
 
-def cart_add(changes: DataFrame, database: str = DATABASE) -> DataFrame:
+def cart_add(changes: Changes, database: str = DATABASE) -> DataFrame:
     """Items put into a cart; a raised quantity counts with its increase."""
-    kept = changes.where(
-        (F.col("database") == database) & (F.col("table") == "cart_info") & added("sku_num")
-    )
+    kept = of_table(changes, "cart_info", database).where(added("sku_num"))
     data = F.col("data")
     return _fact(
         kept, "cart_add", id=data["id"], user_id=data["user_id"], sku_id=data["sku_id"],
@@ -124,7 +122,7 @@ def cart_add(changes: DataFrame, database: str = DATABASE) -> DataFrame:
 
 
 def order_detail(
-    changes: DataFrame, database: str = DATABASE, bound: str | None = None, salts: int = 1
+    changes: Changes, database: str = DATABASE, bound: str | None = None, salts: int = 1
 ) -> DataFrame:
     """Ordered items with their order, activity and coupon.
 
@@ -146,8 +144,13 @@ def order_detail(
         with_coupon, ORDER.read(changes, database).drop("oi_ts"), [("od_order_id", "oi_id")],
         times=("od_et", "oi_et"), bound=bound, salts=salts,
     )
+    return detail_fact(joined)
+
+
+def detail_fact(joined: DataFrame, *more: str) -> DataFrame:
+    """Sink columns of details with their order, activity and coupon."""
     return _fact(
-        joined, "order_detail", id="od_id", order_id="od_order_id", user_id="oi_user_id",
+        joined, "order_detail", *more, id="od_id", order_id="od_order_id", user_id="oi_user_id",
         sku_id="od_sku_id", sku_name="od_sku_name", province_id="oi_province_id",
         activity_id="act_activity_id", activity_rule_id="act_activity_rule_id",
         coupon_id="cou_coupon_id", date_id=day_of_text(F.col("od_create_time")),
@@ -160,13 +163,18 @@ def order_detail(
 
 
 def order_cancel(
-    details: DataFrame, changes: DataFrame, database: str = DATABASE, bound: str | None = None, salts: int = 1
+    details: DataFrame, changes: Changes, database: str = DATABASE, bound: str | None = None, salts: int = 1
 ) -> DataFrame:
     """Ordered items whose order was cancelled (J5). ``details`` carries ``et``."""
     joined = inner_join(
         details, CANCEL.read(changes, database), [("order_id", "oc_id")],
         times=("et", "oc_et"), bound=bound, salts=salts,
     )
+    return cancel_fact(joined)
+
+
+def cancel_fact(joined: DataFrame) -> DataFrame:
+    """Sink columns of details with the cancel of their order."""
     same = {c: c for c in FACT_COLUMNS["order_cancel"]}
     return _fact(
         joined, "order_cancel",
@@ -181,7 +189,7 @@ def order_cancel(
 
 def paid_details(
     details: DataFrame,
-    changes: DataFrame,
+    changes: Changes,
     database: str = DATABASE,
     before: int = PAYMENT_WINDOW_BEFORE,
     after: int = PAYMENT_WINDOW_AFTER,
@@ -215,7 +223,7 @@ def name_payments(paid: DataFrame, dictionary: DataFrame) -> DataFrame:
 
 def payment_success(
     details: DataFrame,
-    changes: DataFrame,
+    changes: Changes,
     dictionary: DataFrame,
     database: str = DATABASE,
     before: int = PAYMENT_WINDOW_BEFORE,
@@ -227,7 +235,7 @@ def payment_success(
 
 
 def requested_refunds(
-    changes: DataFrame, database: str = DATABASE, bound: str | None = None, salts: int = 1
+    changes: Changes, database: str = DATABASE, bound: str | None = None, salts: int = 1
 ) -> DataFrame:
     """Requested refunds with their order, before kind and reason are named."""
     joined = inner_join(
@@ -252,14 +260,14 @@ def name_refunds(refunds: DataFrame, dictionary: DataFrame) -> DataFrame:
 
 
 def order_refund(
-    changes: DataFrame, dictionary: DataFrame, database: str = DATABASE, bound: str | None = None, salts: int = 1
+    changes: Changes, dictionary: DataFrame, database: str = DATABASE, bound: str | None = None, salts: int = 1
 ) -> DataFrame:
     """Requested refunds with their order and the names of kind and reason."""
     return name_refunds(requested_refunds(changes, database, bound, salts), dictionary)
 
 
 def paid_refunds(
-    changes: DataFrame, database: str = DATABASE, bound: str | None = None, salts: int = 1
+    changes: Changes, database: str = DATABASE, bound: str | None = None, salts: int = 1
 ) -> DataFrame:
     """Paid-out refunds with their request and order, before the payment type is named."""
     with_request = inner_join(
@@ -284,7 +292,7 @@ def name_paid_refunds(refunds: DataFrame, dictionary: DataFrame) -> DataFrame:
 
 
 def refund_payment(
-    changes: DataFrame, dictionary: DataFrame, database: str = DATABASE, bound: str | None = None, salts: int = 1
+    changes: Changes, dictionary: DataFrame, database: str = DATABASE, bound: str | None = None, salts: int = 1
 ) -> DataFrame:
     """Paid-out refunds with their request, order and payment type."""
     return name_paid_refunds(paid_refunds(changes, database, bound, salts), dictionary)

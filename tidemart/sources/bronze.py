@@ -9,22 +9,26 @@ from tidemart.sources.topics import with_event_time
 
 
 PARTITIONS = ("table", "day")
+# The partition of rows without a day.
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 STREAM_SALTS = 8
 
 
-def bronze_rows(changes: DataFrame) -> DataFrame:
-    """Changes with the day they belong to."""
-    day = F.to_date(F.timestamp_seconds("ts"))
+def bronze_rows(changes: DataFrame, span: str = "day") -> DataFrame:
+    """Changes with the day they belong to, or the first day of their month or year."""
+    day = F.to_date(F.date_trunc(span, F.timestamp_seconds("ts")))
     return changes.select("database", "type", "data", "old", "ts", "seq", "table", day.alias("day"))
 
 
-def write_bronze(changes: DataFrame, path: str, mode: str = "append", by: tuple[str, ...] = PARTITIONS) -> None:
-    """Store a batch of changes by (table, day), or by table only where days hold little.
+def write_bronze(
+    changes: DataFrame, path: str, mode: str = "append", by: tuple[str, ...] = PARTITIONS, span: str = "day"
+) -> None:
+    """Store a batch of changes by (table, day), or by table only; by month or year, with ``span``, where days hold little.
 
     The rebalance hint gathers each partition into few files and splits the
     partitions of a busy table over many tasks.
     """
-    bronze_rows(changes).hint("rebalance", *by).write.mode(mode).partitionBy(*by).parquet(path)
+    bronze_rows(changes, span).hint("rebalance", *by).write.mode(mode).partitionBy(*by).parquet(path)
 
 
 def gathered(changes: DataFrame, salts: int = STREAM_SALTS) -> DataFrame:
@@ -38,7 +42,7 @@ def read_bronze(
 ) -> DataFrame:
     """Stored changes; a filter on ``table`` or ``day`` prunes partitions. ``options`` go to the reader.
 
-    With ``day`` the source is that day's files of all tables.
+    With ``day`` the source is that day's files of all tables; ``NO_DAY`` names the changes without time.
     """
     reader = (spark.readStream if streaming else spark.read).options(**options)
     if day:
@@ -47,6 +51,6 @@ def read_bronze(
 
 
 def bronze_days(spark: SparkSession, path: str) -> list[str]:
-    """The days that bronze holds, in order; only partition names are read."""
-    rows = spark.read.schema(CHANGE_DDL + ", day date").parquet(path).select("day").distinct().where("day is not null")
-    return sorted(str(r.day) for r in rows.toLocalIterator())
+    """The days that bronze holds, in order; only partition names are read. Changes without time, if any, come last."""
+    rows = spark.read.schema(CHANGE_DDL + ", day date").parquet(path).select("day").distinct()
+    return sorted((str(r.day) if r.day else NO_DAY for r in rows.toLocalIterator()), key=lambda day: (day == NO_DAY, day))

@@ -10,19 +10,22 @@ from collections.abc import Callable
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidemart import constants as C
+from tidemart.operators.changes import Changes
 from tidemart.operators.merge import newest_rows
 from tidemart.operators.routing import fact_messages, route_dimensions, route_facts
 from tidemart.operators.split import log_messages, split_records
 from tidemart.operators.visitors import ARRIVAL
-from tidemart.plans import facts
+from tidemart.plans import facts, updates
 from tidemart.sinks.keyed import DimensionStore, MergedTable, keyless
 from tidemart.sinks.messages import FileSink, KafkaSink, fact_values, keyed_fact_values
 from tidemart.sources.bronze import PARTITIONS, bronze_days, gathered
 from tidemart.sources.config import config_changes
 from tidemart.sources.topics import parse_behaviour, parse_changes, with_document
+from tidemart.streaming.keyed_join import JOINED, MAIN
 from tidemart.streaming.visitors import correct_visitors_stream
 
 Sink = FileSink | KafkaSink
@@ -35,6 +38,7 @@ TOPICS = {
     "page": C.TOPIC_TRAFFIC_PAGE,
 }
 REJECTED = "rejected"
+LEFT_OVER = "left_over"
 STREAM_SALTS = 4
 
 
@@ -56,8 +60,9 @@ class Run:
     every: str | None = C.TRIGGER
     one_log: bool = False
 
-    def over_one_log(self) -> "Run":
-        return replace(self, one_log=True)
+    def over_one_log(self, changes: Changes) -> "Run":
+        """For slices of one stream; tables that are streams of their own keep to the slowest, which ticks move on."""
+        return replace(self, one_log=isinstance(changes, DataFrame))
 
     def start(self, df: DataFrame, handle: Callable[[DataFrame, str], None]) -> StreamingQuery:
         """Run ``handle(batch, run)`` per micro-batch.
@@ -111,6 +116,18 @@ def catch_up(spark: SparkSession, bronze: str, start: Callable[[str], StreamingQ
         start(day).awaitTermination()
 
 
+def drain(query: StreamingQuery) -> None:
+    """Let a query over a source that goes on step by step do all there is, then stop it.
+
+    ``availableNow`` asks a source for its end once and takes everything in one micro-batch; this takes one step
+    after the other. Give the query a short trigger.
+    """
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+
+
 def start_change_rejects(lines: DataFrame, sink: Sink, run: Run) -> StreamingQuery:
     """Put aside change-log lines that do not parse."""
     _, rejected = parse_changes(lines)
@@ -143,7 +160,7 @@ def _start_fact(df: DataFrame, topic: str, sink: Sink, run: Run, finish=lambda b
 
 
 def start_comment(
-    changes: DataFrame, dictionary: Loader, sink: Sink, run: Run, database: str = C.DATABASE
+    changes: Changes, dictionary: Loader, sink: Sink, run: Run, database: str = C.DATABASE
 ) -> StreamingQuery:
     """J2."""
     return _start_fact(
@@ -152,21 +169,63 @@ def start_comment(
     )
 
 
-def start_cart_add(changes: DataFrame, sink: Sink, run: Run, database: str = C.DATABASE) -> StreamingQuery:
+def start_cart_add(changes: Changes, sink: Sink, run: Run, database: str = C.DATABASE) -> StreamingQuery:
     """J3."""
     return _start_fact(facts.cart_add(changes, database), C.TOPIC_CART_ADD, sink, run)
 
 
 def start_order_detail(
-    changes: DataFrame, path: str, run: Run, database: str = C.DATABASE, bound: str = C.BOUND_ORDER_DETAIL,
+    changes: Changes, path: str, run: Run, database: str = C.DATABASE, bound: str = C.BOUND_ORDER_DETAIL,
+    salts: int = STREAM_SALTS, span: str | None = None,
+) -> StreamingQuery:
+    """J4, appended as final rows to a folder that J5 and J6 read.
+
+    With ``span`` (day, month or year) the folder is partitioned by it, and can be read in the order of time.
+    """
+    details = facts.order_detail(changes, database, bound, salts)
+    run = run.over_one_log(changes)
+    if span is None:
+        return run.start_files(details, path)
+    day = F.to_date(F.date_trunc(span, F.timestamp_seconds("ts")))
+    return run.start_files(details.withColumn("day", day), path, partition_by=("day",))
+
+
+def start_order_detail_updating(
+    changes: Changes, target: MergedTable, run: Run, database: str = C.DATABASE, bound: int = C.SECONDS_ORDER_DETAIL,
     salts: int = STREAM_SALTS,
 ) -> StreamingQuery:
-    """J4, appended as final rows to a folder that J5 and J6 read."""
-    return run.over_one_log().start_files(facts.order_detail(changes, database, bound, salts), path)
+    """J4 with early rows: a detail appears as soon as its order is there, and anew with its activity and its coupon.
+
+    The table keeps the newest version of each detail.
+    """
+
+    def handle(batch: DataFrame, name: str) -> None:
+        target.create(batch.sparkSession)
+        target.write(newest_rows(batch, ["id"], ["ts", "version"]), name)
+
+    return run.over_one_log(changes).start(updates.order_detail_versions(changes, database, bound, salts), handle)
+
+
+def start_order_cancel_complete(
+    details: DataFrame, changes: Changes, sink: Sink, run: Run, database: str = C.DATABASE,
+    bound: int = C.SECONDS_ORDER_CANCEL, salts: int = STREAM_SALTS,
+) -> StreamingQuery:
+    """J5 with everything that did not join: late rows, and details whose order was not cancelled in time, to ``LEFT_OVER``."""
+
+    def handle(batch: DataFrame, name: str) -> None:
+        batch = batch.persist()
+        try:
+            sink.write(fact_values(updates.cancelled(batch)), C.TOPIC_ORDER_CANCEL, name)
+            left = batch.where(F.col("kind") != JOINED).select("kind", F.coalesce("side", F.lit(MAIN)).alias("side"), F.to_json(MAIN).alias("detail"), F.to_json("cancel").alias("cancel"))
+            sink.write(fact_values(left), LEFT_OVER, name)
+        finally:
+            batch.unpersist()
+
+    return run.start(updates.cancellations(details, changes, database, bound, salts), handle)
 
 
 def start_order_detail_upsert(
-    changes: DataFrame, target: MergedTable | KafkaSink, run: Run, database: str = C.DATABASE,
+    changes: Changes, target: MergedTable | KafkaSink, run: Run, database: str = C.DATABASE,
     bound: str = C.BOUND_ORDER_DETAIL, salts: int = STREAM_SALTS,
 ) -> StreamingQuery:
     """J4, keyed by detail id: the newest row per id counts."""
@@ -179,11 +238,11 @@ def start_order_detail_upsert(
             target.create(batch.sparkSession)
             target.write(newest, name)
 
-    return run.over_one_log().start(facts.order_detail(changes, database, bound, salts), handle)
+    return run.over_one_log(changes).start(facts.order_detail(changes, database, bound, salts), handle)
 
 
 def start_order_cancel(
-    details: DataFrame, changes: DataFrame, sink: Sink, run: Run, database: str = C.DATABASE,
+    details: DataFrame, changes: Changes, sink: Sink, run: Run, database: str = C.DATABASE,
     bound: str = C.BOUND_ORDER_CANCEL, salts: int = STREAM_SALTS,
 ) -> StreamingQuery:
     """J5."""
@@ -192,7 +251,7 @@ def start_order_cancel(
 
 
 def start_payment_success(
-    details: DataFrame, changes: DataFrame, dictionary: Loader, sink: Sink, run: Run, database: str = C.DATABASE,
+    details: DataFrame, changes: Changes, dictionary: Loader, sink: Sink, run: Run, database: str = C.DATABASE,
     before: int = C.PAYMENT_WINDOW_BEFORE, after: int = C.PAYMENT_WINDOW_AFTER, salts: int = STREAM_SALTS,
 ) -> StreamingQuery:
     """J6."""
@@ -203,23 +262,23 @@ def start_payment_success(
 
 
 def start_order_refund(
-    changes: DataFrame, dictionary: Loader, sink: Sink, run: Run, database: str = C.DATABASE,
+    changes: Changes, dictionary: Loader, sink: Sink, run: Run, database: str = C.DATABASE,
     bound: str = C.BOUND_ORDER_REFUND, salts: int = STREAM_SALTS,
 ) -> StreamingQuery:
     """J7."""
     return _start_fact(
-        facts.requested_refunds(changes, database, bound, salts), C.TOPIC_ORDER_REFUND, sink, run.over_one_log(),
+        facts.requested_refunds(changes, database, bound, salts), C.TOPIC_ORDER_REFUND, sink, run.over_one_log(changes),
         lambda batch: facts.name_refunds(batch, dictionary(batch.sparkSession)),
     )
 
 
 def start_refund_payment(
-    changes: DataFrame, dictionary: Loader, sink: Sink, run: Run, database: str = C.DATABASE,
+    changes: Changes, dictionary: Loader, sink: Sink, run: Run, database: str = C.DATABASE,
     bound: str = C.BOUND_REFUND_PAYMENT, salts: int = STREAM_SALTS,
 ) -> StreamingQuery:
     """J8."""
     return _start_fact(
-        facts.paid_refunds(changes, database, bound, salts), C.TOPIC_REFUND_PAYMENT, sink, run.over_one_log(),
+        facts.paid_refunds(changes, database, bound, salts), C.TOPIC_REFUND_PAYMENT, sink, run.over_one_log(changes),
         lambda batch: facts.name_paid_refunds(batch, dictionary(batch.sparkSession)),
     )
 
