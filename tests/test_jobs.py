@@ -11,7 +11,7 @@ from tidemart.sources.topics import parse_facts
 
 def test_every_job_has_an_entry():
     assert set(jobs.JOBS) == {
-        "bronze", "change_rejects", "dimensions", "dimension_tables", "log_split", "log_rejects", "comment", "cart_add", "order_detail",
+        "bronze", "change_rejects", "dimensions", "routes", "dimension_tables", "log_split", "log_rejects", "comment", "cart_add", "order_detail",
         "order_detail_updating", "order_cancel", "order_cancel_complete", "payment_success", "order_refund", "refund_payment", "fact_router",
     }
 
@@ -89,6 +89,10 @@ def test_chain(spark, tmp_path):
     run("payment_success", log, "--out", f"{base}/facts", "--details", f"{base}/details", *dims)
     run("cart_add", log, "--out", f"{base}/facts")
     run("fact_router", log, "--out", f"{base}/routed", *routes)
+    kept = ["--routes-table", "default.cli_routes"]
+    run("routes", changed, "--config", conf, "--config-format", "json", "--rejects", f"{base}/rejects", *kept)
+    jobs.main(["fact_router", "--source", log, "--format", "text", "--checkpoint", f"{base}/ck/kept", "--once", "--out", f"{base}/routed_kept", *kept])
+    assert bag(spark.read.text(f"{base}/routed_kept").select("topic", "value")) == bag(spark.read.text(f"{base}/routed").select("topic", "value"))
 
     assert spark.read.parquet(f"{base}/details").count() == 5
     paid = parse_facts(spark.read.text(f"{base}/facts/{C.TOPIC_PAYMENT_SUCCESS}"), "payment_success")

@@ -425,6 +425,34 @@ def log_lines(tables: Tables) -> DataFrame:
     return union([good, broken, keyless])
 
 
+def odd_log_lines(tables: Tables) -> DataFrame:
+    """Events as behaviour-log lines with elements of lists, or values in their place, that are no objects."""
+    return tables("events").selectExpr(
+        """concat('{"common":{"mid":"m', user_id, '"},"ts":', event_id, ',"displays":[{"item":1},"x",null,', event_id, ',[2]],"action":',
+            case when event_type = 'click' then '[{"item":1}]' when event_type = 'view' then '"none"' else 'null' end, '}') value""",
+        "event_id position",
+    )
+
+
+def odd_config_lines(tables: Tables) -> DataFrame:
+    """Config envelopes, and lines like them that are none."""
+    odd = tables("nation").selectExpr(
+        """case n_nationkey % 5 when 0 then concat('{"op":"c","after":{"source_table":"', n_name, '"') when 1 then concat('{"after":{"source_table":"', n_name, '"}}')
+            when 2 then concat('{"op":"d","after":{"source_table":"', n_name, '"}}') when 3 then concat('[', n_nationkey, ']')
+            else concat('{"op":"u","after":{"source_table":"', n_name, '"},"ts_ms":"soon"}') end value""",
+        "cast(null as bigint) position",
+    )
+    return config_envelopes(tables).unionByName(odd)
+
+
+def odd_cart_lines(tables: Tables) -> DataFrame:
+    """Cart facts as JSON lines, and lines that are none."""
+    return tables("events").selectExpr(
+        """case event_type when 'click' then concat('{"id":"', event_id, '","sku_num":3,"ts":5}') when 'view' then concat('{"id":"', event_id, '","ts":"x"}')
+            when 'error' then concat('{"id":', event_id) when 'signup' then concat('[', event_id, ']') else 'null' end value"""
+    )
+
+
 def change_lines(tables: Tables) -> DataFrame:
     """Cart changes as JSON lines, with broken lines among them."""
     carts = event_changes(tables, "cart_info").drop("et")

@@ -239,6 +239,26 @@ FROM visits JOIN firsts USING (mid)"""
 SELECT '{{"event":' || event_id || ',' AS value, 'not a JSON object' AS reason FROM events WHERE event_type = 'error'
 UNION ALL SELECT '{{"ts":' || {_MILLIS.format('ts')} || ',"event":' || event_id || '}}', 'no device id'
 FROM events WHERE event_type = 'signup'"""
+    shown = {"start": "signup purchase", "display": "view purchase", "action": "click purchase", "err": "error purchase", "page": "view click error purchase"}
+    positions = {"display": ", unnest(range(k % 3 + 1)) AS positions(pos)"}
+    log_outputs = " UNION ALL ".join(
+        f"SELECT * FROM ({_log('found', f'{chr(39)}{name}{chr(39)} AS output, mid, is_new, count(*) AS n', kinds, positions.get(name, '') + ' GROUP BY mid, is_new')})"
+        for name, kinds in shown.items()
+    )
+    element_quarantine = """
+SELECT 'm' || user_id AS mid, event_id AS ts, 'displays' AS key, unnest(['"x"', 'null', CAST(event_id AS VARCHAR), '[2]']) AS value FROM events
+UNION ALL SELECT 'm' || user_id, event_id, 'action', '"none"' FROM events WHERE event_type = 'view'"""
+    config_quarantine = """
+SELECT CASE n_nationkey % 5 WHEN 0 THEN '{"op":"c","after":{"source_table":"' || n_name || '"' WHEN 1 THEN '{"after":{"source_table":"' || n_name || '"}}'
+    WHEN 2 THEN '{"op":"d","after":{"source_table":"' || n_name || '"}}' WHEN 3 THEN '[' || n_nationkey || ']'
+    ELSE '{"op":"u","after":{"source_table":"' || n_name || '"},"ts_ms":"soon"}' END AS value
+FROM nation"""
+    fact_quarantine = """
+SELECT CASE WHEN event_type = 'click' THEN 'kept' ELSE 'rejected' END AS kind,
+    CASE event_type WHEN 'click' THEN CAST(event_id AS VARCHAR) WHEN 'view' THEN '{"id":"' || event_id || '","ts":"x"}'
+        WHEN 'error' THEN '{"id":' || event_id WHEN 'signup' THEN '[' || event_id || ']' ELSE 'null' END AS value
+FROM events"""
+    config_handover = f"SELECT * FROM ({config_state}) WHERE source_table IN (SELECT n_name FROM nation)"
     date_ids = f"""
 SELECT event_id, {_DAY.format('ts')} AS "day", {_TEXT_TIME.format('ts')} AS "text",
     {_SECONDS.format('ts')} * 1000 - 28800000 AS millis, {_TEXT_TIME.format('ts')} AS event_time,
@@ -298,6 +318,13 @@ FROM events"""
         "new_visitor new_visitor_same_day dim_customer fact_route"
     )
     sql |= {
+        "log_outputs": log_outputs,
+        "stream_log_outputs": log_outputs,
+        "element_quarantine": element_quarantine,
+        "config_quarantine": config_quarantine,
+        "fact_quarantine": fact_quarantine,
+        "config_handover": config_handover,
+        "stream_config_state": config_state,
         "stream_order_detail_backlog": placed,
         "stream_order_detail_updating": placed,
         "stream_order_cancel": placed_cancel,

@@ -13,14 +13,15 @@ from tidemart.operators import changes as ops
 from tidemart.operators.merge import dimension_table, live_rows, merge_changes, newest_rows
 from tidemart.operators.routing import current_config, route_dimensions
 from tidemart.operators.split import (
-    ACTION, DISPLAY, ERR, PAGE, START, log_messages,
+    ACTION, DISPLAY, ERR, PAGE, START, log_messages, rejected_elements,
 )
 from tidemart.operators.visitors import ARRIVAL, SAME_DAY, correct_visitors
 from tidemart.plans import facts, routing, traffic
 from tidemart.session import configure
 from tidemart.sinks.messages import fact_values
-from tidemart.sources.config import config_changes
-from tidemart.sources.topics import parse_behaviour, parse_changes, parse_facts, with_event_time
+from tidemart.sinks.routes import as_of
+from tidemart.sources.config import config_changes, config_rejects
+from tidemart.sources.topics import parse_behaviour, parse_changes, parse_facts, split_facts, with_event_time
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -220,6 +221,49 @@ def log_page(tables):
     return log_output(tables, PAGE, paths, ["displays", "action", "err"])
 
 
+def output_counts(written: DataFrame) -> DataFrame:
+    """How many messages each device has in each output, new and not."""
+    device = F.coalesce(F.get_json_object("value", "$.common.mid"), F.get_json_object("value", "$.mid"))
+    is_new = F.coalesce(F.get_json_object("value", "$.common.is_new"), F.get_json_object("value", "$.is_new"))
+    return written.groupBy("output", device.alias("mid"), is_new.alias("is_new")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def log_outputs(tables):
+    """All five outputs from one pass."""
+    return output_counts(log_messages(traffic.tagged_log(star.log_lines(tables))))
+
+
+@query
+def element_quarantine(tables):
+    """List elements that are no objects, and values that are no lists."""
+    records, _ = parse_behaviour(star.odd_log_lines(tables))
+    return rejected_elements(records)
+
+
+@query
+def config_quarantine(tables):
+    """Config lines that are no changes."""
+    return config_rejects(star.odd_config_lines(tables))
+
+
+@query
+def fact_quarantine(tables):
+    """Lines of a fact topic that are no such facts, beside those that are, counted."""
+    facts_of, rejected = split_facts(star.odd_cart_lines(tables), "cart_add")
+    kept = facts_of.selectExpr("'kept' as kind", "id as value")
+    return kept.unionByName(rejected.selectExpr("'rejected' as kind", "value"))
+
+
+@query
+def config_handover(tables):
+    """Routes from a snapshot read in mid-log and the changes from the position noted before it was read."""
+    changes = config_changes(star.config_envelopes(tables))
+    snapshot = current_config(changes.where("ts_ms <= 2"), "dim")
+    log = changes.where("ts_ms > 1")
+    return current_config(log.unionByName(as_of(snapshot, 1, 1)), "dim")
+
+
 @query
 def log_quarantine(tables):
     _, rejected = parse_behaviour(star.log_lines(tables))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tidemart import constants as C
 from tidemart.adapters import star_schema as star
 from tidemart.adapters.star_schema import Tables
-from tidemart.checks.registry import COMMON_PATHS, FLAT_PATHS, log_fields, query
+from tidemart.checks.registry import COMMON_PATHS, FLAT_PATHS, log_fields, output_counts, query
 from tidemart.operators.split import ACTION, DISPLAY, PAGE
 from tidemart.operators.visitors import ARRIVAL, SAME_DAY
 from tidemart.plans import facts
@@ -21,9 +21,10 @@ from tidemart.schemas import FACT_COLUMNS, fact_schema
 from tidemart.session import shared_dir
 from tidemart.sinks.keyed import DimensionStore, newest_fact_table
 from tidemart.sinks.messages import FileSink
+from tidemart.sinks.routes import RouteStore
 from tidemart.sources.bronze import read_bronze, write_bronze
 from tidemart.sources.log_order import LogTables, in_order
-from tidemart.sources.topics import parse_facts, with_event_time
+from tidemart.sources.topics import parse_facts, read_lines, with_event_time
 from tidemart.streaming import jobs
 from tidemart.streaming.jobs import Run
 from tidemart.streaming.visitors import correct_visitors_stream
@@ -235,6 +236,28 @@ def stream_log_action(tables):
     return log_fields(_split(tables).lines(C.TOPIC_TRAFFIC_ACTION), {**FLAT_PATHS, "action_id": "$.action_id"})
 
 
+@stream_query
+def stream_log_outputs(tables):
+    """All five outputs of a stream that writes them together, read from its committed runs."""
+    work = Workspace(tables)
+    jobs.start_log_split(star.log_lines(tables), work.sink, work.run, together=True).awaitTermination()
+    parts = [work.sink.committed(work.spark, topic).withColumn("output", F.lit(name)) for name, topic in jobs.TOPICS.items()]
+    return output_counts(star.union(parts))
+
+
+@stream_query
+def stream_config_state(tables):
+    """Routes kept by a stream over several micro-batches of envelopes, after a snapshot."""
+    work = Workspace(tables)
+    store = RouteStore(f"default.routes_{work.name}")
+    store.begin(star.config_start(work.batch))
+    lines = star.config_envelopes(work.batch).withColumn("part", F.get_json_object("value", "$.ts_ms")).coalesce(1)
+    lines.select("value", "part").write.partitionBy("part").text(f"{work.folder}/envelopes")
+    envelopes = read_lines(work.spark, f"{work.folder}/envelopes", "text", maxFilesPerTrigger="1")
+    jobs.start_routes(envelopes, store, work.run, FileSink(f"{work.folder}/rejects")).awaitTermination()
+    return store.routes(work.spark, C.SINK_DIM)
+
+
 def _visits(tables: Tables, mode: str) -> DataFrame:
     work = Workspace(tables)
     visits = star.visits(tables).withColumn("value", F.lit(None).cast("string"))

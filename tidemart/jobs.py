@@ -19,6 +19,7 @@ from tidemart.schemas import fact_schema
 from tidemart.session import build_session
 from tidemart.sinks.keyed import DimensionStore, newest_fact_table
 from tidemart.sinks.messages import FileSink, KafkaSink
+from tidemart.sinks.routes import RouteStore
 from tidemart.sources.bronze import read_bronze
 from tidemart.sources.config import config_changes, config_snapshot
 from tidemart.sources.dictionary import file_dictionary, read_dictionary
@@ -76,14 +77,23 @@ class Inputs:
     def sink(self):
         return KafkaSink(_pairs(self.args.write)) if self.args.out == "kafka" else FileSink(self.args.out)
 
+    def rejects(self) -> FileSink | None:
+        return FileSink(self.args.rejects) if self.args.rejects else None
+
+    def log_options(self) -> dict:
+        chosen = {"drop_displays": self.args.drop_displays, "action_key": self.args.action_key}
+        return {name: value for name, value in chosen.items() if value}
+
     def dictionary(self, spark: SparkSession) -> DataFrame:
         if self.args.dictionary:
             return file_dictionary(spark, self.args.dictionary)
         return read_dictionary(spark, self.store)
 
     def config(self, sink_type: str) -> Callable[[SparkSession], DataFrame]:
-        """Routes in force, from a snapshot and the envelopes that followed it."""
+        """Routes in force: from the table that the routes job keeps, or from a snapshot and the envelopes that followed it."""
         args = self.args
+        if args.routes_table:
+            return lambda spark: RouteStore(args.routes_table).routes(spark, sink_type)
 
         def load(spark: SparkSession) -> DataFrame:
             start = config_snapshot(spark, sink_type, args.config_format, args.config, **_pairs(args.config_read))
@@ -109,14 +119,28 @@ def _order_detail_updating(i: Inputs) -> StreamingQuery:
     return jobs.start_order_detail_updating(i.changes(), table, i.run, i.args.database, **i.joining("salts"))
 
 
+def _routes(i: Inputs) -> StreamingQuery:
+    """Keeps the routes; the first start takes up a snapshot, as of the log position on the command line, if one is given."""
+    store = RouteStore(i.args.routes_table)
+    if i.args.config and not i.spark.catalog.tableExists(store.name):
+        rows = [
+            config_snapshot(i.spark, kind, i.args.config_format, i.args.config, **_pairs(i.args.config_read)) for kind in (C.SINK_DIM, C.SINK_FACT)
+        ]
+        store.begin(rows[0].unionByName(rows[1]), i.args.snapshot_at)
+    return jobs.start_routes(i.lines(), store, i.run, i.rejects())
+
+
 JOBS: dict[str, Callable[[Inputs], StreamingQuery]] = {
     "bronze": lambda i: jobs.start_bronze(i.lines(), i.args.out, i.run),
     "change_rejects": lambda i: jobs.start_change_rejects(i.lines(), i.sink(), i.run),
     "dimensions": lambda i: jobs.start_dimensions(
-        i.changes(), i.config(C.SINK_DIM), i.store, i.run, i.args.database, FileSink(i.args.rejects) if i.args.rejects else None
+        i.changes(), i.config(C.SINK_DIM), i.store, i.run, i.args.database, i.rejects()
     ),
+    "routes": _routes,
     "dimension_tables": lambda i: jobs.start_dimension_tables(i.lines(), i.store, i.run),
-    "log_split": lambda i: jobs.start_log_split(i.lines(), i.sink(), i.run, i.args.mode),
+    "log_split": lambda i: jobs.start_log_split(
+        i.lines(), i.sink(), i.run, i.args.mode, i.rejects(), i.args.together, **i.log_options()
+    ),
     "log_rejects": lambda i: jobs.start_log_rejects(i.lines(), i.sink(), i.run),
     "comment": lambda i: jobs.start_comment(i.changes(), i.dictionary, i.sink(), i.run, i.args.database),
     "cart_add": lambda i: jobs.start_cart_add(i.changes(), i.sink(), i.run, i.args.database),
@@ -150,7 +174,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--read", action="append", default=[], metavar="KEY=VALUE", help="reader option")
     p.add_argument("--out", default="kafka", help="folder, or kafka")
     p.add_argument("--write", action="append", default=[], metavar="KEY=VALUE", help="Kafka writer option")
-    p.add_argument("--rejects", help="folder for dimension changes that name no row")
+    p.add_argument("--rejects", help="folder for dimension changes that name no row, config lines that are no changes, odd list elements")
     p.add_argument("--checkpoint")
     p.add_argument("--every", default=C.TRIGGER, help="trigger interval")
     p.add_argument("--once", action="store_true", help="process what is there and stop")
@@ -175,6 +199,11 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--config-format", default="jdbc")
     p.add_argument("--config-read", action="append", default=[], metavar="KEY=VALUE")
     p.add_argument("--config-changes", help="folder of config change envelopes")
+    p.add_argument("--routes-table", help="catalog table that the routes job keeps and the routers read")
+    p.add_argument("--snapshot-at", type=int, help="time of the config log, in milliseconds, noted before the snapshot is read")
+    p.add_argument("--together", action="store_true", help="write the outputs of the log in one pass, all of a micro-batch or none")
+    p.add_argument("--drop-displays", action="store_true", help="leave displays out of start, page and error records")
+    p.add_argument("--action-key", help="key of a log record's actions")
     p.add_argument("--mode", default=ARRIVAL, choices=[ARRIVAL, SAME_DAY], help="when a visitor stops being new")
     return p
 

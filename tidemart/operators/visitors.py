@@ -36,14 +36,19 @@ def correct_visitors(records: DataFrame, mode: str = ARRIVAL) -> DataFrame:
         same = day_of_millis(F.col("ts")) == F.col("_day")
     else:
         raise ValueError(f"unknown mode {mode!r}")
-    claimed = records.where(claims).join(news, (F.col("mid") == F.col("_mid")) & same, "left")
-    new = F.col("_mid").isNotNull()
-    if mode == ARRIVAL:
-        # A window over repeats only: a busy device's records have windows of their own.
-        repeats = Window.partitionBy("mid", "ts", "seq").orderBy("is_new")
-        claimed = claimed.withColumn("_nth", F.row_number().over(repeats))
-        new = new & (F.col("_nth") == 1)
-    flag = F.when(new, "1").otherwise("0")
-    corrected = claimed.withColumn("is_new", flag).select(*records.columns)
+    first = (F.col("mid") == F.col("_mid")) & same
     unclaimed = records.where(~F.coalesce(claims, F.lit(False)))
-    return corrected.unionByName(unclaimed)
+    claimed = records.where(claims)
+    if mode == SAME_DAY:
+        flagged = claimed.join(news, first, "left").withColumn("is_new", F.when(F.col("_mid").isNotNull(), "1").otherwise("0"))
+        return flagged.select(*records.columns).unionByName(unclaimed)
+    # Devices whose first record stands several times: mostly none, and then adaptive execution drops their branch. Only key
+    # columns are shuffled to find them, and only their first records are numbered.
+    repeated = claimed.select("mid", "ts", "seq").join(news, first, "inner").groupBy("_mid").count().where("count > 1").select("_mid")
+    news = news.join(repeated.select(F.col("_mid").alias("_again")), F.col("_mid") == F.col("_again"), "left")
+    joined = claimed.join(news, first, "left").where("_again is null")
+    corrected = joined.withColumn("is_new", F.when(F.col("_mid").isNotNull(), "1").otherwise("0")).select(*records.columns)
+    several = claimed.join(news.where("_again is not null"), first, "inner")
+    nth = F.row_number().over(Window.partitionBy("mid").orderBy("ts", "seq"))
+    numbered = several.withColumn("_nth", nth).withColumn("is_new", F.when(F.col("_nth") == 1, "1").otherwise("0"))
+    return corrected.unionByName(numbered.select(*records.columns)).unionByName(unclaimed)

@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame
 
-from tidemart.operators.split import split_records
+from tidemart.operators.split import split_records, tagged_records
 from tidemart.operators.visitors import ARRIVAL, correct_visitors
 from tidemart.sources.topics import parse_behaviour
 
@@ -11,3 +11,9 @@ def split_log(lines: DataFrame, mode: str = ARRIVAL, **options) -> dict[str, Dat
     """The five typed outputs of a batch of log lines."""
     records, _ = parse_behaviour(lines)
     return split_records(correct_visitors(records.drop("value"), mode), **options)
+
+
+def tagged_log(lines: DataFrame, mode: str = ARRIVAL, **options) -> DataFrame:
+    """The same outputs tagged, in one pass over the corrected records: for one write partitioned by output."""
+    records, _ = parse_behaviour(lines)
+    return tagged_records(correct_visitors(records.drop("value"), mode), **options)

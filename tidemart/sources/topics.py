@@ -96,9 +96,20 @@ def parse_behaviour(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     return read.where(usable), read.where(~usable).select("value", reason.alias("reason"))
 
 
+def split_facts(lines: DataFrame, fact: str) -> tuple[DataFrame, DataFrame]:
+    """Rows of a fact topic, read back from JSON lines, and lines that are none."""
+    schema = fact_schema(fact).add("_bad", "string")
+    document = F.from_json("value", schema, {"columnNameOfCorruptRecord": "_bad"})
+    # The explode keeps filters from being pushed under the parser, as above.
+    read = lines.select("value", F.explode(F.array(document)).alias("r"))
+    # Plain JSON null, or no line at all, reads as no object.
+    readable = F.col("r").isNotNull() & F.col("r._bad").isNull() & F.coalesce(F.trim("value").startswith("{"), F.lit(False))
+    return read.where(readable).select("r.*").drop("_bad"), read.where(~readable).select("value")
+
+
 def parse_facts(lines: DataFrame, fact: str) -> DataFrame:
     """Rows of a fact topic, read back from JSON lines."""
-    return lines.select(F.from_json("value", fact_schema(fact)).alias("r")).where("r is not null").select("r.*")
+    return split_facts(lines, fact)[0]
 
 
 def read_fact_lines(lines: DataFrame, fact: str, delay: str = WATERMARK) -> DataFrame:

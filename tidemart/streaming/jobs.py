@@ -17,14 +17,15 @@ from tidemart import constants as C
 from tidemart.operators.changes import Changes
 from tidemart.operators.merge import newest_rows
 from tidemart.operators.routing import fact_messages, route_dimensions, route_facts
-from tidemart.operators.split import log_messages, split_records
+from tidemart.operators.split import log_messages, rejected_elements, split_records, tagged_records
 from tidemart.operators.visitors import ARRIVAL
 from tidemart.plans import facts, updates
 from tidemart.sinks.keyed import DimensionStore, MergedTable, keyless
 from tidemart.sinks.messages import FileSink, KafkaSink, fact_values, keyed_fact_values
 from tidemart.sources.bronze import PARTITIONS, bronze_days, gathered
-from tidemart.sources.config import config_changes
-from tidemart.sources.topics import parse_behaviour, parse_changes, with_document
+from tidemart.sinks.routes import RouteStore
+from tidemart.sources.config import config_changes, config_rejects, table_changes
+from tidemart.sources.topics import parse_behaviour, parse_changes, split_facts, with_document
 from tidemart.streaming.keyed_join import JOINED, MAIN
 from tidemart.streaming.visitors import correct_visitors_stream
 
@@ -134,15 +135,28 @@ def start_change_rejects(lines: DataFrame, sink: Sink, run: Run) -> StreamingQue
     return run.start(rejected, lambda batch, name: sink.write(batch, REJECTED, name))
 
 
-def start_log_split(lines: DataFrame, sink: Sink, run: Run, mode: str = ARRIVAL, **options) -> StreamingQuery:
-    """Correct new visitors and write the five outputs of each micro-batch."""
+def start_log_split(
+    lines: DataFrame, sink: Sink, run: Run, mode: str = ARRIVAL, rejects: Sink | None = None, together: bool = False, **options
+) -> StreamingQuery:
+    """Correct new visitors and write the five outputs of each micro-batch (J1); list elements that are no objects go to ``rejects``.
+
+    ``together`` writes them in one pass and one write, each row to its own topic; file readers that follow
+    ``FileSink.committed`` then see all outputs of a micro-batch or none.
+    """
     records, _ = parse_behaviour(lines)
 
     def handle(batch: DataFrame, name: str) -> None:
         parsed = with_document(batch).drop("value").persist()
         try:
-            for output, rows in split_records(parsed, **options).items():
-                sink.write(log_messages(rows), TOPICS[output], name)
+            if together:
+                tagged = log_messages(tagged_records(parsed, **options))
+                sink.write_by_topic(tagged.replace(TOPICS, subset=["output"]).withColumnRenamed("output", "topic"), name)
+            else:
+                for output, rows in split_records(parsed, **options).items():
+                    sink.write(log_messages(rows), TOPICS[output], name)
+            if rejects is not None:
+                keys = {"action_key": options["action_key"]} if "action_key" in options else {}
+                rejects.write(rejected_elements(parsed, **keys), REJECTED, name)
         finally:
             parsed.unpersist()
 
@@ -302,23 +316,43 @@ def start_dimensions(
     """Merge routed changes into the dimension store; those that name no row go to ``rejects``."""
 
     def handle(batch: DataFrame, name: str) -> None:
-        batch = batch.persist()
+        batch = route_dimensions(batch, config(batch.sparkSession), database).persist()
         try:
-            routed = route_dimensions(batch, config(batch.sparkSession), database)
-            store.apply(routed, name)
+            store.apply(batch, name)
             if rejects is not None:
-                rejects.write(fact_values(keyless(routed)), REJECTED, name)
+                rejects.write(fact_values(keyless(batch)), REJECTED, name)
         finally:
             batch.unpersist()
 
     return run.start(changes, handle)
 
 
+def start_routes(config_lines: DataFrame, store: RouteStore, run: Run, rejects: Sink | None = None) -> StreamingQuery:
+    """Keep the routes in force as the config changes; lines that are no changes go to ``rejects``."""
+
+    def handle(batch: DataFrame, name: str) -> None:
+        batch = batch.persist()
+        try:
+            store.apply(config_changes(batch), name)
+            if rejects is not None:
+                rejects.write(config_rejects(batch), REJECTED, name)
+        finally:
+            batch.unpersist()
+
+    return run.start(config_lines, handle)
+
+
+def start_fact_rejects(lines: DataFrame, fact: str, sink: Sink, run: Run) -> StreamingQuery:
+    """Put aside lines of a fact topic that are no such facts."""
+    _, rejected = split_facts(lines, fact)
+    return run.start(rejected, lambda batch, name: sink.write(batch, REJECTED, name))
+
+
 def start_dimension_tables(config_lines: DataFrame, store: DimensionStore, run: Run) -> StreamingQuery:
     """Create and drop dimension tables as the config changes."""
 
     def handle(batch: DataFrame, name: str) -> None:
-        rows = config_changes(batch)
+        rows = table_changes(batch)
         store.follow_config(rows.where(rows.sink_type == C.SINK_DIM))
 
     return run.start(config_lines, handle)
