@@ -133,3 +133,61 @@ def test_one_pass_gives_what_five_passes_give(spark):
         for name, rows in five.items():
             own = tagged.where(f"output = '{name}'").drop("output")
             assert bag(own) == bag(log_messages(rows)), name
+
+
+def test_levels_keep_runs_few_and_look_ups_read_their_buckets(spark):
+    from tidemart.sinks.keyed import level_of
+
+    store = DimensionStore("dim_levels", buckets=4, fan=3)
+    ddl = "sink_table string, row_key string, op_type string, data map<string,string>, ts bigint, seq bigint"
+
+    def apply(n, *rows):
+        store.apply(spark.createDataFrame([("t", k, op, {"id": k, "v": v}, n, 0) for k, op, v in rows], ddl), f"r{n:03d}")
+
+    for n in range(11):
+        apply(n, (f"k{n}", "insert", str(n)), ("same", "update", str(n)))
+    table = store.table("t")
+    levels = [level_of(r) for r in table.runs(spark)]
+    assert max(levels) == 2 and len(levels) <= 2 + 1 + 2
+    apply(11, ("k1", "delete", None), ("same", "update", None))
+    apply(12, ("k1", "insert", None))
+    rows = {r.row_key: r.data for r in store.rows(spark, "t").collect()}
+    assert rows["same"] == {"id": "same", "v": "10"} and rows["k1"] == {"id": "k1"} and len(rows) == 12
+    found = store.lookup(spark, "t", ["k3", "none"])
+    assert [r.row_key for r in found.collect()] == ["k3"]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "bucket" in plan.split("PartitionFilters: ", 1)[1].split("PushedFilters")[0]
+    table.compact(spark)
+    states = {r.row_key: r for r in table.read(spark).collect()}
+    assert set(states["k1"].cells) == {"id"} and states["k1"].deleted_at.ts == 11
+    # A run that is written again after the compaction brings nothing back.
+    apply(1, ("k1", "insert", "1"), ("same", "update", "1"))
+    assert {r.row_key: r.data for r in store.rows(spark, "t").collect()} == rows
+
+
+def test_visitors_of_the_next_day_need_that_day_and_the_first_visits(spark):
+    import random
+
+    from tidemart.operators.visitors import ARRIVAL, SAME_DAY, VISITS_DDL, correct_next, correct_visitors, earliest_visits
+    from tidemart.sinks.keyed import MergedTable
+
+    rng = random.Random(4)
+    day = 86_400_000
+    rows = [(f"m{rng.randrange(12)}", rng.choice(["1", "1", "0", None]), d * day + rng.randrange(5) * 1_000, rng.randrange(3)) for d in range(4) for _ in range(25)]
+    rows += rows[:10]
+    records = spark.createDataFrame(rows, "mid string, is_new string, ts bigint, seq bigint")
+    for mode in (ARRIVAL, SAME_DAY):
+        table = MergedTable(f"default.first_visits_{mode}", VISITS_DDL, earliest_visits, "mid", 3)
+        table.create(spark)
+        found = []
+        for d in (0, 1, 1, 2, 3):
+            corrected, firsts = correct_next(records.where(f"ts div {day} = {d}"), table.read(spark), mode)
+            found = [*found, corrected.collect()] if d != 1 or len(found) < 2 else [*found[:-1], corrected.collect()]
+            table.write(firsts, f"d{d}")
+        assert sum(map(bag_of, found), start=bag_of([])) == bag(correct_visitors(records, mode))
+
+
+def bag_of(rows):
+    from collections import Counter
+
+    return Counter(map(tuple, rows))

@@ -318,6 +318,9 @@ FROM events"""
         "new_visitor new_visitor_same_day dim_customer fact_route"
     )
     sql |= {
+        "new_visitor_weekly": visitor,
+        "new_visitor_same_day_weekly": visitor_day,
+        "dim_compacted": _CUSTOMER,
         "log_outputs": log_outputs,
         "stream_log_outputs": log_outputs,
         "element_quarantine": element_quarantine,

@@ -1,5 +1,6 @@
 """Queries by name; each takes a session and a table folder."""
 
+import uuid
 from collections.abc import Callable
 from functools import wraps
 
@@ -15,9 +16,10 @@ from tidemart.operators.routing import current_config, route_dimensions
 from tidemart.operators.split import (
     ACTION, DISPLAY, ERR, PAGE, START, log_messages, rejected_elements,
 )
-from tidemart.operators.visitors import ARRIVAL, SAME_DAY, correct_visitors
+from tidemart.operators.visitors import ARRIVAL, SAME_DAY, VISITS_DDL, correct_next, correct_visitors, earliest_visits
 from tidemart.plans import facts, routing, traffic
-from tidemart.session import configure
+from tidemart.session import configure, shared_dir
+from tidemart.sinks.keyed import DimensionStore, MergedTable
 from tidemart.sinks.messages import fact_values
 from tidemart.sinks.routes import as_of
 from tidemart.sources.config import config_changes, config_rejects
@@ -176,6 +178,48 @@ def new_visitor_same_day(tables):
     return correct_visitors(star.visits(tables), SAME_DAY)
 
 
+def _by_week(tables: Tables, mode: str) -> DataFrame:
+    """Visits corrected week by week, with the first visits kept in a table."""
+    spark, name = tables.spark, uuid.uuid4().hex[:12]
+    folder = f"{shared_dir(spark)}/visits-{name}"
+    store = MergedTable(f"default.first_visits_{name}", VISITS_DDL, earliest_visits, "mid", 4)
+    store.create(spark)
+    week = F.date_trunc("week", F.timestamp_millis("ts")).cast("date")
+    star.visits(tables).withColumn("week", week).write.partitionBy("week").parquet(f"{folder}/log")
+    log = spark.read.parquet(f"{folder}/log")
+    for part in sorted(r.week for r in log.select("week").distinct().collect()):
+        corrected, firsts = correct_next(log.where(F.col("week") == F.lit(part)).drop("week"), store.read(spark), mode)
+        corrected.write.parquet(f"{folder}/out/week={part}")
+        store.write(firsts, str(part))
+        store.compact(spark, 4)
+    return spark.read.parquet(f"{folder}/out").drop("week")
+
+
+@query
+def new_visitor_weekly(tables):
+    return _by_week(tables, ARRIVAL)
+
+
+@query
+def new_visitor_same_day_weekly(tables):
+    return _by_week(tables, SAME_DAY)
+
+
+@query
+def dim_compacted(tables):
+    """The customer dimension after runs by time, compacted by levels on the way and wholly at the end."""
+    spark = tables.spark
+    store = DimensionStore(f"dim_{uuid.uuid4().hex[:12]}", buckets=4, fan=2)
+    routed = route_dimensions(star.dimension_log(tables), star.routing_config(spark))
+    for at in (300, 100, 200):
+        store.apply(routed.where(F.col("ts") == at), f"run-{at}")
+    table = store.table("dim_customer")
+    table.compact(spark)
+    dead = table.read(spark).where("exists(map_values(cells), c -> struct(c.ts, c.seq) < deleted_at)")
+    gone = F.lit(dead.count() == 0 and len(table.runs(spark)) == 1)
+    return store.read(spark, "dim_customer", ["id", "name", "acctbal", "segment"]).where(gone)
+
+
 def log_output(tables: Tables, output: str, paths: dict[str, str], absent: list[str] = ()) -> DataFrame:
     """Fields of one output, read from the JSON text that is written."""
     written = log_messages(traffic.split_log(star.log_lines(tables))[output])

@@ -24,8 +24,12 @@ def correct_visitors(records: DataFrame, mode: str = ARRIVAL) -> DataFrame:
     device and that record, or that day, so a busy device's records spread over
     the partitions. Records that do not claim to be new pass by the join.
     """
+    return _corrected(records, records.groupBy("mid").agg(F.min(F.struct("ts", "seq", "is_new")).alias("first")), mode)
+
+
+def _corrected(records: DataFrame, firsts: DataFrame, mode: str) -> DataFrame:
+    """Records judged by the ``first`` record of each device."""
     claims = F.col("is_new") == "1"
-    firsts = records.groupBy("mid").agg(F.min(F.struct("ts", "seq", "is_new")).alias("first"))
     # Where the first record claims nothing, the visit lies before all records.
     news = firsts.where(F.col("first.is_new") == "1")
     if mode == ARRIVAL:
@@ -52,3 +56,27 @@ def correct_visitors(records: DataFrame, mode: str = ARRIVAL) -> DataFrame:
     nth = F.row_number().over(Window.partitionBy("mid").orderBy("ts", "seq"))
     numbered = several.withColumn("_nth", nth).withColumn("is_new", F.when(F.col("_nth") == 1, "1").otherwise("0"))
     return corrected.unionByName(numbered.select(*records.columns)).unionByName(unclaimed)
+
+
+VISITS_DDL = "mid string, ts bigint, seq bigint, is_new string"
+
+
+def earliest_visits(rows: DataFrame) -> DataFrame:
+    """The first record of each device, as (mid, ts, seq, is_new)."""
+    firsts = rows.groupBy("mid").agg(F.min(F.struct("ts", "seq", "is_new")).alias("first"))
+    return firsts.select("mid", "first.ts", "first.seq", "first.is_new")
+
+
+def correct_next(records: DataFrame, known: DataFrame, mode: str = ARRIVAL) -> tuple[DataFrame, DataFrame]:
+    """Correct the next part of a log that is worked off in order, such as its next day.
+
+    ``known`` has the first record (mid, ts, seq, is_new) of every device before, and may already have those of this part. Returns
+    the corrected records and the first records of this part's devices, to be added to what is known. What is read is this part and
+    the key columns of ``known``; only devices of this part are looked up, and Spark may filter by them at run time.
+    """
+    here = earliest_visits(records)
+    before = known.select(F.col("mid").alias("_mid"), F.struct("ts", "seq", "is_new").alias("_known"))
+    firsts = here.join(before, F.col("mid") == F.col("_mid"), "left").select(
+        "mid", F.least(F.struct("ts", "seq", "is_new"), F.col("_known")).alias("first")
+    )
+    return _corrected(records, firsts, mode), here
