@@ -191,3 +191,34 @@ def bag_of(rows):
     from collections import Counter
 
     return Counter(map(tuple, rows))
+
+
+def test_a_stored_log_is_parsed_no_more_and_its_keys_are_read_alone(spark, tmp_path):
+    from tidemart.operators.visitors import VISITS_DDL
+    from tidemart.plans import traffic
+    from tidemart.sources.bronze import read_log, write_log
+    from tidemart.sources.topics import parse_behaviour
+
+    day = 86_400_000
+    lines = lines_df(spark, dumps([
+        {"common": {"mid": f"m{i % 4}", "is_new": "1", "n": 1.50}, "ts": i * day // 5, "page": {"p": i}, "displays": [{"item": i}], "x": None} for i in range(20)
+    ]))
+    path = str(tmp_path / "bronze")
+    write_log(parse_behaviour(lines)[0], path)
+    run = Run(str(tmp_path / "c"), None)
+    folder = write_files(tmp_path / "lines", [r.value for r in lines.collect()], 2)
+    jobs.start_log_bronze(read_lines(spark, folder, "text"), str(tmp_path / "streamed"), run).awaitTermination()
+    keys = ["mid", "is_new", "ts"]
+    assert bag(spark.read.parquet(str(tmp_path / "streamed")).select(*keys)) == bag(read_log(spark, path).select(*keys))
+    known = spark.createDataFrame([], VISITS_DDL)
+    tagged, firsts = traffic.tagged_day(read_log(spark, path, "1970-01-02"), known)
+    assert {r.mid for r in firsts.collect()} == {"m0", "m1", "m2", "m3"} and tagged.count() == 10
+    plan = tagged._jdf.queryExecution().executedPlan().toString()
+    assert "parse_json" not in plan and "PartitionFilters: [isnotnull(day" in plan
+    slim = firsts._jdf.queryExecution().executedPlan().toString()
+    assert "doc" not in slim.split("ReadSchema", 1)[1]
+    whole = traffic.tagged_log(lines)
+    both, _ = traffic.tagged_day(read_log(spark, path), known)
+    from tidemart.operators.split import log_messages
+
+    assert bag(log_messages(both)) == bag(log_messages(whole))

@@ -11,7 +11,7 @@ from tidemart.sources.topics import parse_facts
 
 def test_every_job_has_an_entry():
     assert set(jobs.JOBS) == {
-        "bronze", "change_rejects", "dimensions", "routes", "dimension_tables", "log_split", "log_rejects", "comment", "cart_add", "order_detail",
+        "bronze", "log_bronze", "change_rejects", "dimensions", "routes", "dimension_tables", "log_split", "log_rejects", "comment", "cart_add", "order_detail",
         "order_detail_updating", "order_cancel", "order_cancel_complete", "payment_success", "order_refund", "refund_payment", "fact_router",
     }
 

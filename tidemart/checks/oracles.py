@@ -323,6 +323,7 @@ FROM events"""
         "dim_compacted": _CUSTOMER,
         "log_outputs": log_outputs,
         "stream_log_outputs": log_outputs,
+        "log_outputs_daily": log_outputs,
         "element_quarantine": element_quarantine,
         "config_quarantine": config_quarantine,
         "fact_quarantine": fact_quarantine,

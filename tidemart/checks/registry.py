@@ -22,6 +22,7 @@ from tidemart.session import configure, shared_dir
 from tidemart.sinks.keyed import DimensionStore, MergedTable
 from tidemart.sinks.messages import fact_values
 from tidemart.sinks.routes import as_of
+from tidemart.sources.bronze import LOG_DDL, write_log
 from tidemart.sources.config import config_changes, config_rejects
 from tidemart.sources.topics import parse_behaviour, parse_changes, parse_facts, split_facts, with_event_time
 
@@ -278,6 +279,26 @@ def log_outputs(tables):
     return output_counts(log_messages(traffic.tagged_log(star.log_lines(tables))))
 
 
+@query
+def log_outputs_daily(tables):
+    """The log parsed once into bronze, then worked off week by week: each reads its days and the first visits, in one pass."""
+    spark, name = tables.spark, uuid.uuid4().hex[:12]
+    folder = f"{shared_dir(spark)}/log-{name}"
+    store = MergedTable(f"default.first_visits_{name}", VISITS_DDL, earliest_visits, "mid", 4)
+    store.create(spark)
+    records, _ = parse_behaviour(star.log_lines(tables))
+    write_log(records, f"{folder}/bronze")
+    days = [str(r.day) for r in spark.read.schema(LOG_DDL).parquet(f"{folder}/bronze").select("day").distinct().collect()]
+    weeks = sorted({day[:4] + day[5:7] + str((int(day[8:]) - 1) // 7) for day in days})
+    of_week = F.concat(F.date_format("day", "yyyyMM"), ((F.dayofmonth("day") - 1) / 7).cast("int").cast("string"))
+    for week in weeks:
+        part = spark.read.schema(LOG_DDL).parquet(f"{folder}/bronze").where(of_week == week).drop("day")
+        tagged, firsts = traffic.tagged_day(part, store.read(spark))
+        log_messages(tagged).write.partitionBy("output").parquet(f"{folder}/out/week={week}")
+        store.write(firsts, week)
+    return output_counts(spark.read.parquet(f"{folder}/out").select("output", "value"))
+
+
 @query
 def element_quarantine(tables):
     """List elements that are no objects, and values that are no lists."""

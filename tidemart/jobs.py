@@ -132,6 +132,7 @@ def _routes(i: Inputs) -> StreamingQuery:
 
 JOBS: dict[str, Callable[[Inputs], StreamingQuery]] = {
     "bronze": lambda i: jobs.start_bronze(i.lines(), i.args.out, i.run),
+    "log_bronze": lambda i: jobs.start_log_bronze(i.lines(), i.args.out, i.run),
     "change_rejects": lambda i: jobs.start_change_rejects(i.lines(), i.sink(), i.run),
     "dimensions": lambda i: jobs.start_dimensions(
         i.changes(), i.config(C.SINK_DIM), i.store, i.run, i.args.database, i.rejects()

@@ -11,6 +11,7 @@ from tidemart.sources.topics import with_event_time
 PARTITIONS = ("table", "day")
 # The partition of rows without a day.
 NO_DAY = "__HIVE_DEFAULT_PARTITION__"
+LOG_DDL = "mid string, is_new string, ts bigint, seq bigint, doc variant, day date"
 STREAM_SALTS = 8
 
 
@@ -54,3 +55,19 @@ def bronze_days(spark: SparkSession, path: str) -> list[str]:
     """The days that bronze holds, in order; only partition names are read. Changes without time, if any, come last."""
     rows = spark.read.schema(CHANGE_DDL + ", day date").parquet(path).select("day").distinct()
     return sorted((str(r.day) if r.day else NO_DAY for r in rows.toLocalIterator()), key=lambda day: (day == NO_DAY, day))
+
+
+def log_rows(records: DataFrame) -> DataFrame:
+    """Parsed behaviour records with the day they belong to: key columns of their own, the whole object as a variant."""
+    return records.select("mid", "is_new", "ts", "seq", "doc", F.to_date(F.timestamp_millis("ts")).alias("day"))
+
+
+def write_log(records: DataFrame, path: str, mode: str = "append") -> None:
+    """Store parsed behaviour records by day. What is read of them later is parsed no more, and only key columns unless more is asked."""
+    log_rows(records).hint("rebalance", "day").write.mode(mode).partitionBy("day").parquet(path)
+
+
+def read_log(spark: SparkSession, path: str, day: str | None = None) -> DataFrame:
+    """Stored behaviour records, of one day if it is given."""
+    rows = spark.read.schema(LOG_DDL).parquet(path)
+    return (rows if day is None else rows.where(F.col("day") == F.lit(day).cast("date"))).drop("day")

@@ -22,7 +22,7 @@ from tidemart.operators.visitors import ARRIVAL
 from tidemart.plans import facts, updates
 from tidemart.sinks.keyed import DimensionStore, MergedTable, keyless
 from tidemart.sinks.messages import FileSink, KafkaSink, fact_values, keyed_fact_values
-from tidemart.sources.bronze import PARTITIONS, bronze_days, gathered
+from tidemart.sources.bronze import PARTITIONS, bronze_days, gathered, log_rows
 from tidemart.sinks.routes import RouteStore
 from tidemart.sources.config import config_changes, config_rejects, table_changes
 from tidemart.sources.topics import parse_behaviour, parse_changes, split_facts, with_document
@@ -105,6 +105,12 @@ def start_bronze(lines: DataFrame, path: str, run: Run) -> StreamingQuery:
     return run.start_files(gathered(changes), path, partition_by=PARTITIONS)
 
 
+def start_log_bronze(lines: DataFrame, path: str, run: Run) -> StreamingQuery:
+    """Parse the behaviour log into bronze."""
+    records, _ = parse_behaviour(lines)
+    return run.start_files(log_rows(records), path, partition_by=("day",))
+
+
 def catch_up(spark: SparkSession, bronze: str, start: Callable[[str], StreamingQuery]) -> None:
     """Run a job over stored changes day by day, in the order of the log.
 
