@@ -5,6 +5,7 @@ folder of its own under the shared folder.
 """
 
 import uuid
+from dataclasses import replace
 from functools import wraps
 
 from pyspark.sql import DataFrame
@@ -120,11 +121,11 @@ def stream_order_detail(tables):
     return work.spark.read.parquet(details)
 
 
-def _placed(work: Workspace, span: str) -> LogTables:
+def _placed(work: Workspace, span: str, windows: int = 1) -> LogTables:
     """Bronze of placed orders, to be read in the order of the log."""
     bronze = f"{work.folder}/bronze"
     write_bronze(star.placed_changes(work.batch), bronze, span=span)
-    return work.in_order(bronze)
+    return replace(work.in_order(bronze), windows=windows)
 
 
 def _details(work: Workspace, changes: LogTables, span: str) -> str:
@@ -146,7 +147,7 @@ def stream_order_detail_updating(tables):
     """The newest version of every detail; versions appear as soon as the order is there."""
     work = Workspace(tables)
     table = newest_fact_table(f"default.details_{work.name}", "order_detail", ["id"], ["ts", "version"], "version int")
-    jobs.drain(jobs.start_order_detail_updating(_placed(work, "year"), table, work.steps("updating")))
+    jobs.drain(jobs.start_order_detail_updating(_placed(work, "year", 3), table, work.steps("updating")))
     return table.read(work.spark).select(*FACT_COLUMNS["order_detail"])
 
 
