@@ -81,7 +81,7 @@ def in_files(chunks: DataFrame) -> DataFrame:
 
 def chunked(
     docs: DataFrame, lower: bool = False, key: str = "doc_id", text: str = "text", size: int = CHUNK_BYTES,
-    kept: Callable[[DataFrame], DataFrame] = in_files,
+    *, kept: Callable[[DataFrame], DataFrame] = in_files,
 ) -> DataFrame:
     """Chunks (chunk, ids, lengths, vocabulary, tokens) of the documents, stored by ``kept``. Null texts have no words.
 
