@@ -2,6 +2,7 @@ import collections
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 from tables import ODD_TEXTS, clashing, documents, prose
 
 from tidemart.llm import decontaminate as dc
@@ -66,12 +67,17 @@ def test_blocks_find_everything_within_the_radius():
     assert got == {(w, i) for w, i in np.argwhere(distance <= dc.RADIUS).tolist()}
 
 
-def test_slices_change_nothing(spark, monkeypatch):
+def test_report_equals_brute_force_in_lots_of_any_size(spark, monkeypatch):
     items, texts = cases()
-    benchmark = spark.createDataFrame(items + [(None, "a b c"), (95, None)], "item_id bigint, text string")
+    benchmark = spark.createDataFrame([*items, items[4], (None, "a b c"), (95, None)], "item_id bigint, text string")
     docs = clashing(spark, texts)
     rows = sorted(dc.leak_report(docs, benchmark).collect())
-    monkeypatch.setattr(dc, "SLICE_ITEMS", 7)
+    assert [(h["item_id"], h["start_word"]) for h in dc.ItemIndex(items).search_all(texts)[0]] == [(r.item_id, r.start_word) for r in rows if r.doc_id == 0]
+    wanted = {(d, i): round(v, 9) for d, t in enumerate(texts) if t and len(t) < 10_000 for i, v in brute(t, items).items()}
+    assert {(r.doc_id, r.item_id): round(r.similarity, 9) for r in rows} == wanted and len(rows) == len(wanted)
+    monkeypatch.setattr(dc, "LOT_BYTES", 7)
+    monkeypatch.setattr(dc, "BATCH_CHARS", 300)
+    monkeypatch.setattr(dc, "FILTER_BITS", 8)
     assert sorted(dc.leak_report(docs, benchmark).collect()) == rows
     leaking = {r.doc_id for r in rows}
     kept = dc.without_leaks(docs, benchmark)
@@ -79,6 +85,30 @@ def test_slices_change_nothing(spark, monkeypatch):
     assert {r.doc_id for r in kept.collect()} == set(range(len(texts))) - leaking
 
 
+def test_repeated_rows_and_ids(spark):
+    a, b = " ".join(prose(1, 20)), " ".join(prose(2, 12))
+    changed = " ".join(["new", *a.split()[1:]])
+    benchmark = spark.createDataFrame([(1, a), (1, b), (2, a)], "item_id bigint, text string")
+    docs = documents(spark, [a, changed, f"{changed} {b}"])
+    rows = [(r.doc_id, r.item_id, r.start_word, r.n_words, round(r.similarity, 6)) for r in dc.leak_report(docs.union(docs), benchmark).collect()]
+    near = round(15 / 17, 6)
+    one = [(0, 1, 0, 20, 1.0), (0, 2, 0, 20, 1.0), (1, 1, 0, 20, near), (1, 2, 0, 20, near), (2, 1, 20, 12, 1.0), (2, 2, 0, 20, near)]
+    assert sorted(rows) == sorted(one * 2)
+
+
+def test_few_items_meet_a_text_though_all_share_a_sentence(spark):
+    common = prose(9, 8, 2000)
+    items = [" ".join([*common, *prose(100 + i, 30, 5000)]) for i in range(400)]
+    texts = [" ".join([*prose(9000 + i, 20, 5000), *common]) for i in range(100)] + items[:3]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    docs = documents(spark, texts)
+    keyed = benchmark.select(dc.text_key(F.col("text")).alias("item"), "text")
+    named = docs.select(dc.text_key(F.col("text")).alias("key"), "text")
+    pairs = dc.candidates(named, keyed, dc.SIMILARITY).collect()
+    assert sorted(r.key for r in pairs) == sorted(r.item for r in pairs) and len(pairs) == 3
+    assert sorted((r.doc_id, r.item_id) for r in dc.leak_report(docs, benchmark).collect()) == [(100, 0), (101, 1), (102, 2)]
+
+
 def test_empty_tables(spark):
     benchmark = spark.createDataFrame([], "item_id bigint, text string")
     assert dc.leak_report(documents(spark, ["a b c"]), benchmark).count() == 0

@@ -5,37 +5,44 @@ is compared with every window of n words of a document: by multisets of five-wor
 shorter item), similarity being the sum of the smaller counts over the sum of the larger ones, 0.8 or more. A document
 shorter than the item, but long enough to reach that, is one window as a whole.
 
-1. Windows of which too few shingles are in the benchmark at all cannot reach the similarity: of m
-   shingles, 2 s m / (1 + s) must be shared. They get no fingerprint; nothing is lost.
-2. The others get a 64-bit SimHash: the sign, bit by bit, of the sum over shingles of +1 or -1.
+1. A window that reaches the similarity s has at least s m of an item's m shingles. So it has one of the item's rarest
+   shingles, taken until fewer than s m are left. These postings are a table; shingles of the documents are joined
+   with it, after a filter of bounded size (``FILTER_BITS``) has let through few others. This gives every text its items.
+2. Of such a text, windows with too few of its items' shingles cannot reach the similarity: of m shingles,
+   2 s m / (1 + s) must be shared. The others get a 64-bit SimHash: the sign, bit by bit, of the sum over shingles of
+   +1 or -1.
 3. Fingerprints are cut into eight blocks. If two differ in at most ``RADIUS`` = 20 bits, some block
    differs in at most two, so tables of every block value with all its neighbours at distance two
    find all items within the radius (multi-index hashing).
 4. What is within the radius is verified exactly. At similarity 0.8 a bit differs with chance 0.15, so 20 of 64 are over
    three and a half deviations away for a pair right at the threshold, and more for any closer one.
 
-The benchmark is closed over by the tasks in slices of bounded size, whatever its size; documents are looked at in one
-pass without a shuffle. Null or empty texts and items without words match nothing. Each item is reported once per text,
-at its most similar window (the first of equals); equal items under several ids are all reported.
+Nothing is lost before step 3. Equal texts, and equal items, are looked at once. The benchmark stays a table of any size: a
+task sees the items of one text, in lots of bounded size if they are many. Only texts with a posting are shuffled. Null or
+empty texts and items without words match nothing. Each item is reported once per text, at its most similar window (the
+first of equals); equal items under several ids are all reported, an id on several texts with the best of them. Only
+``doc_id`` and ``text`` of the documents are read.
 """
 
 from __future__ import annotations
 
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import cache
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tidemart.llm.common import GOLDEN, WordHash, mix64, shingles
+from tidemart.llm.common import GOLDEN, WordHash, mix64, shingles, stored
 from tidemart.llm.toxicity import FOLD
 
 SHINGLE, SIMILARITY, RADIUS = 5, 0.8, 20
 BLOCKS, BLOCK_BITS, NEAR = 8, 8, 2
-SLICE_ITEMS = 20_000
+FILTER_BITS = 26
+LOT_BYTES = 2 << 20
 BATCH_CHARS = 1_000_000
 
 
@@ -54,6 +61,7 @@ def running_signs(shingle: np.ndarray) -> np.ndarray:
     return np.concatenate([np.zeros((1, 64), np.int32), np.cumsum(bits.astype(np.int32) * 2 - 1, axis=0, dtype=np.int32)])
 
 
+@cache
 def near_values() -> np.ndarray:
     """near[a, b]: whether two block values differ in at most ``NEAR`` bits."""
     values = np.arange(1 << BLOCK_BITS)
@@ -61,9 +69,9 @@ def near_values() -> np.ndarray:
 
 
 class ItemIndex:
-    """Fingerprints of the items of one slice by length, in tables by block."""
+    """Fingerprints of some items by length, in tables by block."""
 
-    def __init__(self, items: list[tuple[int, str]], similarity: float = SIMILARITY):
+    def __init__(self, items: list[tuple], similarity: float = SIMILARITY):
         self.similarity = similarity
         hashed, grouped, counted = WordHash(), defaultdict(list), {}
         for item_id, text in items:
@@ -81,19 +89,11 @@ class ItemIndex:
             self.by_size[n] = (m, prints, tables, [(i, Counter(s.tolist())) for i, s in group])
             known[min(SHINGLE, n)] += [s for _, s in group]
         self.known = {k: np.unique(np.concatenate(s)) for k, s in known.items()}
-        self.maybe = {}
-        for k, values in self.known.items():
-            self.maybe[k] = np.zeros(1 << 20, bool)
-            self.maybe[k][values >> np.uint64(44)] = True
 
     def hits(self, shingle: np.ndarray, k: int) -> np.ndarray:
-        """Which shingles are in the benchmark."""
-        out = self.maybe[k][shingle >> np.uint64(44)]
-        some = np.flatnonzero(out)
+        """Which shingles are in the items."""
         values = self.known[k]
-        place = np.minimum(np.searchsorted(values, shingle[some]), len(values) - 1)
-        out[some] = values[place] == shingle[some]
-        return out
+        return values[np.minimum(np.searchsorted(values, shingle), len(values) - 1)] == shingle
 
     def candidates(self, prints: np.ndarray, n: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(window, item, distance) of all pairs within the radius."""
@@ -164,50 +164,145 @@ class ItemIndex:
         return out
 
 
-HIT = T.StructType(
-    [T.StructField(n, t()) for n, t in (("item_id", T.LongType), ("start_word", T.IntegerType), ("n_words", T.IntegerType),
-                                        ("distance", T.IntegerType), ("similarity", T.DoubleType))]
-)
-HIT_ARROW = pa.list_(
-    pa.struct([("item_id", pa.int64()), ("start_word", pa.int32()), ("n_words", pa.int32()), ("distance", pa.int32()), ("similarity", pa.float64())])
-)
-
-
-def slices(benchmark: DataFrame) -> list[list[tuple[int, str]]]:
-    """The items in slices of bounded size."""
-    rows = benchmark.select("item_id", "text").where("item_id is not null and text is not null").orderBy("item_id", "text")
-    out: list[list[tuple[int, str]]] = []
-    for row in rows.toLocalIterator():
-        if not out or len(out[-1]) >= SLICE_ITEMS:
-            out.append([])
-        out[-1].append((row.item_id, row.text))
-    return out
+def text_key(text: Column) -> Column:
+    """Equal texts have equal keys; null has none."""
+    return F.md5(text.cast("binary"))
 
 
-def leaks(text: Column, benchmark: DataFrame, similarity: float = SIMILARITY) -> Column:
-    """Array of the benchmark items in a text; its tasks get the benchmark slice by slice."""
+POSTED = pa.schema([("item", pa.string()), ("k", pa.int32()), ("spare", pa.int64()), ("hash", pa.int64()), ("times", pa.int64())])
+POSTED_DDL = "item string, k int, spare bigint, hash bigint, times bigint"
 
-    def one(items: list[tuple[int, str]]) -> Column:
-        made: list[ItemIndex] = []
 
-        @F.arrow_udf(T.ArrayType(HIT))
-        def search(texts: pa.Array) -> pa.Array:
-            if not made:
-                made.append(ItemIndex(items, similarity))
-            return pa.array(made[0].search_all(texts.to_pylist()), HIT_ARROW)
+def posted(similarity: float) -> Callable:
+    """Distinct shingles of each item with their counts; ``spare`` is how many of its shingles a similar window may lack."""
 
-        return search(text)
-
-    parts = [one(items) for items in slices(benchmark)]
-    return F.concat(*parts) if parts else F.array().cast(T.ArrayType(HIT))
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashed = WordHash()
+        for batch in batches:
+            for item, text in zip(batch.column("item").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                found = np.fromiter(map(hashed.__getitem__, split_words(text)), np.uint64)
+                if not len(found):
+                    continue
+                k = min(SHINGLE, len(found))
+                every = shingles(found, k)
+                values, times = np.unique(every.view(np.int64), return_counts=True)
+                spare = len(every) - ceil(similarity * len(every) - 1e-9)
+                columns = [[item] * len(values), [k] * len(values), [spare] * len(values), values, times]
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, POSTED, strict=True)], schema=POSTED)
+
+    return rows
+
+
+def postings_of(items: DataFrame, similarity: float) -> DataFrame:
+    """(item, k, hash): of each item the shingles that fewest items have, until a window without them cannot be similar."""
+    every = stored(items.mapInArrow(posted(similarity), POSTED_DDL), "item-shingles")
+    rarity = every.groupBy("hash").agg(F.count("*").alias("holders"))
+    before = F.sum("times").over(Window.partitionBy("item").orderBy("holders", "hash")) - F.col("times")
+    ranked = every.join(rarity, "hash").withColumn("before", before)
+    return stored(ranked.where("before <= spare").select("item", "k", "hash"), "postings")
+
+
+def hash_filter(postings: DataFrame) -> tuple[int, np.ndarray]:
+    """A bit for every hash of a posting by the hash's upper bits: 16 places a posting, at most 2^``FILTER_BITS``."""
+    bits = min(FILTER_BITS, max(12, (16 * postings.count()).bit_length()))
+    place = postings.select(F.shiftrightunsigned("hash", 64 - bits).alias("place"))
+    words = place.groupBy(F.shiftright("place", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(place & 63 as int)))").alias("bits"))
+    found = words.toArrow()
+    out = np.zeros(1 << (bits - 6), np.int64)
+    out[found.column("word").to_numpy()] = found.column("bits").to_numpy()
+    return bits, out
+
+
+TOUCH = pa.schema([("key", pa.string()), ("hash", pa.int64())])
+
+
+def touching(ks: list[int], bits: int, known: np.ndarray) -> Callable:
+    """The distinct shingles of each text that pass the filter."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashed = WordHash()
+        for batch in batches:
+            keys, texts, at = batch.column("key").to_pylist(), batch.column("text").to_pylist(), 0
+            while at < len(texts):
+                first, lengths, flat, size = at, [], [], 0
+                while at < len(texts) and size < BATCH_CHARS:
+                    words = split_words(texts[at])
+                    flat.extend(map(hashed.__getitem__, words))
+                    lengths.append(len(words))
+                    size += len(texts[at])
+                    at += 1
+                ends, every = np.cumsum(lengths), np.fromiter(flat, np.uint64, len(flat))
+                owners, values = [], []
+                for k in ks:
+                    found = shingles(every, k)
+                    place = (found >> np.uint64(64 - bits)).astype(np.int64)
+                    spot = np.flatnonzero(known[place >> 6] >> (place & 63) & 1)
+                    owner = np.searchsorted(ends, spot, side="right")
+                    inside = spot + k <= ends[owner]
+                    owners.append(owner[inside])
+                    values.append(found[spot[inside]].view(np.int64))
+                pairs = sorted(set(zip(np.concatenate(owners).tolist(), np.concatenate(values).tolist(), strict=True)))
+                columns = [[keys[first + i] for i, _ in pairs], [v for _, v in pairs]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, TOUCH, strict=True)], schema=TOUCH)
+
+    return rows
+
+
+HIT = pa.schema(
+    [("key", pa.string()), ("item", pa.string()), ("start_word", pa.int32()), ("n_words", pa.int32()), ("distance", pa.int32()), ("similarity", pa.float64())]
+)
+HIT_DDL = "key string, item string, start_word int, n_words int, distance int, similarity double"
+
+
+def searched(similarity: float) -> Callable:
+    """The items of its lot that are in each text."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for key, text, lot in zip(*(batch.column(c) for c in ("key", "text", "lot")), strict=True):
+                index = ItemIndex([(i["item"], i["text"]) for i in lot.as_py()], similarity)
+                out += [{"key": key.as_py(), "item": h.pop("item_id"), **h} for h in index.search_all([text.as_py()])[0]]
+            yield pa.RecordBatch.from_pylist(out, schema=HIT)
+
+    return rows
+
+
+def candidates(texts: DataFrame, items: DataFrame, similarity: float) -> DataFrame:
+    """(key, item) of all texts and items that have a posting in common."""
+    postings = postings_of(items, similarity)
+    ks = sorted(r.k for r in postings.select("k").distinct().collect())
+    if not ks:
+        return texts.sparkSession.createDataFrame([], "key string, item string")
+    touched = texts.mapInArrow(touching(ks, *hash_filter(postings)), "key string, hash bigint")
+    return touched.distinct().join(postings.select("hash", "item"), "hash").select("key", "item").distinct()
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(key, item_id, start_word, n_words, distance, similarity): the benchmark items in each text, named by ``text_key``."""
+    named = benchmark.where("item_id is not null and text is not null").select("item_id", text_key(F.col("text")).alias("item"), "text")
+    items = stored(named.groupBy("item").agg(F.min("text").alias("text")), "items")
+    texts = docs.where("text <> ''").select(text_key(F.col("text")).alias("key"), "text")
+    pairs = stored(candidates(texts, items, similarity), "candidates")
+    sized = pairs.join(items.select("item", F.octet_length("text").alias("size")), "item")
+    lots = sized.groupBy("key").agg(F.ceil(F.sum("size") / LOT_BYTES).alias("lots"))
+    dealt = pairs.join(lots, "key").withColumn("part", F.pmod(F.xxhash64("item"), F.col("lots")))
+    dealt = dealt.join(items, "item").groupBy("key", "part").agg(F.collect_list(F.struct("item", "text")).alias("lot"))
+    met = texts.join(pairs.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.min("text").alias("text"))
+    found = met.join(dealt, "key").select("key", "text", "lot").mapInArrow(searched(similarity), HIT_DDL)
+    best = F.max(F.struct("similarity", (-F.col("start_word")).alias("back"), "n_words", "distance")).alias("b")
+    one = found.join(named.select("item", "item_id").distinct(), "item").groupBy("key", "item_id").agg(best)
+    return one.select("key", "item_id", (-F.col("b.back")).alias("start_word"), "b.n_words", "b.distance", "b.similarity")
 
 
 def leak_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """op3: every pair of a document and a benchmark item that it holds."""
-    found = docs.select("doc_id", leaks(F.col("text"), benchmark).alias("found"))
-    return found.select("doc_id", F.explode("found").alias("f")).select("doc_id", "f.*")
+    found = stored(leaks(docs, benchmark), "leaks")
+    keyed = docs.select("doc_id", text_key(F.col("text")).alias("key"))
+    return keyed.join(found, "key").select("doc_id", *(c for c in found.columns if c != "key"))
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that hold no benchmark item; columns stay as they are."""
-    return docs.where(F.size(leaks(F.col("text"), benchmark)) == 0)
+    found = stored(leaks(docs, benchmark).select(F.col("key").alias("__key")).distinct(), "leaking")
+    return docs.withColumn("__key", text_key(F.col("text"))).join(found, "__key", "left_anti").select(*docs.columns)
