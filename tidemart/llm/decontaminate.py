@@ -7,7 +7,7 @@ shorter than the item, but long enough to reach that, is one window as a whole.
 
 1. A window that reaches the similarity s has at least s m of an item's m shingles. So it has one of the item's rarest
    shingles, taken until fewer than s m are left. These postings are a table; shingles of the documents are joined
-   with it, after a filter of bounded size (``FILTER_BITS``) has let through few others. This gives every text its items.
+   with it, after a filter of bounded size (``HashFilter``) has let through few others. This gives every text its items.
 2. Of such a text, windows with too few of its items' shingles cannot reach the similarity: of m shingles,
    2 s m / (1 + s) must be shared. The others get a 64-bit SimHash: the sign, bit by bit, of the sum over shingles of
    +1 or -1.
@@ -30,6 +30,7 @@ from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
 from functools import cache
 from math import ceil
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -202,21 +203,50 @@ def postings_of(items: DataFrame, similarity: float) -> DataFrame:
     return stored(ranked.where("before <= spare").select("item", "k", "hash"), "postings")
 
 
-def hash_filter(postings: DataFrame) -> tuple[int, np.ndarray]:
-    """A bit for every hash of a posting by the hash's upper bits: 16 places a posting, at most 2^``FILTER_BITS``."""
-    bits = min(FILTER_BITS, max(12, (16 * postings.count()).bit_length()))
-    place = postings.select(F.shiftrightunsigned("hash", 64 - bits).alias("place"))
-    words = place.groupBy(F.shiftright("place", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(place & 63 as int)))").alias("bits"))
-    found = words.toArrow()
-    out = np.zeros(1 << (bits - 6), np.int64)
-    out[found.column("word").to_numpy()] = found.column("bits").to_numpy()
-    return bits, out
+class HashFilter(NamedTuple):
+    """Which hashes may be in a column: two bits each, by the hash's upper and its lower bits.
+
+    There are about 256 bits a hash, but at most 2^``FILTER_BITS``; with more hashes it lets more others through.
+    """
+
+    bits: int
+    words: np.ndarray
+
+    @classmethod
+    def of(cls, hashes: DataFrame) -> HashFilter:
+        bits = min(FILTER_BITS, max(12, (256 * hashes.count()).bit_length()))
+        (name,) = hashes.columns
+        places = F.array(F.shiftrightunsigned(name, 64 - bits), F.col(name).bitwiseAND((1 << bits) - 1))
+        place = hashes.select(F.explode(places).alias("place"))
+        words = place.groupBy(F.shiftright("place", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(place & 63 as int)))").alias("set"))
+        found = words.toArrow()
+        out = np.zeros(1 << (bits - 6), np.int64)
+        out[found.column("word").to_numpy()] = found.column("set").to_numpy()
+        return cls(bits, out)
+
+    def has(self, hashes: np.ndarray) -> np.ndarray:
+        def hit(place: np.ndarray) -> np.ndarray:
+            return (self.words[place >> 6] >> (place & 63) & 1).astype(bool)
+
+        out = hit((hashes >> np.uint64(64 - self.bits)).astype(np.int64))
+        some = np.flatnonzero(out)
+        out[some] = hit((hashes[some] & np.uint64((1 << self.bits) - 1)).astype(np.int64))
+        return out
+
+    def passes(self, hashes: Column) -> Column:
+        """Whether a column's hash may be there; null is not."""
+
+        @F.arrow_udf("boolean")
+        def maybe(values: pa.Array) -> pa.Array:
+            return pa.array(self.has(values.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)))
+
+        return maybe(hashes)
 
 
 TOUCH = pa.schema([("key", pa.string()), ("hash", pa.int64())])
 
 
-def touching(ks: list[int], bits: int, known: np.ndarray) -> Callable:
+def touching(ks: list[int], known: HashFilter) -> Callable:
     """The distinct shingles of each text that pass the filter."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,8 +265,7 @@ def touching(ks: list[int], bits: int, known: np.ndarray) -> Callable:
                 owners, values = [], []
                 for k in ks:
                     found = shingles(every, k)
-                    place = (found >> np.uint64(64 - bits)).astype(np.int64)
-                    spot = np.flatnonzero(known[place >> 6] >> (place & 63) & 1)
+                    spot = np.flatnonzero(known.has(found))
                     owner = np.searchsorted(ends, spot, side="right")
                     inside = spot + k <= ends[owner]
                     owners.append(owner[inside])
@@ -274,7 +303,7 @@ def candidates(texts: DataFrame, items: DataFrame, similarity: float) -> DataFra
     ks = sorted(r.k for r in postings.select("k").distinct().collect())
     if not ks:
         return texts.sparkSession.createDataFrame([], "key string, item string")
-    touched = texts.mapInArrow(touching(ks, *hash_filter(postings)), "key string, hash bigint")
+    touched = texts.mapInArrow(touching(ks, HashFilter.of(postings.select("hash"))), "key string, hash bigint")
     return touched.distinct().join(postings.select("hash", "item"), "hash").select("key", "item").distinct()
 
 
@@ -288,7 +317,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY)
     lots = sized.groupBy("key").agg(F.ceil(F.sum("size") / LOT_BYTES).alias("lots"))
     dealt = pairs.join(lots, "key").withColumn("part", F.pmod(F.xxhash64("item"), F.col("lots")))
     dealt = dealt.join(items, "item").groupBy("key", "part").agg(F.collect_list(F.struct("item", "text")).alias("lot"))
-    met = texts.join(pairs.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.min("text").alias("text"))
+    keys = pairs.select(F.xxhash64("key").alias("hash")).distinct()
+    met = texts.where(HashFilter.of(keys).passes(F.xxhash64("key"))).groupBy("key").agg(F.min("text").alias("text"))
     found = met.join(dealt, "key").select("key", "text", "lot").mapInArrow(searched(similarity), HIT_DDL)
     best = F.max(F.struct("similarity", (-F.col("start_word")).alias("back"), "n_words", "distance")).alias("b")
     one = found.join(named.select("item", "item_id").distinct(), "item").groupBy("key", "item_id").agg(best)
@@ -303,6 +333,13 @@ def leak_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that hold no benchmark item; columns stay as they are."""
+    """The documents that hold no benchmark item; columns stay as they are.
+
+    Rows that a filter of the leaking texts lets through are joined with those; the others do not move.
+    """
     found = stored(leaks(docs, benchmark).select(F.col("key").alias("__key")).distinct(), "leaking")
-    return docs.withColumn("__key", text_key(F.col("text"))).join(found, "__key", "left_anti").select(*docs.columns)
+    known = HashFilter.of(found.select(F.xxhash64("__key").alias("hash")))
+    keyed = docs.withColumn("__key", text_key(F.col("text")))
+    keyed = keyed.withColumn("__maybe", known.passes(F.xxhash64("__key")))
+    kept = keyed.where("__maybe").join(found, "__key", "left_anti").select(*docs.columns)
+    return kept.union(keyed.where("not __maybe").select(*docs.columns))
