@@ -1,9 +1,12 @@
 """One bucket of the keyed join: its keys share state and timers and are joined apart."""
 
 from pyspark.sql import Row
+from pyspark.sql import functions as F
 
 from tidemart.session import RUNTIME_SETTINGS
-from tidemart.streaming.keyed_join import ALONE, JOINED, LATE, Meeting
+from tidemart.sources.topics import with_event_time
+from tidemart.streaming.jobs import Run
+from tidemart.streaming.keyed_join import ALONE, JOINED, LATE, Meeting, Side, keyed_join
 
 
 class ListState:
@@ -79,6 +82,20 @@ def test_rows_met_later_are_not_alone_and_late_rows_are_told():
     assert not any(state.rows for state in handle.lists.values())
 
 
+def test_salted_copies_in_one_bucket_do_not_join_twice(spark, tmp_path):
+    def stream(name, df):
+        df.coalesce(1).write.parquet(f"{tmp_path}/{name}")
+        return with_event_time(spark.readStream.schema(df.schema).parquet(f"{tmp_path}/{name}"))
+
+    main = stream("main", spark.range(40).selectExpr("cast(id % 4 as string) k", "id m", "1000L ts"))
+    other = stream("other", spark.range(4).selectExpr("cast(id as string) o", "1001L ts")).withColumnRenamed("et", "oet")
+    joined = keyed_join(main, "k", "et", [Side("x", other, "o", "oet")], 5, salts=4, buckets=1)
+    rows = joined.select("kind", F.col("main.m").alias("m"), F.col("x.o").alias("o"))
+    Run(str(tmp_path / "c"), None).start_files(rows, str(tmp_path / "out")).awaitTermination()
+    found = sorted((r.kind, r.m, r.o) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    assert found == [(JOINED, m, str(m % 4)) for m in range(40)]
+
+
 def test_state_is_compressed_and_old_versions_of_it_go():
     assert RUNTIME_SETTINGS["spark.sql.streaming.stateStore.rocksdb.compression"] == "zstd"
     assert RUNTIME_SETTINGS["spark.sql.streaming.stateStore.compression.codec"] == "zstd"
