@@ -31,8 +31,7 @@ def test_log_lines_do_not_follow_the_cut_of_files(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
-def test_streamed_tables_are_dealt_out(spark, tmp_path):
+def test_streamed_log_lines_are_dealt_out(spark, tmp_path):
     events(spark, tmp_path, 10)
-    tables = Tables(spark, str(tmp_path), streaming=True)
-    plan = tables.spread("events")._jdf.queryExecution().analyzed().toString()
-    assert tables.spread("events").isStreaming and "Repartition" in plan
+    lines = star.log_lines(Tables(spark, str(tmp_path), streaming=True))
+    assert lines.isStreaming and "Repartition" in lines._jdf.queryExecution().analyzed().toString()
