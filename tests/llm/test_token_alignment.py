@@ -1,6 +1,7 @@
 import hashlib
 import json
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -135,3 +136,23 @@ def test_repeats_null_ids_and_empty_tables(spark):
     assert len(found) == 3 and len({r.count_sum for r in found}) == 1 and found[0].count_sum == 3 * found[0].n_links
     assert {r.links for r in pairs.collect()} == {3}
     assert ta.alignment_report(documents(spark, [])).count() == 0
+
+
+def test_library_is_loaded_for_unsettled_texts_only():
+    byte = ta.ByteEncoder(ta.BYTE_MODEL)
+    byte.encode(" plain text")
+    assert "library" not in vars(byte)
+    assert byte.encode(" ಕನ್ನಡ").tolist() == byte.library.encode(" ಕನ್ನಡ", add_special_tokens=False).ids
+
+
+def test_chunk_holds_its_tokens_once():
+    texts = [" " + " ".join(prose(i, 500)) for i in range(200)]
+    chunk = ta.Chunk(*CODERS)
+    for i, text in enumerate(texts):
+        chunk.add(i, ta.Fragment.of(text, 0, text, 0, *CODERS))
+    links = sum(len(f.a) + len(f.b) - len(f.marks) for f in chunk.fragments)
+    tracemalloc.start()
+    chunk.row(1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 * links

@@ -29,7 +29,7 @@ import json
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
+from functools import cache, cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -71,16 +71,14 @@ class ByteEncoder:
     """Byte-level BPE from a tokenizer file.
 
     Where the file has one merge for every further id, in the order of the ids, merging by rank gives the same ids
-    and is faster; texts with characters outside ``SETTLED`` still go through the file's own library.
+    and is faster; texts with characters outside ``SETTLED`` still go through the file's own library, which is
+    loaded at the first such text.
     """
 
     def __init__(self, file: str):
-        from tokenizers import Tokenizer
-
         with open(file, encoding="utf-8") as source:
             spec = json.load(source)
-        self.library = Tokenizer.from_file(file)
-        self.library.encode_special_tokens = True
+        self.file = file
         special = {t["id"] for t in spec["added_tokens"]}
         alphabet = byte_alphabet()
         ranks = {bytes(alphabet[c] for c in entry): i for entry, i in spec["model"]["vocab"].items() if i not in special}
@@ -97,6 +95,14 @@ class ByteEncoder:
 
             self.ranked = Encoding("ranked", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
 
+    @cached_property
+    def library(self):
+        from tokenizers import Tokenizer
+
+        made = Tokenizer.from_file(self.file)
+        made.encode_special_tokens = True
+        return made
+
     def encode(self, text: str) -> np.ndarray:
         if self.ranked and not SETTLED.search(text):
             return np.array(self.ranked.encode_ordinary(text), np.int64)
@@ -279,37 +285,58 @@ class Chunk:
             found.update((written if at + HASHED_AT_ONCE < len(codes) else written[:-1]).encode())
         return found.hexdigest()
 
+    def column(self, name: str, kind: type, before: np.ndarray | None = None) -> np.ndarray:
+        """One array of all fragments, moved by ``before`` each, which the fragments then let go of."""
+        found = [getattr(f, name) for f in self.fragments]
+        out, at = np.empty(sum(map(len, found)), kind), 0
+        for i, values in enumerate(found):
+            np.add(values, 0 if before is None else before[i], out=out[at : at + len(values)], casting="unsafe")
+            at += len(values)
+        for f in self.fragments:
+            setattr(f, name, None)
+        return out
+
     def row(self, name: int) -> tuple:
+        """The chunk as a row. Its fragments are gone then: tokens and links are held once, in numbers no wider than they need."""
         parts = self.fragments
         n_a, n_b, n_groups = (np.fromiter((len(x) for x in xs), np.int64, len(parts)) for xs in ([f.a for f in parts], [f.b for f in parts], [f.marks for f in parts]))
         sizes = np.fromiter((f.marks[-1] if len(f.marks) else 0 for f in parts), np.int64, len(parts))
         before = np.cumsum(sizes) - sizes
-        a, b = (np.concatenate(xs) for xs in ([f.a for f in parts], [f.b for f in parts]))
-        a_ends, b_ends, marks = (
-            np.concatenate([ends + off for ends, off in zip(xs, before, strict=True)]) for xs in ([f.a_ends for f in parts], [f.b_ends for f in parts], [f.marks for f in parts])
-        )
-        # Tokens written in order: a group's A tokens, then its B tokens.
-        a_to, b_to = np.searchsorted(a_ends, marks) + 1, np.searchsorted(b_ends, marks) + 1
-        a_of, b_of = np.diff(a_to, prepend=0), np.diff(b_to, prepend=0)
-        a_codes, b_codes = 2 * a, self.base + 2 * b
-        a_codes[a_to - 1] += 1
-        b_codes[b_to - 1] += 1
-        codes = np.empty(len(a) + len(b), np.int64)
-        codes[np.arange(len(a)) + np.repeat(b_to - b_of, a_of)] = a_codes
-        codes[np.arange(len(b)) + np.repeat(a_to, b_of)] = b_codes
-        starts = np.concatenate([[0], np.cumsum(n_a + n_b)])
-        digests = [self.digest(codes[s:e]) for s, e in zip(starts[:-1], starts[1:], strict=True)]
+        kind = np.int32 if sizes.sum() < 1 << 31 else np.int64
+        a, b = (self.column(x, np.int32) for x in ("a", "b"))
+        a_ends, b_ends, marks = (self.column(x, kind, before) for x in ("a_ends", "b_ends", "marks"))
+        digests = self.digests(a, b, np.searchsorted(a_ends, marks) + 1, np.searchsorted(b_ends, marks) + 1, n_a + n_b)
+        del marks
         # A link is a stretch of bytes between ends of any kind.
-        ends = np.sort(np.concatenate([a_ends, b_ends]), kind="stable")
+        ends = np.concatenate([a_ends, b_ends])
+        ends.sort(kind="stable")
         ends = ends[np.concatenate([ends[1:] != ends[:-1], [True]])] if len(ends) else ends
-        pair = a[np.searchsorted(a_ends, ends)] << PIECE_BITS | b[np.searchsorted(b_ends, ends)]
+        pair = a[np.searchsorted(a_ends, ends)].astype(np.int64)
+        del a, a_ends
+        pair <<= PIECE_BITS
+        pair |= b[np.searchsorted(b_ends, ends)]
+        del b, b_ends, ends
         pairs, links, counts = np.unique(pair, return_inverse=True, return_counts=True)
+        del pair
         by_count = np.argsort(-counts, kind="stable")
-        rank = np.empty(len(pairs), np.int64)
+        rank = np.empty(len(pairs), np.int32)
         rank[by_count] = np.arange(len(pairs))
         packed = [pack_numbers(x) for x in (n_a, n_b, n_groups, rank[links])]
         return name, self.ids, *packed, digests, pairs[by_count], counts[by_count]
 
+    def digests(self, a: np.ndarray, b: np.ndarray, a_to: np.ndarray, b_to: np.ndarray, lengths: np.ndarray) -> list[str]:
+        """Of every text, its tokens written in order: a group's A tokens, then its B tokens."""
+        codes = np.empty(len(a) + len(b), np.int32)
+        for mine, to, others, first in ((a, a_to, np.concatenate([[0], b_to[:-1]]), 0), (b, b_to, a_to, self.base)):
+            written = first + 2 * mine
+            written[to - 1] += 1
+            at = np.repeat(others[: len(to)], np.diff(to, prepend=0))
+            at += np.arange(len(mine))
+            codes[at] = written
+            del at
+        starts = np.concatenate([[0], np.cumsum(lengths)])
+        return [self.digest(codes[s:e]) for s, e in zip(starts[:-1], starts[1:], strict=True)]
+
 
 CHUNK_NAMES = ["chunk", "ids", "n_a", "n_b", "n_groups", "links", "digests", "pairs", "counts"]
 
@@ -337,8 +364,9 @@ def aligned_chunks(docs: DataFrame, byte_file: str, piece_file: str, long: int =
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coders = encoders(byte_file, piece_file)
         for batch in batches:
-            texts = ((i, t and " " + t) for i, t in zip(*(c.to_pylist() for c in batch.columns), strict=True))
-            made = ((i, Fragment.of(t, 0, t, 0, *coders) if t else Fragment.nothing()) for i, t in texts)
+            # One text at a time leaves Arrow.
+            texts = ((i.as_py(), t.as_py()) for i, t in zip(*batch.columns, strict=True))
+            made = ((i, Fragment.of(" " + t, 0, " " + t, 0, *coders) if t else Fragment.nothing()) for i, t in texts)
             yield from chunks(made, batch.schema.field(0).type, 1)
 
     def finished(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
