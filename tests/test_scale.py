@@ -82,6 +82,31 @@ def test_hot_order_is_split_and_nothing_is_lost(shuffled, salts):
     assert plan.split("Initial Plan")[0].count("Exchange hashpartitioning(od_key") == 1
 
 
+@pytest.mark.parametrize("salts", [1, 4])
+def test_whole_details_are_shuffled_once(shuffled, salts):
+    df = facts.order_detail(_shop(shuffled), salts=salts)
+    plan = df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    exchanges = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: (.*)", plan)
+    assert sum("od_sku_name" in e for e in exchanges) == 1
+    assert not any("od_id" in e for e in exchanges)
+
+
+@pytest.mark.parametrize("salts", [1, 4])
+def test_repeated_ids_and_orders_meet_as_often_as_they_stand(shuffled, salts):
+    """As the join of whole details within a bound of time that all changes keep."""
+    base = shuffled.range(60)
+    parts = [
+        _changes(base, "order_detail", "'id', if(id % 5 = 0, null, concat('d', id % 9)), 'order_id', if(id % 11 = 0, null, cast(id % 7 as string)), "
+                 "'sku_id', cast(id % 2 as string), 'sku_num', '1', 'order_price', '2.00'"),
+        _changes(base.where("id < 20"), "order_info", "'id', if(id % 13 = 0, null, cast(id % 6 as string)), 'user_id', if(id % 3 = 0, null, cast(id % 2 as string))"),
+        _changes(base.where("id < 12"), "order_detail_activity", "'order_detail_id', if(id % 4 = 0, null, concat('d', id % 9)), 'activity_id', 'a'"),
+        _changes(base.where("id < 12"), "order_detail_coupon", "'order_detail_id', concat('d', id % 3), 'coupon_id', cast(id % 2 as string)"),
+    ]
+    changes = with_event_time(star.union(parts))
+    found, wanted = bag(facts.order_detail(changes, salts=salts)), bag(facts.order_detail(changes, bound="1 day"))
+    assert found == wanted and max(wanted.values()) > 1
+
+
 def test_null_ids_do_not_pile_up(shuffled):
     detail = facts.ORDER_DETAIL.read(_shop(shuffled))
     nulls = detail.where("od_id is null").withColumn(
