@@ -156,3 +156,21 @@ def test_chunk_holds_its_tokens_once():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 100 * links
+
+
+def test_chunks_meet_their_answers_one_at_a_time(spark):
+    found, _ = ta.alignments(documents(spark, ["one text", "and another", None]))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "collect_list" not in plan
+
+
+@pytest.mark.parametrize("long", [10, 1 << 20])
+def test_chunks_of_several_arrow_batches_keep_their_own_answers(spark, long):
+    texts = ["a", " ".join(prose(1, 200)), "b c", " ".join(prose(2, 90)), None, "a"]
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    try:
+        found, _ = ta.alignments(documents(spark, texts).coalesce(1), long=long, size=50)
+        assert rows(found) == dict(enumerate(brute(texts)))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)

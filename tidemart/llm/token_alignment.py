@@ -16,7 +16,8 @@ places of their own. Rounds of grouping by ``FAN`` neighbours reduce the fragmen
 
 Finished texts leave as chunks of a few megabytes, stored: counts and digests per text, the chunk's distinct id pairs
 with their links, and each link's pair. Pair counts over the corpus are a sum over chunks. They go back to
-a chunk once per distinct pair, so a pair that is everywhere costs one row a chunk.
+a chunk once per distinct pair, so a pair that is everywhere costs one row a chunk. A chunk meets its answers by itself: no
+task holds several.
 
 Texts that are null or empty, or where a tokenizer does not give the bytes back, have no tokens. Rows are independent: repeated and
 null ids count as often as they stand.
@@ -27,7 +28,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Generator, Iterator
 from dataclasses import dataclass
 from functools import cache, cached_property
 
@@ -338,6 +339,8 @@ class Chunk:
         return [self.digest(codes[s:e]) for s, e in zip(starts[:-1], starts[1:], strict=True)]
 
 
+# A reader holds a row group's links at once, and twice that as they grow.
+CHUNK_ROWS = LARGE_ROWS | {"parquet.block.size": str(8 << 20)}
 CHUNK_NAMES = ["chunk", "ids", "n_a", "n_b", "n_groups", "links", "digests", "pairs", "counts"]
 
 
@@ -350,33 +353,37 @@ def aligned_chunks(docs: DataFrame, byte_file: str, piece_file: str, long: int =
     kind = docs.schema["id"].dataType.simpleString()
     schema = f"chunk bigint, ids array<{kind}>, n_a binary, n_b binary, n_groups binary, links binary, digests array<string>, pairs array<bigint>, counts array<bigint>"
 
-    def chunks(fragments, kind: pa.DataType, sign: int) -> Iterator[pa.RecordBatch]:
-        chunk, n = Chunk(*encoders(byte_file, piece_file)), 0
+    def chunks(fragments, kind: pa.DataType, sign: int, n: int) -> Generator[pa.RecordBatch, None, int]:
+        """Chunks numbered from ``n`` on within the task; returns the next number."""
+        chunk = Chunk(*encoders(byte_file, piece_file))
         for value, fragment in fragments:
             chunk.add(value, fragment)
             if chunk.size >= CHUNK_BYTES:
-                yield batch_of([chunk.row(sign * ((TaskContext.get().partitionId() << 32) + n + 1))], chunk_kinds(kind))
-                chunk.clear()
                 n += 1
+                yield batch_of([chunk.row(sign * ((TaskContext.get().partitionId() << 32) + n))], chunk_kinds(kind))
+                chunk.clear()
         if chunk.ids:
-            yield batch_of([chunk.row(sign * ((TaskContext.get().partitionId() << 32) + n + 1))], chunk_kinds(kind))
+            n += 1
+            yield batch_of([chunk.row(sign * ((TaskContext.get().partitionId() << 32) + n))], chunk_kinds(kind))
+        return n
 
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coders = encoders(byte_file, piece_file)
+        coders, n = encoders(byte_file, piece_file), 0
         for batch in batches:
             # One text at a time leaves Arrow.
             texts = ((i.as_py(), t.as_py()) for i, t in zip(*batch.columns, strict=True))
             made = ((i, Fragment.of(" " + t, 0, " " + t, 0, *coders) if t else Fragment.nothing()) for i, t in texts)
-            yield from chunks(made, batch.schema.field(0).type, 1)
+            n = yield from chunks(made, batch.schema.field(0).type, 1, n)
 
     def finished(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = 0
         for batch in batches:
             made = ((r["id"], Fragment.read([r[n] for n in FRAGMENT_NAMES])) for r in rows_of([batch]))
-            yield from chunks(made, batch.schema.field(0).type, -1)
+            n = yield from chunks(made, batch.schema.field(0).type, -1, n)
 
     is_long = F.coalesce(F.octet_length("text") > long, F.lit(False))
     parts = long_fragments(docs.where(is_long), byte_file, piece_file, size)
-    return stored(docs.where(~is_long).mapInArrow(short, schema).union(parts.mapInArrow(finished, schema)), "aligned", **LARGE_ROWS)
+    return stored(docs.where(~is_long).mapInArrow(short, schema).union(parts.mapInArrow(finished, schema)), "aligned", **CHUNK_ROWS)
 
 
 def pair_counts(chunks: DataFrame) -> DataFrame:
@@ -393,32 +400,28 @@ def alignments(
 ) -> tuple[DataFrame, DataFrame]:
     """(key, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256) of every row, and the corpus's pair counts."""
     chunks = aligned_chunks(docs.select(F.col(key).alias("id"), F.col(text).alias("text")), byte_file, piece_file, long, size)
-    rated = pair_counts(chunks)
+    rated = stored(pair_counts(chunks), "rated")
     asked = chunks.select("chunk", F.posexplode("pairs").alias("place", "pair"))
-    answers = asked.join(rated, "pair").groupBy("chunk").agg(F.collect_list(F.struct("place", "links", "best")).alias("answers"))
+    answers = asked.join(rated, "pair").select(F.col("chunk").alias("asker"), "place", "links", "best")
     kind = docs.schema[key].dataType.simpleString()
-
-    def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [key, "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
-        for batch in batches:
-            column = dict(zip(batch.schema.names, batch.columns, strict=True))
-            for i in range(batch.num_rows):
-                n_a, n_b, n_groups, links = (unpack_numbers(column[n][i].as_py()).astype(np.int64) for n in ("n_a", "n_b", "n_groups", "links"))
-                n_links = n_a + n_b - n_groups
-                most, is_best = np.zeros(len(links) + 1, np.int64), np.zeros(len(links) + 1, np.int64)
-                if (answers := column["answers"][i].values) is not None:
-                    place = answers.field("place").to_numpy()
-                    most[place] = answers.field("links").to_numpy()
-                    is_best[place] = answers.field("best").to_numpy(zero_copy_only=False)
-                ends = np.cumsum(n_links)
-                sums = [np.concatenate([[0], np.cumsum(x[links])]) for x in (is_best, most)]
-                n_best, total = (x[ends] - x[ends - n_links] for x in sums)
-                ids = column["ids"][i].values
-                yield pa.RecordBatch.from_arrays([ids, *map(pa.array, (n_a, n_b, n_groups, n_links, n_best, total)), column["digests"][i].values], names=names)
+    names = [key, "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+
+    def report(chunk: pa.Table, answers: pa.Table) -> pa.Table:
+        column = {n: chunk.column(n)[0] for n in chunk.column_names}
+        n_a, n_b, n_groups, links = (unpack_numbers(column[n].as_py()).astype(np.int64) for n in ("n_a", "n_b", "n_groups", "links"))
+        n_links = n_a + n_b - n_groups
+        most, is_best = np.zeros(len(links) + 1, np.int64), np.zeros(len(links) + 1, np.int64)
+        place, most_links, best = (answers.column(n).to_numpy() for n in ("place", "links", "best"))
+        most[place], is_best[place] = most_links, best
+        ends = np.cumsum(n_links)
+        sums = [np.concatenate([[0], np.cumsum(x[links])]) for x in (is_best, most)]
+        n_best, total = (x[ends] - x[ends - n_links] for x in sums)
+        return pa.table([column["ids"].values, *map(pa.array, (n_a, n_b, n_groups, n_links, n_best, total)), column["digests"].values], names=names)
 
     schema = f"{key} {kind}, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, groups_sha256 string"
     payload = chunks.select("chunk", "ids", "n_a", "n_b", "n_groups", "links", "digests")
-    return payload.join(answers, "chunk", "left").mapInArrow(report, schema), rated
+    # A chunk and its answers at a time are in memory, however many a task has.
+    return payload.groupBy("chunk").cogroup(answers.groupBy("asker")).applyInArrow(report, schema), rated
 
 
 def alignment_report(docs: DataFrame) -> DataFrame:
