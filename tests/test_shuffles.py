@@ -1,0 +1,45 @@
+"""What batch runs of J4 and J5 shuffle, and that their rows stay the same."""
+
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemart.checks import registry
+
+
+@pytest.fixture
+def shop(spark, tmp_path):
+    """Five line items of two orders, one of them cancelled; one line item and one order stand twice."""
+    line = (
+        "select {}L l_orderkey, 2L l_partkey, 3L l_suppkey, {} l_linenumber, 5D l_quantity, 6D l_extendedprice, {}D l_discount, 0.02D l_tax,"
+        " '{}' l_returnflag, 'F' l_linestatus, timestamp'2024-01-02' l_shipdate"
+    )
+    lines = [line.format(*x) for x in ((1, 1, 0.06, "R"), (1, 2, 0.01, "A"), (2, 1, 0.07, "R"), (2, 2, 0.01, "R"), (2, 2, 0.01, "R"), (3, 1, 0.06, "R"))]
+    order = "select {}L o_orderkey, {}L o_custkey, '{}' o_orderstatus, 1D o_totalprice, timestamp'2024-01-01' o_orderdate, '1-URGENT' o_orderpriority"
+    orders = [order.format(*x) for x in ((1, 7, "F"), (1, 7, "F"), (2, 8, "O"))]
+    spark.sql(" union all ".join(lines)).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.sql(" union all ".join(orders)).write.parquet(f"{tmp_path}/orders.parquet")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield str(tmp_path)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+# Line 2 of order 2 and order 1 stand twice; coupons and so on of line 2 of order 2 meet both of its details.
+DETAILS = {"1-1-2-3": 2, "1-2-2-3": 2, "2-1-2-3": 1, "2-2-2-3": 4}
+
+
+@pytest.mark.parametrize("name", ["order_detail", "order_detail_salted"])
+def test_ids_that_share_a_hash_keep_their_orders(spark, shop, monkeypatch, name):
+    assert Counter(r.id for r in registry.queries()[name](spark, shop).collect()) == DETAILS
+    assert "hash(" in optimized(registry.queries()[name](spark, shop))
+    monkeypatch.setattr(F, "hash", lambda column: F.length(column))
+    found = registry.queries()[name](spark, shop).collect()
+    assert Counter(r.id for r in found) == DETAILS
+    assert {(r.order_id, r.user_id) for r in found} == {("1", "7"), ("2", "8")}
+    assert {r.id: r.activity_id for r in found} == {"1-1-2-3": "0.06", "1-2-2-3": None, "2-1-2-3": "0.07", "2-2-2-3": None}
