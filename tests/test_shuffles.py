@@ -43,3 +43,9 @@ def test_ids_that_share_a_hash_keep_their_orders(spark, shop, monkeypatch, name)
     assert Counter(r.id for r in found) == DETAILS
     assert {(r.order_id, r.user_id) for r in found} == {("1", "7"), ("2", "8")}
     assert {r.id: r.activity_id for r in found} == {"1-1-2-3": "0.06", "1-2-2-3": None, "2-1-2-3": "0.07", "2-2-2-3": None}
+
+
+def test_only_details_of_cancelled_orders_go_to_the_cancels(spark, shop):
+    df = registry.queries()["order_cancel"](spark, shop)
+    assert Counter(r.id for r in df.collect()) == {"1-1-2-3": 4, "1-2-2-3": 4}
+    assert "LeftSemi" in optimized(df)
