@@ -49,3 +49,13 @@ def test_only_details_of_cancelled_orders_go_to_the_cancels(spark, shop):
     df = registry.queries()["order_cancel"](spark, shop)
     assert Counter(r.id for r in df.collect()) == {"1-1-2-3": 4, "1-2-2-3": 4}
     assert "LeftSemi" in optimized(df)
+
+
+def test_newest_rows_of_details_need_no_further_shuffle(spark, shop):
+    df = registry.queries()["order_detail_newest"](spark, shop)
+    assert {(r.id, r.coupon_id) for r in df.collect()} == {
+        ("1-1-2-3", "C3-corrected"), ("1-2-2-3", None), ("2-1-2-3", "C3-corrected"), ("2-2-2-3", "C3-corrected")
+    }
+    # Details by order and by id, orders, activities, coupons.
+    plan = registry.queries()["order_detail_newest"](spark, shop)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 5
